@@ -44,3 +44,237 @@ def dim_asset(spark, sf):
 def q_search(spark, sf):
     return search.clips(fact_chunk(spark, sf), dim_asset(spark, sf), theme="Problem",
                         sentiment="frustrated", min_score=4, contains="an", order=False)
+
+
+def silver_raw(spark, sf):
+    return silver.explode_chunks(fx.bronze_asset_raw(spark, sf), fx.ID_WIDTH)
+
+
+@query("explode_chunks")
+def q_explode_chunks(spark, sf):
+    return silver_raw(spark, sf)
+
+
+@query("chunk_fields")
+def q_chunk_fields(spark, sf):
+    return silver_raw(spark, sf).select(
+        "chunk_id", "start_sec", "end_sec", "standalone_score",
+        F.size("next_compatible_themes").alias("n_next_themes"),
+        F.size("keywords").alias("n_keywords"))
+
+
+@query("chunk_id")
+def q_chunk_id(spark, sf):
+    return silver_raw(spark, sf).select("asset_id", "chunk_sequence", "chunk_id")
+
+
+@query("chunk_cleaned")
+def q_chunk_cleaned(spark, sf):
+    return silver_chunks(spark, sf)
+
+
+@query("dim_asset")
+def q_dim_asset(spark, sf):
+    return dim_asset(spark, sf).drop("load_ts")
+
+
+@query("chunk_compatibility")
+def q_compat(spark, sf):
+    return gold.compatibility(silver_chunks(spark, sf))
+
+
+@query("keyword_bridge")
+def q_keywords(spark, sf):
+    return gold.keywords(silver_chunks(spark, sf))
+
+
+@query("theme_bridge")
+def q_themes(spark, sf):
+    return gold.themes(silver_chunks(spark, sf))
+
+
+@query("fact_chunk")
+def q_fact_chunk(spark, sf):
+    return fact_chunk(spark, sf)
+
+
+@query("asset_lineage")
+def q_lineage(spark, sf):
+    return gold.lineage(dim_asset(spark, sf))
+
+
+@query("theme_vocabulary")
+def q_theme_vocabulary(spark, sf):
+    return silver.theme_vocabulary(silver_chunks(spark, sf))
+
+
+# --- performance chain ---------------------------------------------------------------
+
+from clipmart.operators import perf  # noqa: E402
+
+
+def perf_chain(spark, sf):
+    fc = fact_chunk(spark, sf)
+    return perf.build(fx.bronze_ad_performance(spark, sf), fx.dim_platform(spark),
+                      fx.map_ad_asset(spark, sf), dim_asset(spark, sf),
+                      fx.edit_decision_list(spark, sf), fc) | {"fact_chunk": fc}
+
+
+@query("platform_staging")
+def q_platform_staging(spark, sf):
+    return perf.stage(fx.bronze_ad_performance(spark, sf), "tiktok")
+
+
+@query("perf_union")
+def q_perf_union(spark, sf):
+    return perf_chain(spark, sf)["int_ad_perf_unioned"]
+
+
+@query("fact_ad_performance")
+def q_fact_perf(spark, sf):
+    return perf_chain(spark, sf)["fact_ad_performance"].drop("load_ts")
+
+
+@query("kpi_sums")
+def q_kpi_sums(spark, sf):
+    return perf.kpi_sums(perf_chain(spark, sf)["fact_ad_performance"])
+
+
+@query("ad_kpi")
+def q_ad_kpi(spark, sf):
+    k = perf_chain(spark, sf)["fct_ad_kpi"]
+    return k.select("ad_id", "platform_id", *[F.round(c, 9).alias(c) for c in k.columns[2:]])
+
+
+@query("bridge_ad_chunk")
+def q_bridge(spark, sf):
+    return perf_chain(spark, sf)["bridge_ad_chunk"]
+
+
+def _anchors(spark, sf):
+    c = perf_chain(spark, sf)
+    return perf.anchors(c["fact_ad_performance"], fx.dim_platform(spark), fx.map_ad_asset(spark, sf),
+                        dim_asset(spark, sf))
+
+
+@query("hook_anchor")
+def q_hook_anchor(spark, sf):
+    return _anchors(spark, sf).where(F.col("metric_name") == "hook_rate")
+
+
+@query("hold_anchor")
+def q_hold_anchor(spark, sf):
+    return _anchors(spark, sf).where(F.col("metric_name") != "hook_rate")
+
+
+@query("anchor_alignment")
+def q_anchor_alignment(spark, sf):
+    c = perf_chain(spark, sf)
+    return perf.align(_anchors(spark, sf), c["bridge_ad_chunk"])
+
+
+@query("role_alignment")
+def q_role_alignment(spark, sf):
+    c = perf_chain(spark, sf)
+    return perf.align_role(perf.ad_platforms(c["fact_ad_performance"]), c["bridge_ad_chunk"])
+
+
+@query("ad_metric_chunk")
+def q_ad_metric_chunk(spark, sf):
+    mc = perf_chain(spark, sf)["fct_ad_metric_chunk"]
+    return mc.withColumn("metric_value", F.round("metric_value", 9))
+
+
+def _mart_out(m):
+    return m.withColumn("median_metric", F.round("median_metric", 9))
+
+
+@query("chunk_correlation")
+def q_chunk_correlation(spark, sf):
+    return _mart_out(perf_chain(spark, sf)["mart_chunk_perf_correlation"])
+
+
+@query("perf_marts")
+def q_perf_marts(spark, sf):
+    return _mart_out(perf_chain(spark, sf)["mart_chunk_perf_correlation"]).drop("honesty_note")
+
+
+@query("rank_in_platform")
+def q_rank_in_platform(spark, sf):
+    return perf_chain(spark, sf)["mart_chunk_perf_correlation"].select(
+        "platform_id", "metric_name", "feature_dim", "feature_value", "rank_in_platform")
+
+
+@query("evidence_regime")
+def q_evidence_regime(spark, sf):
+    return perf_chain(spark, sf)["mart_chunk_perf_correlation"].select(
+        "platform_id", "metric_name", "feature_dim", "feature_value", "n_ads", "evidence_regime")
+
+
+EXT_DIMS = ("chunk_theme", "sentiment", "chunk_role")
+
+
+@query("chunk_correlation_ext")
+def q_chunk_correlation_ext(spark, sf):
+    m = perf.correlation(perf_chain(spark, sf)["fct_ad_metric_chunk"], EXT_DIMS, extended=True)
+    return m.select(*[F.round(c, 9).alias(c) if c.endswith("_metric") else F.col(c) for c in m.columns])
+
+
+@query("surfaced_insights")
+def q_surfaced(spark, sf):
+    return perf.surfaced(perf_chain(spark, sf)["mart_chunk_perf_correlation"], "hook_rate", "chunk_theme")
+
+
+@query("mine_unused_chunks")
+def q_mine_unused(spark, sf):
+    c = perf_chain(spark, sf)
+    return perf.mine_unused(c["fact_chunk"], dim_asset(spark, sf), c["mart_chunk_perf_correlation"],
+                            c["bridge_ad_chunk"])
+
+
+@query("rank_agreement")
+def q_rank_agreement(spark, sf):
+    m = perf.correlation(perf_chain(spark, sf)["fct_ad_metric_chunk"], EXT_DIMS)
+    return perf.rank_agreement(m, top=3)
+
+
+def restated_pulls(spark, sf):
+    """Bronze perf plus a later restatement of every day whose day-of-month
+    is a multiple of 7 (impressions doubled)."""
+    b = fx.bronze_ad_performance(spark, sf)
+    later = b.where(F.dayofmonth("perf_date") % 7 == 0).select(
+        *[(F.col(c) * 2).alias(c) if c == "impressions" else
+          (F.col(c) + F.expr("INTERVAL 1 DAY")).alias(c) if c == "load_ts" else F.col(c)
+          for c in b.columns])
+    return b.unionByName(later)
+
+
+@query("restatement_dedup")
+def q_restatement(spark, sf):
+    return perf.latest_pull(restated_pulls(spark, sf))
+
+
+def native_export(spark, sf, platform):
+    """Platform export under native column names; Meta carries the average
+    watch time only."""
+    b = perf.stage(fx.bronze_ad_performance(spark, sf), platform)
+    inv = {v: k for k, v in perf.EXPORT_COLUMNS[platform].items()}
+    cols = []
+    for c in b.columns:
+        if c == "sum_watch_time_sec":
+            if "avg_watch_time_sec" in inv:
+                cols.append((F.col(c).cast("double") / F.nullif(F.col("play_count"), F.lit(0)))
+                            .alias(inv["avg_watch_time_sec"]))
+            else:
+                cols.append(F.col(c).alias(inv[c]))
+        else:
+            cols.append(F.col(c).alias(inv[c]))
+    return b.select(*cols)
+
+
+@query("conform_export")
+def q_conform(spark, sf):
+    m = perf.conform(native_export(spark, sf, "meta"), "meta").withColumn("platform", F.lit("meta"))
+    t = perf.conform(native_export(spark, sf, "tiktok"), "tiktok").withColumn("platform", F.lit("tiktok"))
+    u = m.unionByName(t)
+    return u.withColumn("sum_watch_time_sec", F.round(F.col("sum_watch_time_sec").cast("double"), 3))
