@@ -278,3 +278,44 @@ def q_conform(spark, sf):
     t = perf.conform(native_export(spark, sf, "tiktok"), "tiktok").withColumn("platform", F.lit("tiktok"))
     u = m.unionByName(t)
     return u.withColumn("sum_watch_time_sec", F.round(F.col("sum_watch_time_sec").cast("double"), 3))
+
+
+# --- significance ------------------------------------------------------------------
+
+from clipmart.operators import stats  # noqa: E402
+
+
+def _mart_and_tests(spark, sf):
+    c = perf_chain(spark, sf)
+    mart = c["mart_chunk_perf_correlation"]
+    base = perf.feature_rows(c["fct_ad_metric_chunk"], ("chunk_theme",))
+    return mart, stats.mann_whitney(base, mart)
+
+
+@query("top_suggestive")
+def q_top_suggestive(spark, sf):
+    return stats.top_suggestive(perf_chain(spark, sf)["mart_chunk_perf_correlation"])
+
+
+@query("mann_whitney")
+def q_mann_whitney(spark, sf):
+    _, t = _mart_and_tests(spark, sf)
+    return t.select(*stats.MART_KEY, "n1", "n2", *[F.round(c, 6).alias(c) for c in
+                                                    ("u1", "u", "tie_term", "p_raw")])
+
+
+@query("bonferroni")
+def q_bonferroni(spark, sf):
+    _, t = _mart_and_tests(spark, sf)
+    b = stats.bonferroni(t)
+    return b.select(*stats.MART_KEY, F.round("p_raw", 6).alias("p_raw"),
+                    F.round("p_value", 6).alias("p_value"), "is_significant")
+
+
+@query("scored_mart")
+def q_scored_mart(spark, sf):
+    mart, t = _mart_and_tests(spark, sf)
+    s = stats.scored_mart(mart, t)
+    return s.select(*stats.MART_KEY, "n_ads", F.round("median_metric", 9).alias("median_metric"),
+                    "rank_in_platform", "evidence_regime", F.round("p_value", 6).alias("p_value"),
+                    "is_significant")
