@@ -319,3 +319,25 @@ def q_scored_mart(spark, sf):
     return s.select(*stats.MART_KEY, "n_ads", F.round("median_metric", 9).alias("median_metric"),
                     "rank_in_platform", "evidence_regime", F.round("p_value", 6).alias("p_value"),
                     "is_significant")
+
+
+# --- assembly ----------------------------------------------------------------------
+
+from clipmart.operators import assemble  # noqa: E402
+
+
+def _graph(spark, sf):
+    s = silver_chunks(spark, sf)
+    return gold.fact_chunk(s, None), gold.compatibility(s)
+
+
+@query("assemble_pairs")
+def q_assemble_pairs(spark, sf):
+    f, c = _graph(spark, sf)
+    return assemble.pair_counts(f, c, "Hook")
+
+
+@query("assemble_sequences")
+def q_assemble_sequences(spark, sf):
+    f, c = _graph(spark, sf)
+    return assemble.sequences(f, c, "Hook", n=20)
