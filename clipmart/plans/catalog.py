@@ -341,3 +341,292 @@ def q_assemble_pairs(spark, sf):
 def q_assemble_sequences(spark, sf):
     f, c = _graph(spark, sf)
     return assemble.sequences(f, c, "Hook", n=20)
+
+
+# --- data quality ------------------------------------------------------------------
+
+from clipmart.operators import dq, lineage, reconcile  # noqa: E402
+
+
+@query("dq_not_null")
+def q_dq_not_null(spark, sf):
+    return dq.not_null(fact_chunk(spark, sf), "embedding").select("chunk_id")
+
+
+def _id_manifest(spark, sf):
+    return fx.identity_manifest(spark, sf).withColumnRenamed("doc_id", "row_pos")
+
+
+@query("dq_unique")
+def q_dq_unique(spark, sf):
+    return dq.unique(_id_manifest(spark, sf), "asset_id")
+
+
+@query("dq_accepted_values")
+def q_dq_accepted(spark, sf):
+    s = silver_chunks(spark, sf)
+    a = dq.accepted_values(s, "sentiment", dq.SENTIMENTS).select("chunk_id", F.lit("sentiment").alias("col"))
+    b = dq.accepted_values(s, "chunk_theme", ["Hook", "Problem", "Solution", "CTA"]) \
+        .select("chunk_id", F.lit("chunk_theme").alias("col"))
+    return a.unionByName(b)
+
+
+@query("dq_between")
+def q_dq_between(spark, sf):
+    s = silver_chunks(spark, sf)
+    a = dq.between(s, "standalone_score", 1, 5).select("chunk_id", F.lit("standalone_score").alias("col"))
+    b = dq.between(s, "standalone_score", 2, None).select("chunk_id", F.lit("score_min_2").alias("col"))
+    return a.unionByName(b)
+
+
+@query("dq_relationships")
+def q_dq_relationships(spark, sf):
+    return dq.relationships(dim_asset(spark, sf).drop("load_ts"), "client_id",
+                            fx.dim_client(spark, sf), "client_id").select("asset_id", "client_id")
+
+
+@query("fk_violations")
+def q_fk_violations(spark, sf):
+    c = perf_chain(spark, sf)
+    return dq.relationships(fx.edit_decision_list(spark, sf), "chunk_id", c["fact_chunk"], "chunk_id")
+
+
+@query("dq_unique_combination")
+def q_dq_unique_combination(spark, sf):
+    return dq.unique_combination(fx.edit_decision_list(spark, sf).select("ad_id", "position_in_ad"),
+                                 ["ad_id", "position_in_ad"])
+
+
+@query("dq_row_count_floor")
+def q_dq_row_count_floor(spark, sf):
+    s = silver_chunks(spark, sf)
+    return dq.row_count_floor(s, 1).unionByName(
+        dq.row_count_floor(s.where(F.col("standalone_score") > 5), 1))
+
+
+@query("dq_assembly_safe")
+def q_dq_assembly_safe(spark, sf):
+    f, c = _graph(spark, sf)
+    return dq.assembly_safe(assemble.pairs(f, c, "Hook"), f)
+
+
+@query("dq_edl_orphans")
+def q_dq_edl_orphans(spark, sf):
+    return dq.orphans(fx.edit_decision_list(spark, sf), fact_chunk(spark, sf), "chunk_id") \
+        .select("ad_id", "chunk_id", "position_in_ad")
+
+
+@query("edl_orphans")
+def q_edl_orphans(spark, sf):
+    return dq.orphans(fx.edit_decision_list(spark, sf), fact_chunk(spark, sf), "chunk_id")
+
+
+@query("dq_json_gate")
+def q_dq_json_gate(spark, sf):
+    ok, bad = dq.json_gate(fx.bronze_asset_raw(spark, sf))
+    return ok.groupBy("client_id").agg(F.count(F.lit(1)).alias("n_ok"))
+
+
+@query("dq_quarantine")
+def q_dq_quarantine(spark, sf):
+    ok, bad = dq.quarantine(silver_chunks(spark, sf).where(F.col("transcript_segment") != ""))
+    drift = fx.drifted_run(silver_chunks(spark, sf))
+    ok2, bad2 = dq.quarantine(drift.withColumn(
+        "standalone_score", F.when(F.col("standalone_score") == 1, F.lit(0)).otherwise(F.col("standalone_score"))))
+    return bad.select("chunk_id", "reasons").unionByName(bad2.select("chunk_id", "reasons"))
+
+
+@query("constraint_pass_rate")
+def q_pass_rate(spark, sf):
+    s = silver_chunks(spark, sf).withColumn(
+        "standalone_score", F.when(F.col("standalone_score") == 1, F.lit(0)).otherwise(F.col("standalone_score")))
+    return dq.pass_rate(s).withColumn("pass_rate", F.round("pass_rate", 9))
+
+
+@query("dq_perf_release")
+def q_dq_perf_release(spark, sf):
+    c = perf_chain(spark, sf)
+    return dq.perf_release(c["fct_ad_kpi"], c["fact_ad_performance"], c["fct_ad_metric_chunk"],
+                           c["mart_chunk_perf_correlation"], dim_asset(spark, sf), fx.map_ad_asset(spark, sf),
+                           c["bridge_ad_chunk"])
+
+
+@query("lineage_contract")
+def q_lineage_contract(spark, sf):
+    return lineage.violations(_id_manifest(spark, sf), fx.dim_client(spark, sf))
+
+
+@query("golden_diff")
+def q_golden_diff(spark, sf):
+    actual = fact_chunk(spark, sf).drop("embedding")
+    return dq.row_diff(actual, fx.direct_chunks(spark, sf))
+
+
+@query("idempotency_drift")
+def q_drift(spark, sf):
+    s = silver_chunks(spark, sf)
+    return dq.drift(s, fx.drifted_run(s)).select("chunk_id", "in_a", "in_b", "n_changed",
+                                                 F.array_join("changed", ",").alias("changed"))
+
+
+@query("golden_agreement")
+def q_golden_agreement(spark, sf):
+    s = silver_chunks(spark, sf)
+    return dq_golden(fx.direct_chunks(spark, sf), fx.drifted_run(s))
+
+
+def dq_golden(expected, actual):
+    from clipmart.operators.dq import golden_agreement
+    return golden_agreement(expected, actual).withColumn("agreement", F.round("agreement", 9))
+
+
+@query("store_failures")
+def q_store_failures(spark, sf):
+    metrics, fails = dq_suite(spark, sf)
+    return fails.drop("run_ts")
+
+
+@query("dq_run_metrics")
+def q_dq_run_metrics(spark, sf):
+    metrics, _ = dq_suite(spark, sf)
+    return metrics
+
+
+def dq_suite(spark, sf):
+    s = silver_chunks(spark, sf)
+    fc = fact_chunk(spark, sf)
+    edl = fx.edit_decision_list(spark, sf)
+    checks = [
+        dq.Check("chunk_id_not_null", "warn", dq.not_null(s, "chunk_id").select("chunk_id")),
+        dq.Check("chunk_id_unique", "warn", dq.unique(s, "chunk_id")),
+        dq.Check("score_between_1_5", "warn", dq.between(s, "standalone_score", 1, 5).select("chunk_id")),
+        dq.Check("theme_not_null", "warn", dq.not_null(s, "chunk_theme").select("chunk_id")),
+        dq.Check("sentiment_accepted", "warn",
+                 dq.accepted_values(s, "sentiment", dq.SENTIMENTS).select("chunk_id", "sentiment")),
+        dq.Check("silver_row_count", "error", dq.row_count_floor(s, 1)),
+        dq.Check("embedding_present", "warn", dq.not_null(fc, "embedding").select("chunk_id")),
+        dq.Check("edl_orphans", "warn", dq.orphans(edl, fc, "chunk_id").select("ad_id", "chunk_id")),
+        dq.Check("asset_client_fk", "error", dq.relationships(
+            dim_asset(spark, sf).drop("load_ts"), "client_id", fx.dim_client(spark, sf), "client_id")
+            .select("asset_id", "client_id")),
+    ]
+    return dq.run(checks, run_ts="2026-01-01 00:00:00")
+
+
+@query("multiset_diff")
+def q_multiset_diff(spark, sf):
+    c = perf_chain(spark, sf)
+    return reconcile.multiset_diff(fx.edit_decision_list(spark, sf).select("ad_id", "chunk_id"),
+                                   c["bridge_ad_chunk"].select("ad_id", "chunk_id"), ["ad_id", "chunk_id"])
+
+
+@query("reconcile_tables")
+def q_reconcile(spark, sf):
+    s = silver_chunks(spark, sf)
+    direct = fx.direct_chunks(spark, sf)
+    fc = gold.fact_chunk(s, None)
+    return reconcile.tables({
+        "fact_chunk": (fc, direct, ["chunk_id"]),
+        "dim_theme_bridge": (gold.themes(s), direct.select("chunk_id", F.col("chunk_theme").alias("theme")),
+                             ["chunk_id", "theme"]),
+        "dim_asset": (dim_asset(spark, sf), fx.bronze_asset_raw(spark, sf), ["asset_id"]),
+        "chunk_scores": (fc, direct.where(F.col("standalone_score") >= 2), ["chunk_id", "standalone_score"]),
+    })
+
+
+# --- identity, lineage, incremental --------------------------------------------------
+
+from clipmart.functions import identity as ident  # noqa: E402
+from clipmart.operators import assets, incremental  # noqa: E402
+
+
+@query("asset_type")
+def q_asset_type(spark, sf):
+    l = fx.landing_listing(spark, sf)
+    return l.select("page_id", "folder", ident.asset_type(F.col("folder")).alias("asset_type"))
+
+
+@query("uri_parts")
+def q_uri_parts(spark, sf):
+    m = fx.identity_manifest(spark, sf).select("doc_id", "source_uri")
+    return assets.uri_parts(m)
+
+
+@query("near_dup_flag")
+def q_near_dup(spark, sf):
+    d = fx.table(spark, sf, "documents").select(
+        "doc_id", F.col("source").alias("client_id"), F.col("source").alias("folder"),
+        F.col("lang").alias("stem"), F.floor(F.col("n_chars") / 15).cast("long").alias("duration_sec"))
+    return assets.near_dup(d).select("doc_id", "near_dup")
+
+
+@query("asset_lineage_closure")
+def q_lineage_walk(spark, sf):
+    return lineage.closure(gold.lineage(dim_asset(spark, sf)), max_depth=5)
+
+
+@query("sequence_walk")
+def q_sequence_walk(spark, sf):
+    f, c = _graph(spark, sf)
+    return lineage.theme_walk(f, c, "Hook", steps=4)
+
+
+def _existing_manifest(spark, sf):
+    l = fx.landing_listing(spark, sf)
+    return l.where(F.col("page_id") % 5 == 0).select("asset_id")
+
+
+@query("ingest_identity")
+def q_ingest(spark, sf):
+    l = fx.landing_listing(spark, sf)
+    return assets.ingest(l, _existing_manifest(spark, sf), fx.BUCKET, fx.LOAD_TS)
+
+
+@query("manifest_append")
+def q_manifest_append(spark, sf):
+    l = fx.landing_listing(spark, sf)
+    old = assets.ingest(l.where(F.col("page_id") % 5 == 0), None, fx.BUCKET, fx.LOAD_TS)
+    new = assets.ingest(l, old.select("asset_id"), fx.BUCKET, fx.LOAD_TS)
+    return old.unionByName(new).drop("page_id")
+
+
+@query("unextracted_assets")
+def q_unextracted(spark, sf):
+    l = fx.landing_listing(spark, sf)
+    manifest = assets.ingest(l, None, fx.BUCKET, fx.LOAD_TS)
+    bronze = l.where(F.col("has_bronze")).select("asset_id")
+    return incremental.unextracted(manifest, bronze, "client1")
+
+
+def _ttl_plan(spark, sf):
+    l = fx.landing_listing(spark, sf)
+    return incremental.ttl_plan(l, fx.landing_clients(spark), l.where(F.col("has_bronze")).select("asset_id"),
+                                fx.LANDING_NOW)
+
+
+@query("ttl_plan")
+def q_ttl_plan(spark, sf):
+    return _ttl_plan(spark, sf)
+
+
+@query("ttl_summary")
+def q_ttl_summary(spark, sf):
+    return incremental.ttl_summary(_ttl_plan(spark, sf))
+
+
+@query("bronze_append")
+def q_bronze_append(spark, sf):
+    b = fx.bronze_asset_raw(spark, sf)
+    existing = b.where(F.expr("cast(substr(asset_id, 4) as bigint) % 2 = 0"))
+    return incremental.new_bronze(b, existing).select("asset_id", "client_id", "content_sha256", "chunk_count")
+
+
+@query("embed_incremental")
+def q_embed(spark, sf):
+    s = silver_chunks(spark, sf)
+    old = fx.chunk_embedding(spark, sf)
+    stale = old.withColumn("content_hash", F.when(
+        F.expr("cast(regexp_extract(chunk_id, '^doc([0-9]+)_', 1) as bigint) % 2 = 1"), F.lit("stale"))
+        .otherwise(F.col("content_hash")))
+    e = incremental.embed(s, stale)
+    return e.select("chunk_id", "content_hash", "status", F.size("embedding").alias("dim"))

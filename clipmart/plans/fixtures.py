@@ -34,6 +34,8 @@ BUCKET = "lake"
 # The landing clock and TTL of the page-based landing fixture.
 LANDING_NOW = "2026-01-31 00:00:00"
 LANDING_TTL_DAYS = 30
+# Landing folder names, picked by page_id % 5.
+LANDING_FOLDERS = ["raw_video", "Edited Cuts", "winning_video", "WINNERS 2026", "misc"]
 # Clients left out of the client seed (exercise the orphan-tenant rule).
 UNSEEDED_CLIENTS = ("src18", "src19")
 
@@ -266,6 +268,10 @@ def landing_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("last_modified"),
         F.length("html").cast("long").alias("length"),
         (F.col("page_id") % 4 != 0).alias("has_bronze"),
+        F.regexp_extract(F.regexp_extract("url", r"^[^?#]*", 0), r"([^/]*)$", 1).alias("name"),
+        F.element_at(F.array(*[F.lit(f) for f in LANDING_FOLDERS]),
+                     (F.col("page_id") % len(LANDING_FOLDERS) + 1).cast("int")).alias("folder"),
+        (F.length("html") * 10).cast("long").alias("duration_ms"),
     )
 
 
@@ -291,3 +297,36 @@ def extraction_run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.lit(0.5) + (doc % 50) / 100).cast("decimal(18,3)").alias("extraction_confidence"),
         F.to_timestamp(F.lit(LOAD_TS)).alias("load_ts"),
     )
+
+
+def direct_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The chunk table computed straight from the documents (no JSON round
+    trip): the hand-written answer key for golden / reconcile checks."""
+    d = table(spark, sf_dir, "documents").select("doc_id", "text")
+    x = d.select("doc_id", F.posexplode(_lines(F.col("text"))).alias("pos", "line"))
+    doc, seq = F.col("doc_id"), (F.col("pos") + 1).cast("long")
+    step = _step(doc)
+    return x.select(
+        identity.chunk_id(asset_key(doc), seq, ID_WIDTH).alias("chunk_id"),
+        asset_key(doc).alias("asset_id"),
+        seq.alias("chunk_sequence"),
+        ((seq - 1) * step).cast("double").alias("start_sec"),
+        (seq * step).cast("double").alias("end_sec"),
+        F.col("line").alias("transcript_segment"),
+        chunk_theme(doc, seq).alias("chunk_theme"),
+        sentiment(doc, seq).alias("sentiment"),
+        score(doc, seq).alias("standalone_score"),
+    )
+
+
+def drifted_run(chunks: DataFrame) -> DataFrame:
+    """A second extraction of the same assets: every 7th document scores one
+    higher (wrapping 5 -> 1), every 11th loses the last word of each line."""
+    doc = F.expr("cast(substr(asset_id, 4) as bigint)")
+    return chunks.withColumn(
+        "standalone_score",
+        F.when(doc % 7 == 0, (F.col("standalone_score") % 5 + 1).cast("int")).otherwise(F.col("standalone_score"))
+    ).withColumn(
+        "transcript_segment",
+        F.when(doc % 11 == 0, F.regexp_replace("transcript_segment", r"\s*\S+$", ""))
+        .otherwise(F.col("transcript_segment")))
