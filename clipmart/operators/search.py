@@ -79,7 +79,9 @@ def nearest(fact: DataFrame, qvec: Sequence[float], k: int, metric: str = "l2")
 
 
 def _topk_partition(qids: np.ndarray, qmat: np.ndarray, k: int, metric: str):
-    """mapInPandas body: per corpus batch, k best rows for every query."""
+    """mapInPandas body: per corpus batch, the k best rows for every query.
+    Distances are computed directly (sum of squared differences in float64)
+    rather than by the dot-product expansion, which loses digits."""
     qnorm = np.linalg.norm(qmat, axis=1)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -88,20 +90,23 @@ def _topk_partition(qids: np.ndarray, qmat: np.ndarray, k: int, metric: str):
                 continue
             cmat = np.stack(pdf["embedding"].to_numpy()).astype(np.float64)
             ids = pdf["chunk_id"].to_numpy()
-            dots = qmat @ cmat.T
-            if metric == "l2":
-                d2 = (qnorm[:, None] ** 2) + (np.linalg.norm(cmat, axis=1)[None, :] ** 2) - 2 * dots
-                score = np.sqrt(np.maximum(d2, 0.0))
-                order = np.argsort(score, axis=1, kind="stable")[:, :k]
-            else:
-                cn = np.linalg.norm(cmat, axis=1)
-                with np.errstate(divide="ignore", invalid="ignore"):
-                    score = dots / (qnorm[:, None] * cn[None, :])
-                order = np.argsort(-score, axis=1, kind="stable")[:, :k]
-            rows = np.repeat(np.arange(len(qids)), order.shape[1])
-            cols = order.reshape(-1)
-            yield pd.DataFrame({"query_id": qids[rows], "chunk_id": ids[cols],
-                                "score": score[rows, cols]})
+            cnorm = np.linalg.norm(cmat, axis=1)
+            kk = min(k, len(ids))
+            out_q, out_c, out_s = [], [], []
+            for qi in range(len(qids)):
+                q = qmat[qi]
+                if metric == "l2":
+                    score = np.sqrt(((cmat - q) ** 2).sum(axis=1))
+                    order = np.argsort(score, kind="stable")[:kk]
+                else:
+                    with np.errstate(divide="ignore", invalid="ignore"):
+                        score = (cmat @ q) / (cnorm * qnorm[qi])
+                    order = np.argsort(-score, kind="stable")[:kk]
+                out_q.append(np.repeat(qids[qi], kk))
+                out_c.append(ids[order])
+                out_s.append(score[order])
+            yield pd.DataFrame({"query_id": np.concatenate(out_q), "chunk_id": np.concatenate(out_c),
+                                "score": np.concatenate(out_s)})
     return run
 
 

@@ -630,3 +630,149 @@ def q_embed(spark, sf):
         .otherwise(F.col("content_hash")))
     e = incremental.embed(s, stale)
     return e.select("chunk_id", "content_hash", "status", F.size("embedding").alias("dim"))
+
+
+# --- vectors and text search ----------------------------------------------------------
+
+def _query_vector(spark, sf, vec_id: int = 1):
+    """One query vector taken from the embeddings table (a 64-float literal)."""
+    row = fx.table(spark, sf, "embeddings").where(F.col("vec_id") == vec_id).select("embedding").first()
+    return [float(x) for x in row["embedding"]]
+
+
+@query("semantic_topk")
+def q_semantic_topk(spark, sf):
+    return search.nearest(fact_chunk(spark, sf), _query_vector(spark, sf), 10, "l2")
+
+
+@query("cosine_topk")
+def q_cosine_topk(spark, sf):
+    return search.nearest(fact_chunk(spark, sf), _query_vector(spark, sf), 10, "cosine")
+
+
+@query("semantic_join")
+def q_semantic_join(spark, sf):
+    q = fx.table(spark, sf, "embeddings").where(F.col("label") == 3) \
+        .select(F.col("vec_id").alias("query_id"), "embedding")
+    return search.semantic_join(q, fact_chunk(spark, sf), 5, "l2")
+
+
+@query("ann_topk")
+def q_ann_topk(spark, sf):
+    return search.ann(fact_chunk(spark, sf), _query_vector(spark, sf), 10)
+
+
+@query("serving_view")
+def q_serving_view(spark, sf):
+    return search.serving_view(fact_chunk(spark, sf))
+
+
+@query("bm25_search")
+def q_bm25(spark, sf):
+    q = fx.table(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"),
+                                                F.col("text").alias("query_text"))
+    return search.bm25(silver_chunks(spark, sf), q, 5)
+
+
+@query("search_keyword")
+def q_search_keyword(spark, sf):
+    s = silver_chunks(spark, sf)
+    return search.by_keyword(gold.fact_chunk(s, None), gold.keywords(s), "attion") \
+        .select("chunk_id", "asset_id", "chunk_theme", "standalone_score")
+
+
+@query("tenant_scope")
+def q_tenant_scope(spark, sf):
+    s = silver_chunks(spark, sf)
+    return search.scope(gold.fact_chunk(s, None), dim_asset(spark, sf), "src3") \
+        .select("chunk_id", "asset_id", "chunk_theme")
+
+
+# --- telemetry log (JSON source / sink) ---------------------------------------------
+
+from clipmart.sources import io as cio  # noqa: E402
+from clipmart.session import scratch_path  # noqa: E402
+
+
+def _run_log(spark, sf):
+    import uuid
+    path = scratch_path(spark, "run_log", uuid.uuid4().hex)
+    cio.append_events(fx.extraction_run_log(spark, sf), path)
+    return cio.read_run_log(spark, path)
+
+
+@query("extraction_run_scan")
+def q_run_scan(spark, sf):
+    return gold.extraction_run(_run_log(spark, sf))
+
+
+@query("extraction_telemetry")
+def q_telemetry(spark, sf):
+    return gold.extraction_summary(gold.extraction_run(_run_log(spark, sf)))
+
+
+# --- lake sources and sinks ------------------------------------------------------------
+
+from clipmart import schemas  # noqa: E402
+
+
+def _lake(spark, sf):
+    """Write the bronze fixtures as a client-partitioned lake under the
+    shared checkpoint folder and return its root."""
+    import uuid
+    root = scratch_path(spark, "lake", uuid.uuid4().hex)
+    cio.write_table(fx.bronze_asset_raw(spark, sf), root, "bronze_asset_raw")
+    perf_b = fx.bronze_ad_performance(spark, sf).withColumn(
+        "client_id", F.concat(F.lit("src"), (F.expr("cast(substr(ad_id, 3) as bigint)") % 20).cast("string")))
+    cio.write_table(perf_b, root, "bronze_ad_performance_raw")
+    return root
+
+
+@query("bronze_asset_scan")
+def q_bronze_scan(spark, sf):
+    b = cio.read_bronze(spark, _lake(spark, sf), "src3")
+    return b.select("asset_id", "client_id", "content_sha256", "chunk_count")
+
+
+@query("perf_scan")
+def q_perf_scan(spark, sf):
+    p = cio.read_perf(spark, _lake(spark, sf), "src3")
+    return p.select("ad_id", "perf_date", "platform_native", "impressions", "spend", "client_id")
+
+
+@query("cross_client_read")
+def q_cross_client(spark, sf):
+    b = cio.read_all_clients(spark, _lake(spark, sf), "bronze_asset_raw", schemas.BRONZE_ASSET_RAW)
+    return b.groupBy("client_id").agg(F.count(F.lit(1)).alias("n_assets"),
+                                      F.sum("chunk_count").cast("long").alias("n_chunks"))
+
+
+@query("client_overwrite")
+def q_client_overwrite(spark, sf):
+    import uuid
+    root = scratch_path(spark, "lake", uuid.uuid4().hex)
+    fc = fact_chunk(spark, sf).drop("embedding").join(
+        dim_asset(spark, sf).select("asset_id", "client_id"), "asset_id")
+    cio.write_table(fc, root, "fact_chunk")
+    cio.write_table(fc.where(F.col("standalone_score") >= 2), root, "fact_chunk", client_id="src3")
+    t = cio.read_all_clients(spark, root, "fact_chunk", fc.drop("client_id").schema)
+    return t.select("chunk_id", "client_id", "standalone_score")
+
+
+@query("seed_scan")
+def q_seed_scan(spark, sf):
+    import uuid
+    path = scratch_path(spark, "seeds", uuid.uuid4().hex)
+    fx.dim_client(spark, sf).write.option("header", True).csv(path)
+    return cio.read_seed(spark, path, schemas.DIM_CLIENT)
+
+
+@query("landing_scan")
+def q_landing_scan(spark, sf):
+    import uuid
+    root = scratch_path(spark, "landing", uuid.uuid4().hex)
+    l = fx.landing_listing(spark, sf).join(fx.table(spark, sf, "pages").select("page_id", "html"), "page_id")
+    cio.write_objects(l.dropDuplicates(["key"]), root, "key", "html").count()
+    s = cio.scan_landing(spark, root)
+    return s.select(F.regexp_extract("path", r"/(landing/[^/]+/video/[^/]+)$", 1).alias("key"), "length",
+                    F.sha2("content", 256).alias("content_sha256"))
