@@ -6,6 +6,7 @@ library operators over the whole tables.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -776,3 +777,38 @@ def q_landing_scan(spark, sf):
     s = cio.scan_landing(spark, root)
     return s.select(F.regexp_extract("path", r"/(landing/[^/]+/video/[^/]+)$", 1).alias("key"), "length",
                     F.sha2("content", 256).alias("content_sha256"))
+
+
+# --- streaming ---------------------------------------------------------------------------
+
+from clipmart.streaming import jobs as sj  # noqa: E402
+
+
+@query("stream_bronze_to_silver")
+def q_stream_bronze(spark, sf):
+    src, out, ckpt = sj.paths(spark, "x1")
+    b = fx.bronze_asset_raw(spark, sf)
+    odd = F.expr("cast(substr(asset_id, 4) as bigint) % 2 = 1")
+    # two arrivals; the second repeats every third asset of the first
+    b.where(~odd).write.parquet(os.path.join(src, "arrival=1"))
+    b.where(odd | F.expr("cast(substr(asset_id, 4) as bigint) % 3 = 0")).write.parquet(os.path.join(src, "arrival=2"))
+    sj.bronze_to_silver(spark, src + "/*", out, ckpt, fx.ID_WIDTH, max_files=1)
+    return spark.read.parquet(out)
+
+
+@query("stream_perf_upsert")
+def q_stream_perf(spark, sf):
+    src, out, ckpt = sj.paths(spark, "x2")
+    b = fx.bronze_ad_performance(spark, sf)
+    b.write.parquet(os.path.join(src, "pull=1"))
+    restated = restated_pulls(spark, sf).where(F.col("load_ts") > F.lit(fx.LOAD_TS).cast("timestamp"))
+    restated.write.parquet(os.path.join(src, "pull=2"))
+    sj.perf_upsert(spark, src + "/*", out, ckpt, max_files=1)
+    return spark.read.parquet(out)
+
+
+@query("stream_daily_counts")
+def q_stream_daily(spark, sf):
+    _, out, ckpt = sj.paths(spark, "x3")
+    sj.daily_counts(spark, sf, out, ckpt, delay="1 hour")
+    return spark.read.parquet(out)
