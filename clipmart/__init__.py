@@ -13,3 +13,19 @@ streaming/  the incremental jobs as Structured Streaming queries
 """
 
 __version__ = "0.1.0"
+
+
+def _ship_by_value() -> None:
+    """Pickle this package's functions by value, so Python workers (pandas
+    UDFs, mapInPandas) need no installed copy of the package: the task
+    carries the code it runs."""
+    import sys
+
+    try:
+        from pyspark import cloudpickle
+    except ImportError:  # pragma: no cover - pyspark absent
+        return
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
+_ship_by_value()

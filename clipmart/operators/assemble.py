@@ -19,18 +19,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clipmart.session import ensure_checkpoint_dir
+from clipmart.session import bounded_broadcast, ensure_checkpoint_dir
 
 # The safety floor on every assembled chunk.
 MIN_SCORE = 4
-# Largest per-theme summary that is shipped to every task.
-MAX_BROADCAST_ROWS = 2_000_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` only after counting it; past the bound it stays a
-    normal (AQE skew-aware) shuffle side."""
-    return F.broadcast(df) if df.count() <= max_rows else df
 
 
 def _eligible(fact: DataFrame, min_score: int) -> DataFrame:

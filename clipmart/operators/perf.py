@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clipmart import schemas
+from clipmart.session import materialize
 
 # Caveat attached to every surfaced mart row.
 HONESTY_NOTE = "Among winning ads only - within-platform ranking, correlation not causation"
@@ -260,11 +261,13 @@ def correlation(mc: DataFrame, dims=("chunk_theme",), extended: bool = False) ->
 
 
 def build(bronze_perf, platform, ad_map, asset, edl, fact_chunk) -> dict[str, DataFrame]:
-    """C4: the 8-model chain to the correlation mart."""
+    """C4: the 8-model chain to the correlation mart.  The day-grained fact
+    and the ad -> chunk bridge are each read by several later models, so
+    they are materialised once (as the reference materialises its marts)."""
     u = union(stage(bronze_perf, "meta"), stage(bronze_perf, "tiktok"))
-    f = fact(u, platform, ad_map)
+    f = materialize(fact(u, platform, ad_map))
     k = kpi(f)
-    bridge = bridge_ad_chunk(edl, fact_chunk)
+    bridge = materialize(bridge_ad_chunk(edl, fact_chunk))
     al = alignment(f, platform, ad_map, asset, bridge)
     mc = metric_chunk(al, k, fact_chunk)
     return {"int_ad_perf_unioned": u, "fact_ad_performance": f, "fct_ad_kpi": k,

@@ -14,6 +14,9 @@ from pyspark.sql import types as T
 from clipmart.functions import text as tx
 from clipmart.functions import vectors as vx
 
+# Largest (query, term) table shipped to every task.
+MAX_QUERY_TERMS = 2_000_000
+
 CLIP_COLUMNS = ["chunk_id", "asset_id", "asset_name", "start_sec", "end_sec", "standalone_score",
                 "chunk_theme", "sentiment", "transcript_segment"]
 
@@ -184,27 +187,42 @@ def bm25(docs: DataFrame, queries: DataFrame, k: int, k1: float = 1.2, b: float
     """M2: Okapi BM25 of every query against every document, top-k each.
 
     Tokens are lower-cased letter/digit runs; no stemming, no stop words.
-    One corpus pass yields the document count and mean length; document
-    frequencies are computed only for terms some query uses (semi join on
-    the distinct query terms before the aggregate), so the big term table
-    is never shuffled whole.  Scores are a join of (query, term) with
-    (term, doc, tf), then a grouped sum and a per-query top-k window."""
+
+    Plan: one corpus pass gives the document count and mean length.  Token
+    rows are hash-partitioned by document once; term frequencies, the
+    per-(doc, term) BM25 weight and the per-(query, doc) sums then all keep
+    that partitioning (the query-side tables are broadcast after a row
+    count: they are bounded by the query text, not the corpus), so the
+    30M-row (query, doc, term) fan-out is summed where it is produced and
+    never shuffled; frequent terms cannot skew a task.  The per-query
+    top-k is a ``row_number() <= k`` window (WindowGroupLimit: k rows per
+    task and query cross the final shuffle)."""
     toks = docs.select(F.col(doc_id).alias("doc_id"), tx.tokens(F.col(text)).alias("toks"))
-    # Two corpus-wide scalars (a one-row global aggregate) become literals.
     st = toks.agg(F.count(F.lit(1)).alias("n"), F.avg(F.size("toks")).alias("avgdl")).first()
     n_docs, avgdl = float(st["n"] or 0), float(st["avgdl"] or 0.0)
     qterms = queries.select("query_id", F.explode(F.array_distinct(tx.tokens("query_text"))).alias("term"))
+    # Query-side sizes are counted on the queries alone (cheap).  The df
+    # table has at most one row per query term, so the vocabulary bound
+    # covers it too.
+    n_pairs = qterms.count()
+    small = n_pairs <= MAX_QUERY_TERMS
     vocab = qterms.select("term").distinct()
-    tf = (toks.select("doc_id", F.size("toks").alias("dl"), F.explode("toks").alias("term"))
+    vocab = F.broadcast(vocab) if small else vocab
+    # fixed partition count: the stage after this shuffle multiplies rows
+    # (query fan-out), so AQE must not coalesce it by its small input size
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tf = (toks.repartition(parts, "doc_id")
+          .select("doc_id", F.size("toks").alias("dl"), F.explode("toks").alias("term"))
           .join(vocab, "term", "left_semi")
-          .groupBy("term", "doc_id", "dl").agg(F.count(F.lit(1)).alias("tf")))
+          .groupBy("doc_id", "dl", "term").agg(F.count(F.lit(1)).alias("tf")))
     df = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    df = F.broadcast(df) if small else df
     idf = F.log(F.lit(1.0) + (F.lit(n_docs) - F.col("df") + 0.5) / (F.col("df") + 0.5))
     norm = F.lit(k1) * (1 - b + b * F.col("dl") / F.nullif(F.lit(avgdl), F.lit(0.0)))
-    scored = (qterms.join(df, "term").join(tf, "term")
-              .select("query_id", "doc_id",
-                      (idf * F.col("tf") * (k1 + 1) / (F.col("tf") + norm)).alias("s")))
-    agg = scored.groupBy("query_id", "doc_id").agg(F.round(F.sum("s"), 6).alias("score"))
-    w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("doc_id"))
-    return agg.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k) \
+    w = tf.join(df, "term").select("doc_id", "term",
+                                   (idf * F.col("tf") * (k1 + 1) / (F.col("tf") + norm)).alias("w"))
+    scored = w.join(F.broadcast(qterms) if small else qterms, "term") \
+        .groupBy("doc_id", "query_id").agg(F.round(F.sum("w"), 6).alias("score"))
+    win = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("doc_id"))
+    return scored.withColumn("rank", F.row_number().over(win)).where(F.col("rank") <= k) \
         .withColumnRenamed("doc_id", doc_id)

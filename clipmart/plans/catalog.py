@@ -115,10 +115,16 @@ from clipmart.operators import perf  # noqa: E402
 
 
 def perf_chain(spark, sf):
-    fc = fact_chunk(spark, sf)
+    """The performance marts read chunk features only (no vectors); the
+    chunk table and the asset dimension are materialised once for the
+    several models that read them."""
+    from clipmart.session import materialize
+
+    fc = materialize(gold.fact_chunk(silver_chunks(spark, sf), None).drop("embedding"))
+    asset = materialize(dim_asset(spark, sf).drop("load_ts"))
     return perf.build(fx.bronze_ad_performance(spark, sf), fx.dim_platform(spark),
-                      fx.map_ad_asset(spark, sf), dim_asset(spark, sf),
-                      fx.edit_decision_list(spark, sf), fc) | {"fact_chunk": fc}
+                      fx.map_ad_asset(spark, sf), asset,
+                      fx.edit_decision_list(spark, sf), fc) | {"fact_chunk": fc, "dim_asset": asset}
 
 
 @query("platform_staging")
@@ -152,10 +158,10 @@ def q_bridge(spark, sf):
     return perf_chain(spark, sf)["bridge_ad_chunk"]
 
 
-def _anchors(spark, sf):
-    c = perf_chain(spark, sf)
+def _anchors(spark, sf, c=None):
+    c = c or perf_chain(spark, sf)
     return perf.anchors(c["fact_ad_performance"], fx.dim_platform(spark), fx.map_ad_asset(spark, sf),
-                        dim_asset(spark, sf))
+                        c["dim_asset"])
 
 
 @query("hook_anchor")
@@ -171,7 +177,7 @@ def q_hold_anchor(spark, sf):
 @query("anchor_alignment")
 def q_anchor_alignment(spark, sf):
     c = perf_chain(spark, sf)
-    return perf.align(_anchors(spark, sf), c["bridge_ad_chunk"])
+    return perf.align(_anchors(spark, sf, c), c["bridge_ad_chunk"])
 
 
 @query("role_alignment")
@@ -229,7 +235,7 @@ def q_surfaced(spark, sf):
 @query("mine_unused_chunks")
 def q_mine_unused(spark, sf):
     c = perf_chain(spark, sf)
-    return perf.mine_unused(c["fact_chunk"], dim_asset(spark, sf), c["mart_chunk_perf_correlation"],
+    return perf.mine_unused(c["fact_chunk"], c["dim_asset"], c["mart_chunk_perf_correlation"],
                             c["bridge_ad_chunk"])
 
 
@@ -448,7 +454,7 @@ def q_pass_rate(spark, sf):
 def q_dq_perf_release(spark, sf):
     c = perf_chain(spark, sf)
     return dq.perf_release(c["fct_ad_kpi"], c["fact_ad_performance"], c["fct_ad_metric_chunk"],
-                           c["mart_chunk_perf_correlation"], dim_asset(spark, sf), fx.map_ad_asset(spark, sf),
+                           c["mart_chunk_perf_correlation"], c["dim_asset"], fx.map_ad_asset(spark, sf),
                            c["bridge_ad_chunk"])
 
 

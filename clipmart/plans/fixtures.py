@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from clipmart import schemas
 from clipmart.functions import identity
 from clipmart.functions.text import keywords as keyword_list
+from clipmart.session import spread
 
 # Fixture chunk id width (longest document has 406 lines).
 ID_WIDTH = 5
@@ -40,8 +41,13 @@ LANDING_FOLDERS = ["raw_video", "Edited Cuts", "winning_video", "WINNERS 2026",
 UNSEEDED_CLIENTS = ("src18", "src19")
 
 
+# Tables whose rows carry heavy per-row work (text, html, events).
+SPREAD_TABLES = ("documents",)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df) if name in SPREAD_TABLES else df
 
 
 def _step(doc_id: Column) -> Column:

@@ -55,3 +55,36 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A path under the shared checkpoint folder (never a machine-local tmp)."""
     return os.path.join(ensure_checkpoint_dir(spark).rstrip("/"), *parts)
+
+
+def spread(df, min_partitions: int | None = None):
+    """Round-robin an input that arrives in fewer scan splits than the
+    cluster has cores (e.g. one large row group), so per-row work (JSON,
+    regex, hashing) runs in parallel.  Inputs that already have enough
+    splits (the normal case at scale) are returned untouched, without a
+    shuffle.  Only the partition count of the physical plan is read; no
+    job runs."""
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
+MAX_BROADCAST_ROWS = 2_000_000
+
+
+def bounded_broadcast(df, max_rows: int = MAX_BROADCAST_ROWS):
+    """Broadcast ``df`` only after counting it; past the bound it stays a
+    normal (AQE skew-aware) shuffle side."""
+    from pyspark.sql import functions as F
+
+    return F.broadcast(df) if df.count() <= max_rows else df
+
+
+def materialize(df):
+    """Materialise a table that several later steps read (a layer boundary:
+    Silver, a Gold fact).  Reliable checkpoint into the shared
+    ``spark.checkpoint.dir``: it survives executor loss and cuts the
+    lineage, so readers do not re-derive it."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
