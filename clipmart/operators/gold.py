@@ -84,10 +84,12 @@ def extraction_summary(run: DataFrame) -> DataFrame:
 def build_core(bronze: DataFrame, embeddings: DataFrame | None, manifest: DataFrame,
                id_width: int = 3) -> dict[str, DataFrame]:
     """Bronze -> Silver -> the Gold core tables.  Silver is read by five
-    consumers, so it is persisted once instead of re-parsing the JSON."""
+    consumers, so it is materialised once (reliable checkpoint) instead of
+    re-parsing the JSON in each."""
     from clipmart.operators import silver as sv
+    from clipmart.session import materialize
 
-    chunks = sv.clean(sv.explode_chunks(bronze, id_width)).persist()
+    chunks = materialize(sv.clean(sv.explode_chunks(bronze, id_width)))
     asset = dim_asset(manifest)
     return {
         "int_chunk_cleaned": chunks,

@@ -65,7 +65,8 @@ def conform(export: DataFrame, platform: str) -> DataFrame:
     df = export.select(*[F.col(f"`{c}`").alias(mapping[c]) for c in present])
     if "sum_watch_time_sec" not in df.columns and "avg_watch_time_sec" in df.columns:
         df = df.withColumn("sum_watch_time_sec",
-                           (F.col("avg_watch_time_sec") * F.col("play_count")).cast("decimal(18,3)"))
+                           (F.col("avg_watch_time_sec").cast("double")
+                            * F.col("play_count").cast("long")).cast("decimal(18,3)"))
     for c in schemas.COUNTERS:
         if c not in df.columns:
             df = df.withColumn(c, F.lit(None).cast("long"))

@@ -281,8 +281,18 @@ def native_export(spark, sf, platform):
 
 @query("conform_export")
 def q_conform(spark, sf):
-    m = perf.conform(native_export(spark, sf, "meta"), "meta").withColumn("platform", F.lit("meta"))
-    t = perf.conform(native_export(spark, sf, "tiktok"), "tiktok").withColumn("platform", F.lit("tiktok"))
+    """Native exports are written as CSV files and read back through the
+    export reader (S7), then conformed (F6)."""
+    import uuid
+
+    from clipmart.sources import io as cio
+    from clipmart.session import scratch_path
+    parts = []
+    for plat in ("meta", "tiktok"):
+        path = scratch_path(spark, "exports", uuid.uuid4().hex, plat)
+        native_export(spark, sf, plat).write.option("header", True).csv(path)
+        parts.append(cio.read_export(spark, path, plat).withColumn("platform", F.lit(plat)))
+    m, t = parts
     u = m.unionByName(t)
     return u.withColumn("sum_watch_time_sec", F.round(F.col("sum_watch_time_sec").cast("double"), 3))
 
@@ -567,7 +577,7 @@ def q_near_dup(spark, sf):
     return assets.near_dup(d).select("doc_id", "near_dup")
 
 
-@query("asset_lineage_closure")
+@query("lineage_walk")
 def q_lineage_walk(spark, sf):
     return lineage.closure(gold.lineage(dim_asset(spark, sf)), max_depth=5)
 
@@ -591,10 +601,15 @@ def q_ingest(spark, sf):
 
 @query("manifest_append")
 def q_manifest_append(spark, sf):
+    """Two ingest runs appended to one manifest table (K4): the second run
+    appends only ids the stored manifest does not have."""
+    import uuid
+    path = scratch_path(spark, "manifest", uuid.uuid4().hex)
     l = fx.landing_listing(spark, sf)
-    old = assets.ingest(l.where(F.col("page_id") % 5 == 0), None, fx.BUCKET, fx.LOAD_TS)
-    new = assets.ingest(l, old.select("asset_id"), fx.BUCKET, fx.LOAD_TS)
-    return old.unionByName(new).drop("page_id")
+    cio.append_manifest(assets.ingest(l.where(F.col("page_id") % 5 == 0), None, fx.BUCKET, fx.LOAD_TS)
+                        .drop("page_id"), path)
+    cio.append_manifest(assets.ingest(l, None, fx.BUCKET, fx.LOAD_TS).drop("page_id"), path)
+    return spark.read.parquet(path)
 
 
 @query("unextracted_assets")
@@ -818,3 +833,40 @@ def q_stream_daily(spark, sf):
     _, out, ckpt = sj.paths(spark, "x3")
     sj.daily_counts(spark, sf, out, ckpt, delay="1 hour")
     return spark.read.parquet(out)
+
+
+# --- whole jobs -------------------------------------------------------------------------
+
+@query("gold_core")
+def q_gold_core(spark, sf):
+    """Bronze -> Silver -> the Gold core tables; one row per table with
+    its row count and distinct key count."""
+    t = gold.build_core(fx.bronze_asset_raw(spark, sf), fx.chunk_embedding(spark, sf),
+                        fx.asset_manifest(spark, sf), fx.ID_WIDTH)
+    keys = {"int_chunk_cleaned": ["chunk_id"], "dim_asset": ["asset_id"], "fact_chunk": ["chunk_id"],
+            "bridge_chunk_compatibility": ["chunk_id", "compatible_theme"],
+            "dim_keyword_bridge": ["chunk_id", "keyword"], "dim_theme_bridge": ["chunk_id", "theme"],
+            "bridge_asset_lineage": ["parent_asset_id", "child_asset_id"]}
+    out = None
+    for name, k in keys.items():
+        r = t[name].agg(F.count(F.lit(1)).alias("n_rows"),
+                        F.count_distinct(*[F.col(c) for c in k]).alias("n_keys")) \
+            .select(F.lit(name).alias("table_name"), "n_rows", "n_keys")
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
+@query("unused_edges_report")
+def q_unused_edges(spark, sf):
+    """Ad -> its edited asset -> RAW parent(s) by lineage -> RAW chunks
+    that fit the winning themes and were never used in an ad.  A search
+    for candidates, never an attribution of performance."""
+    c = perf_chain(spark, sf)
+    cand = perf.mine_unused(c["fact_chunk"], c["dim_asset"], c["mart_chunk_perf_correlation"],
+                            c["bridge_ad_chunk"])
+    edges = gold.lineage(c["dim_asset"])
+    ads = c["fact_ad_performance"].select("ad_id", F.col("asset_id").alias("edited_asset_id")).distinct()
+    return (ads.join(edges.withColumnRenamed("child_asset_id", "edited_asset_id"), "edited_asset_id")
+            .join(cand.withColumnRenamed("asset_id", "parent_asset_id"), "parent_asset_id")
+            .select("ad_id", "edited_asset_id", F.col("parent_asset_id").alias("raw_asset_id"),
+                    "chunk_id", "chunk_theme", "standalone_score"))
