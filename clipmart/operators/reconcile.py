@@ -28,20 +28,24 @@ def diff_sample(diff: DataFrame, keys: list[str], n: int = 5) -> DataFrame:
 
 
 def tables(pairs: dict[str, tuple[DataFrame, DataFrame, list[str]]]) -> DataFrame:
-    """Per table: row counts, then the key-multiset verdict."""
+    """Per table: row counts, then the key-multiset verdict.
+
+    Both sides' keys are tagged and counted per key in one aggregate
+    (partial + final), then one more aggregate per table derives the
+    counts and the surplus of each side; no join is needed."""
     out = None
     for name, (left, right, keys) in pairs.items():
-        d = multiset_diff(left.select(*keys), right.select(*keys), keys)
-        nl = left.agg(F.count(F.lit(1)).alias("left_rows"))
-        nr = right.agg(F.count(F.lit(1)).alias("right_rows"))
-        dd = d.agg(F.coalesce(F.sum(F.col("n_left") - F.least("n_left", "n_right")), F.lit(0))
-                   .cast("long").alias("only_left"),
-                   F.coalesce(F.sum(F.col("n_right") - F.least("n_left", "n_right")), F.lit(0))
-                   .cast("long").alias("only_right"))
-        # three one-row global aggregates glued on a constant key
-        row = nl.withColumn("_k", F.lit(1)).join(nr.withColumn("_k", F.lit(1)), "_k") \
-            .join(dd.withColumn("_k", F.lit(1)), "_k").drop("_k")
-        row = row.select(F.lit(name).alias("table_name"), "left_rows", "right_rows", "only_left", "only_right")
+        tagged = left.select(*keys, F.lit(1).alias("_l"), F.lit(0).alias("_r")).unionByName(
+            right.select(*keys, F.lit(0).alias("_l"), F.lit(1).alias("_r")))
+        per_key = tagged.groupBy(*keys).agg(F.sum("_l").alias("nl"), F.sum("_r").alias("nr"))
+        row = per_key.agg(
+            F.coalesce(F.sum("nl"), F.lit(0)).cast("long").alias("left_rows"),
+            F.coalesce(F.sum("nr"), F.lit(0)).cast("long").alias("right_rows"),
+            F.coalesce(F.sum(F.greatest(F.col("nl") - F.col("nr"), F.lit(0))), F.lit(0)).cast("long")
+            .alias("only_left"),
+            F.coalesce(F.sum(F.greatest(F.col("nr") - F.col("nl"), F.lit(0))), F.lit(0)).cast("long")
+            .alias("only_right"),
+        ).select(F.lit(name).alias("table_name"), "left_rows", "right_rows", "only_left", "only_right")
         out = row if out is None else out.unionByName(row)
     return out.withColumn("status", F.when(F.col("left_rows") != F.col("right_rows"), "count_mismatch")
                           .when((F.col("only_left") + F.col("only_right")) > 0, "key_mismatch")
