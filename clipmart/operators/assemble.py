@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clipmart.session import bounded_broadcast, ensure_checkpoint_dir
+from clipmart.session import bounded_broadcast, materialize
 
 # The safety floor on every assembled chunk.
 MIN_SCORE = 4
@@ -109,16 +109,14 @@ def sequences(fact: DataFrame, compat: DataFrame, start: str = "Hook", n: int =
     5. ctas per theme: the n + 2 smallest eligible ids;
     6. join the bounded sets with the raw edges, sort, LIMIT n.
     """
-    # The eligible chunks, the raw edges and the body reach table are each
-    # read by several branches below; they are checkpointed once (reliable
-    # checkpoint in the shared spark.checkpoint.dir) instead of re-deriving
-    # them from the envelopes in every branch.
-    ensure_checkpoint_dir(fact.sparkSession)
-    e = _eligible(fact, min_score).checkpoint()
-    raw = compat.select("chunk_id", "compatible_theme") \
-        .where(F.col("compatible_theme").isNotNull()).checkpoint()
+    # ``fact`` and ``compat`` are expected to be stored Gold tables (or
+    # materialised): the branches below re-read them with cheap filters.
+    # The derived body reach table is read by several branches, so it is
+    # materialised once (reliable checkpoint in spark.checkpoint.dir).
+    e = _eligible(fact, min_score)
+    raw = compat.select("chunk_id", "compatible_theme").where(F.col("compatible_theme").isNotNull())
     dedup = raw.distinct()
-    reach = _body_reach(e, dedup).where(F.col("cnt") >= 1).checkpoint()
+    reach = materialize(_body_reach(e, dedup).where(F.col("cnt") >= 1))
 
     # 3. hook liveness
     two = F.col("cnt") >= 2
@@ -136,7 +134,7 @@ def sequences(fact: DataFrame, compat: DataFrame, start: str = "Hook", n: int =
     # H, the hook->body table and the final rows are bounded by n, n*n and
     # n rows; checkpointing them keeps the plan tree from repeating every
     # upstream branch in each of their readers.
-    H = F.broadcast(live.select("h").distinct().orderBy("h").limit(n).checkpoint())
+    H = F.broadcast(materialize(live.select("h").distinct().orderBy("h").limit(n)))
 
     # 4. bodies, bounded per theme and per hook
     h_themes = h_edges.join(H, "h")
@@ -158,7 +156,7 @@ def sequences(fact: DataFrame, compat: DataFrame, start: str = "Hook", n: int =
     ctas = _topk(e.select(F.col("chunk_theme").alias("t2"), F.col("chunk_id").alias("c")), ["t2"], "c", n + 2)
 
     # 6. output with bag multiplicity from the raw edges
-    hb_b = F.broadcast(hb.checkpoint())
+    hb_b = F.broadcast(materialize(hb))
     e_h = raw.select(F.col("chunk_id").alias("h"), F.col("compatible_theme").alias("bt"))
     e_b = raw.select(F.col("chunk_id").alias("b"), F.col("compatible_theme").alias("t2"))
     body_theme = e.select(F.col("chunk_id").alias("b"), F.col("chunk_theme").alias("bt"))
@@ -167,7 +165,7 @@ def sequences(fact: DataFrame, compat: DataFrame, start: str = "Hook", n: int =
             .join(ctas, "t2")
             .where((F.col("c") != F.col("h")) & (F.col("c") != F.col("b")))
             .select("h", "b", "c").orderBy("h", "b", "c").limit(n))
-    return _attach(rows.checkpoint(), fact)
+    return _attach(materialize(rows), fact)
 
 
 def _attach(rows: DataFrame, fact: DataFrame) -> DataFrame:

@@ -64,7 +64,8 @@ def append_bronze(batch: DataFrame, path: str) -> int:
         existing.limit(1).collect()
     except Exception:  # noqa: BLE001 - nothing stored yet
         existing = None
-    new = new_bronze(batch, existing).checkpoint()
+    from clipmart.session import materialize
+    new = materialize(new_bronze(batch, existing))
     n = new.count()
     if n:
         new.write.mode("append").parquet(path)

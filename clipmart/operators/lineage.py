@@ -74,8 +74,11 @@ def closure(edges: DataFrame, max_depth: int = 10) -> DataFrame:
     """Transitive parent -> descendant pairs over lineage edges, with
     the shortest depth; a recursive CTE with a depth cap (cycles stop at
     the cap)."""
+    from clipmart.session import materialize
+
     spark = edges.sparkSession
-    v = _view(edges.select("parent_asset_id", "child_asset_id").distinct())
+    # every recursion step re-reads the edge view: materialise it once
+    v = _view(materialize(edges.select("parent_asset_id", "child_asset_id").distinct()))
     q = f"""
     WITH RECURSIVE walk(ancestor, descendant, depth) AS (
       SELECT parent_asset_id, child_asset_id, 1 FROM {v}
@@ -101,7 +104,8 @@ def theme_walk(fact: DataFrame, compat: DataFrame, start: str = "Hook", steps: i
     g = e.join(compat, "chunk_id").select(F.col("chunk_theme").alias("src"), F.col("compatible_theme").alias("dst")) \
         .join(eligible_themes, "dst", "left_semi") \
         .groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n_edges"))
-    v = _view(g)
+    from clipmart.session import materialize
+    v = _view(materialize(g))  # one row per theme pair, read by every step
     q = f"""
     WITH RECURSIVE walk(path, last_theme, depth) AS (
       SELECT concat('{start}', ' > ', dst), dst, 1 FROM {v} WHERE src = '{start}'

@@ -344,7 +344,11 @@ from clipmart.operators import assemble  # noqa: E402
 
 
 def _graph(spark, sf):
-    s = silver_chunks(spark, sf)
+    """Chunk features and compatibility edges from one materialised Silver
+    table (as stored Gold tables would be read), not two envelope parses."""
+    from clipmart.session import materialize
+
+    s = materialize(silver_chunks(spark, sf))
     return gold.fact_chunk(s, None), gold.compatibility(s)
 
 

@@ -86,5 +86,13 @@ def materialize(df):
     Silver, a Gold fact).  Reliable checkpoint into the shared
     ``spark.checkpoint.dir``: it survives executor loss and cuts the
     lineage, so readers do not re-derive it."""
+    from pyspark import StorageLevel
+
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    # An eager checkpoint computes its input twice (count, then the file
+    # write) unless the input is cached; the cache lives only for that.
+    df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return df.checkpoint(eager=True)
+    finally:
+        df.unpersist()

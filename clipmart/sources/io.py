@@ -143,7 +143,8 @@ def append_manifest(new_rows: DataFrame, path: str) -> int:
         new_rows = new_rows.join(old, "asset_id", "left_anti")
     except Exception:  # noqa: BLE001 - first write
         pass
-    new_rows = new_rows.checkpoint()
+    from clipmart.session import materialize
+    new_rows = materialize(new_rows)
     n = new_rows.count()
     if n:
         new_rows.write.mode("append").parquet(path)

@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 
 from clipmart import schemas
 from clipmart.operators import perf, silver
-from clipmart.session import ensure_checkpoint_dir
+from clipmart.session import ensure_checkpoint_dir, materialize
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -75,7 +75,7 @@ def perf_upsert(spark: SparkSession, src: str, out: str, ckpt: str, max_files: i
                 .join(F.broadcast(days), "perf_date", "left_semi")
             merged = stored.unionByName(df)
         # materialise before overwriting the partitions the merge read from
-        latest = perf.latest_pull(merged, keys).checkpoint()
+        latest = materialize(perf.latest_pull(merged, keys))
         prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
         try:
