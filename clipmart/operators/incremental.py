@@ -33,7 +33,7 @@ def ttl_plan(landing: DataFrame, clients: DataFrame, bronze_ids: DataFrame, now:
     l = landing.where(~F.col("key").startswith(GOLDEN_PREFIX))
     age = F.floor((F.unix_timestamp(F.to_timestamp(F.lit(now))) - F.unix_timestamp("last_modified"))
                   / SECONDS_PER_DAY).cast("long")
-    j = l.join(F.broadcast(clients.select("client_id", "landing_ttl_days")), "client_id") \
+    j = l.join(clients.select("client_id", "landing_ttl_days"), "client_id") \
         .withColumn("asset_id", ident.path_stem(F.col("key"))) \
         .withColumn("age_days", age)
     b = bronze_ids.select("asset_id", F.lit(True).alias("_has"))

@@ -114,40 +114,48 @@ def _topk_partition(qids: np.ndarray, qmat: np.ndarray, k: int, metric: str):
 
 
 def semantic_join(queries: DataFrame, fact: DataFrame, k: int, metric: str = "l2",
-                  max_broadcast_queries: int = 4096) -> DataFrame:
+                  max_broadcast_queries: int = 4096, corpus_blocks: int | None = None) -> DataFrame:
     """M3: top-k corpus chunks for many query vectors.
 
-    The query set is shipped to every task only after its size is checked;
-    each corpus partition keeps its own k best per query (numpy matrix
-    product, no pair rows are emitted), then a window over
-    k x partitions candidates per query picks the final k.  Beyond the
-    broadcast bound the queries are processed in blocks of that size."""
-    n = queries.count()
-    blocks = []
+    Small query sets (row count checked against ``max_broadcast_queries``)
+    are shipped to every task: each corpus partition keeps its own k best
+    per query (numpy, no pair rows emitted).  Larger query sets never pass
+    through the driver: queries are replicated once per corpus block and
+    each (query block, corpus block) pair is scored in one
+    ``cogroup().applyInPandas`` task that again keeps k per query.  Either
+    way a window over k x blocks candidates per query picks the final k."""
+    spark = fact.sparkSession
     qcols = queries.select("query_id", "embedding")
-    if n <= max_broadcast_queries:
-        blocks.append(qcols.toPandas())
-    else:
-        nb = (n + max_broadcast_queries - 1) // max_broadcast_queries
-        tagged = qcols.withColumn("_b", F.abs(F.hash("query_id")) % nb)
-        for b in range(nb):
-            blocks.append(tagged.where(F.col("_b") == b).drop("_b").toPandas())
     corpus = fact.where(F.col("embedding").isNotNull()).select("chunk_id", "embedding")
-    schema = T.StructType([T.StructField("query_id", queries.schema["query_id"].dataType),
+    qtype = queries.schema["query_id"].dataType
+    schema = T.StructType([T.StructField("query_id", qtype),
                            T.StructField("chunk_id", T.StringType()),
                            T.StructField("score", T.DoubleType())])
-    parts = []
-    for pdf in blocks:
+    n = qcols.count()
+    if n <= max_broadcast_queries:
+        pdf = qcols.toPandas()
         if pdf.empty:
-            continue
+            return spark.createDataFrame([], schema).withColumn("rank", F.lit(1))
         qids = pdf["query_id"].to_numpy()
         qmat = np.stack(pdf["embedding"].to_numpy()).astype(np.float64)
-        parts.append(corpus.mapInPandas(_topk_partition(qids, qmat, k, metric), schema))
-    if not parts:
-        return corpus.sparkSession.createDataFrame([], schema).withColumn("rank", F.lit(1))
-    cand = parts[0]
-    for p in parts[1:]:
-        cand = cand.unionByName(p)
+        cand = corpus.mapInPandas(_topk_partition(qids, qmat, k, metric), schema)
+    else:
+        cb = corpus_blocks or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        qb = max(1, (n + max_broadcast_queries - 1) // max_broadcast_queries)
+        c = corpus.withColumn("cb", F.abs(F.xxhash64("chunk_id")) % cb) \
+            .withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(qb - 1))))
+        q = qcols.withColumn("qb", F.abs(F.xxhash64("query_id")) % qb) \
+            .withColumn("cb", F.explode(F.sequence(F.lit(0), F.lit(cb - 1))))
+
+        def pair(qpdf: pd.DataFrame, cpdf: pd.DataFrame) -> pd.DataFrame:
+            if qpdf.empty or cpdf.empty:
+                return pd.DataFrame({"query_id": [], "chunk_id": [], "score": []})
+            qids = qpdf["query_id"].to_numpy()
+            qmat = np.stack(qpdf["embedding"].to_numpy()).astype(np.float64)
+            parts = list(_topk_partition(qids, qmat, k, metric)(iter([cpdf[["chunk_id", "embedding"]]])))
+            return pd.concat(parts) if parts else pd.DataFrame({"query_id": [], "chunk_id": [], "score": []})
+
+        cand = q.groupBy("qb", "cb").cogroup(c.groupBy("qb", "cb")).applyInPandas(pair, schema)
     cand = cand.withColumn("score", F.round("score", 6))
     order = F.col("score").asc() if metric == "l2" else F.col("score").desc()
     w = Window.partitionBy("query_id").orderBy(order, F.col("chunk_id"))

@@ -72,7 +72,7 @@ def perf_upsert(spark: SparkSession, src: str, out: str, ckpt: str, max_files: i
         if _exists(spark, out):
             days = df.select("perf_date").distinct()
             stored = spark.read.schema(schemas.BRONZE_AD_PERF).parquet(out) \
-                .join(F.broadcast(days), "perf_date", "left_semi")
+                .join(days, "perf_date", "left_semi")
             merged = stored.unionByName(df)
         # materialise before overwriting the partitions the merge read from
         latest = materialize(perf.latest_pull(merged, keys))
