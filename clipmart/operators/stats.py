@@ -5,8 +5,9 @@ version of the mart.
 A family is (platform, metric, feature_dim).  Its test compares the
 best-ranked SUGGESTIVE value against every other value of the family.
 Ranks are computed without gathering a family in one task: ties are first
-counted per (family, value) (map-side partial aggregate), then a running
-sum over the *distinct* values gives each value its average rank.
+counted per (family, value) (map-side partial aggregate), then a
+distributed prefix sum over the distinct values (``rows_before``) gives
+each value its average rank.
 """
 
 from __future__ import annotations
@@ -29,13 +30,33 @@ def top_suggestive(mart: DataFrame) -> DataFrame:
         F.min_by("feature_value", F.struct("rank_in_platform", "feature_value")).alias("top_value"))
 
 
+def rows_before(ties: DataFrame, family: list[str], value: str, count: str = "t",
+                partitions: int | None = None) -> DataFrame:
+    """Add ``before`` = number of pooled values smaller than ``value`` in
+    its family, for a table with one row per (family, value) and its tie
+    count.  Distributed prefix sum: range-partition by (family, value),
+    prefix sums inside each (partition, family) slice, then add the totals
+    of the earlier partitions of the same family (a table of at most
+    families x partitions rows).  No family is ever gathered in one task."""
+    spark = ties.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    r = ties.repartitionByRange(n, *family, value).withColumn("_pid", F.spark_partition_id())
+    local = Window.partitionBy("_pid", *family).orderBy(value) \
+        .rowsBetween(Window.unboundedPreceding, -1)
+    r = r.withColumn("_local", F.coalesce(F.sum(count).over(local), F.lit(0)))
+    tot = r.groupBy(*family, "_pid").agg(F.sum(count).alias("_tot"))
+    prev = Window.partitionBy(*family).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    off = tot.withColumn("_off", F.coalesce(F.sum("_tot").over(prev), F.lit(0))).drop("_tot")
+    return r.join(off, [*family, "_pid"]) \
+        .withColumn("before", F.col("_local") + F.col("_off")).drop("_pid", "_local", "_off")
+
+
 def average_ranks(df: DataFrame, family: list[str], value: str) -> DataFrame:
     """(family, value, t, avg_rank) with average ranks for ties over
     the pooled sample; one row per distinct value."""
     ties = df.groupBy(*family, value).agg(F.count(F.lit(1)).alias("t"))
-    w = Window.partitionBy(*family).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    before = F.coalesce(F.sum("t").over(w), F.lit(0))
-    return ties.withColumn("avg_rank", before + (F.col("t") + 1) / 2.0)
+    return rows_before(ties, family, value).withColumn("avg_rank", F.col("before") + (F.col("t") + 1) / 2.0) \
+        .drop("before")
 
 
 def mann_whitney(base: DataFrame, mart: DataFrame) -> DataFrame:
@@ -48,9 +69,8 @@ def mann_whitney(base: DataFrame, mart: DataFrame) -> DataFrame:
         .withColumn("is_top", F.col("feature_value") == F.col("top_value"))
     ties = rows.groupBy(*FAMILY, "top_value", "metric_value").agg(
         F.count(F.lit(1)).alias("t"), F.count_if("is_top").alias("c1"))
-    w = Window.partitionBy(*FAMILY).orderBy("metric_value") \
-        .rowsBetween(Window.unboundedPreceding, -1)
-    ranked = ties.withColumn("avg_rank", F.coalesce(F.sum("t").over(w), F.lit(0)) + (F.col("t") + 1) / 2.0)
+    ranked = rows_before(ties, FAMILY, "metric_value") \
+        .withColumn("avg_rank", F.col("before") + (F.col("t") + 1) / 2.0)
     fam = ranked.groupBy(*FAMILY, "top_value").agg(
         F.sum(F.col("c1") * F.col("avg_rank")).alias("r1"),
         F.sum("c1").alias("n1"),

@@ -66,3 +66,18 @@ def test_average_ranks(spark):
     df = spark.createDataFrame([("f", 1.0), ("f", 2.0), ("f", 2.0), ("f", 3.0)], "fam string, v double")
     got = {r.v: r.avg_rank for r in stats.average_ranks(df, ["fam"], "v").collect()}
     assert got == {1.0: 1.0, 2.0: 2.5, 3.0: 4.0}
+
+
+def test_rows_before_distributed_equals_plain(spark):
+    import random
+    rnd = random.Random(5)
+    rows = [(f, float(rnd.randint(0, 30))) for f in ("a", "b") for _ in range(200)]
+    df = spark.createDataFrame(rows, "fam string, v double")
+    ties = df.groupBy("fam", "v").count().withColumnRenamed("count", "t")
+    got = {(r.fam, r.v): r.before for r in stats.rows_before(ties, ["fam"], "v", partitions=5).collect()}
+    want = {}
+    for f in ("a", "b"):
+        vals = sorted(v for g, v in rows if g == f)
+        for v in set(vals):
+            want[(f, v)] = sum(1 for x in vals if x < v)
+    assert got == want
