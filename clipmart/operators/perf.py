@@ -240,20 +240,44 @@ def regime(n: Column) -> Column:
             .otherwise("SUGGESTIVE"))
 
 
+def exact_median(df: DataFrame, group: list[str], value: str, alias: str = "median_metric") -> DataFrame:
+    """Exact median per group (mean of the two middle values for an even
+    count, as DuckDB and Spark's percentile interpolate), without gathering
+    a group in one task: tie counts per (group, value), distributed prefix
+    sums (stats.rows_before), then the values whose rank interval holds the
+    middle positions.  NULL values are ignored; an all-NULL group has a
+    NULL median."""
+    from clipmart.operators.stats import rows_before
+
+    v = df.where(F.col(value).isNotNull())
+    ties = v.groupBy(*group, value).agg(F.count(F.lit(1)).alias("_t"))
+    r = rows_before(ties, group, value, count="_t")
+    n = ties.groupBy(*group).agg(F.sum("_t").alias("_n"))
+    r = r.join(n, group)
+    lo = F.floor((F.col("_n") - 1) / 2)
+    hi = F.ceil((F.col("_n") - 1) / 2)
+    holds = lambda k: (F.col("before") <= k) & (k < F.col("before") + F.col("_t"))
+    m = r.groupBy(*group).agg(F.max(F.when(holds(lo), F.col(value))).alias("_lo"),
+                              F.max(F.when(holds(hi), F.col(value))).alias("_hi"))
+    return m.select(*group, (F.col("_lo") + (F.col("_hi") - F.col("_lo")) * 0.5).alias(alias))
+
+
 def correlation(mc: DataFrame, dims=("chunk_theme",), extended: bool = False) -> DataFrame:
     """A3/A4 + W3 + A6: distinct ads and exact median per (platform, metric,
     dim, value); rank by median within (platform, metric) across all dims.
 
-    The input is ad-grained (one row per ad x platform x metric), so a group
-    holds at most one value per ad; the exact median is Spark's percentile
-    aggregate, which merges partial value-count maps."""
+    The exact median is computed with distributed prefix sums
+    (``exact_median``), so a feature value that holds a third of all ads is
+    never gathered in one task."""
     base = feature_rows(mc, dims)
-    aggs = [F.count_distinct("ad_id").alias("n_ads"),
-            F.median("metric_value").alias("median_metric")]
+    key = ["platform_id", "metric_name", "feature_dim", "feature_value"]
+    aggs = [F.count_distinct("ad_id").alias("n_ads")]
     if extended:
         aggs += [F.avg("metric_value").alias("mean_metric"), F.min("metric_value").alias("min_metric"),
                  F.max("metric_value").alias("max_metric")]
-    g = base.groupBy("platform_id", "metric_name", "feature_dim", "feature_value").agg(*aggs)
+    g = base.groupBy(*key).agg(*aggs).join(exact_median(base, key, "metric_value"), key)
+    cols = key + ["n_ads", "median_metric"] + (["mean_metric", "min_metric", "max_metric"] if extended else [])
+    g = g.select(*cols)
     w = Window.partitionBy("platform_id", "metric_name").orderBy(F.col("median_metric").desc_nulls_last())
     return g.select("*",
                     F.rank().over(w).cast("long").alias("rank_in_platform"),

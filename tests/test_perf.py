@@ -71,3 +71,17 @@ def test_regime_thresholds(spark):
     df = spark.createDataFrame([(4,), (5,), (11,), (12,)], "n int")
     got = [r.r for r in df.select(perf.regime(F.col("n")).alias("r")).collect()]
     assert got == ["BLOCK", "DIRECTIONAL", "DIRECTIONAL", "SUGGESTIVE"]
+
+
+def test_exact_median_matches_pandas(spark):
+    import random
+    import statistics
+    rnd = random.Random(3)
+    rows = [(g, float(rnd.randint(0, 9)) if rnd.random() > 0.1 else None)
+            for g, n in (("a", 7), ("b", 8), ("c", 1), ("d", 40)) for _ in range(n)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = {r.g: r.median_metric for r in perf.exact_median(df, ["g"], "v").collect()}
+    for g in "abcd":
+        vals = [v for k, v in rows if k == g and v is not None]
+        if vals:
+            assert abs(got[g] - statistics.median(vals)) < 1e-12
