@@ -34,8 +34,13 @@ def explode_chunks(bronze: DataFrame, id_width: int = 3, keep_versions: bool = T
     """One row per chunk.  Empty, missing or unparsable arrays give no
     rows (the asset shows up in dq.json_gate / dq.row gates instead)."""
     extra = ["model_version", "prompt_version"] if keep_versions else []
-    parsed = bronze.select("asset_id", *extra, parse_envelope(F.col("raw_response")).alias("env"))
-    exploded = parsed.select("asset_id", *extra, F.posexplode("env.chunks").alias("pos", "c"))
+    # Explode the envelope as element texts, then parse each element: the
+    # envelope is parsed once per asset and never re-inlined per field.
+    parsed = bronze.select("asset_id", *extra,
+                           F.from_json(F.col("raw_response"), schemas.ENVELOPE_TEXT).alias("env"))
+    texts = parsed.select("asset_id", *extra, F.posexplode("env.chunks").alias("pos", "j"))
+    exploded = texts.select("asset_id", *extra, "pos",
+                            F.from_json(F.col("j"), schemas.CHUNK_ELEMENT).alias("c"))
     seq = (F.col("pos") + 1).cast("long")
     return exploded.select(
         identity.chunk_id("asset_id", seq, id_width).alias("chunk_id"),

@@ -22,6 +22,9 @@ CHUNK_ELEMENT = _struct(
     ("next_compatible_themes", STRS), ("keywords", STRS),
 )
 ENVELOPE = _struct(("chunks", T.ArrayType(CHUNK_ELEMENT)))
+# The envelope with each element kept as its JSON text (parsed after the
+# explode, so the optimizer has no nested field to push below the generator).
+ENVELOPE_TEXT = _struct(("chunks", T.ArrayType(S)))
 
 BRONZE_ASSET_RAW = _struct(
     ("asset_id", S), ("client_id", S), ("raw_response", S), ("model_version", S),
