@@ -146,18 +146,18 @@ def asset_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def identity_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Manifest written the way ingest writes it: content hash of the text,
     tenant-scoped sha256 id, uri ``s3://lake/landing/<client>/video/<id>.mp4``.
-    Exact copies of a text within one client give repeated ids (R6)."""
-    d = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    sha = identity.content_sha256("text")
-    aid = identity.asset_id(F.col("source"), sha)
+    Exact copies of a text within one client give repeated ids (R6).
+    Each hash is its own projection, so it is computed once per row."""
+    d = table(spark, sf_dir, "documents").select(
+        "doc_id", "source", identity.content_sha256("text").alias("content_sha256"))
+    d = d.select("*", identity.asset_id(F.col("source"), F.col("content_sha256")).alias("asset_id"))
     return d.select(
-        "doc_id",
-        aid.alias("asset_id"),
+        "doc_id", "asset_id",
         F.col("source").alias("client_id"),
-        sha.alias("content_sha256"),
+        "content_sha256",
         F.concat(asset_key(F.col("doc_id")), F.lit(".mp4")).alias("asset_name"),
         F.when(F.col("doc_id") % 3 == 2, "RAW").otherwise("EDITED").alias("asset_type"),
-        F.concat(F.lit(f"s3://{BUCKET}/landing/"), F.col("source"), F.lit("/video/"), aid,
+        F.concat(F.lit(f"s3://{BUCKET}/landing/"), F.col("source"), F.lit("/video/"), F.col("asset_id"),
                  F.lit(".mp4")).alias("source_uri"),
     )
 
@@ -259,25 +259,23 @@ def edit_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 def landing_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landing objects from ``pages``: html bytes are the object, the url's
     host names the client, mtime = LANDING_NOW minus (page_id % 60) days."""
-    p = table(spark, sf_dir, "pages").select("page_id", "url", "html")
-    client = F.concat(F.lit("client"), (F.col("page_id") % 3).cast("string"))
-    sha = identity.content_sha256(F.col("html").cast("binary"))
-    aid = identity.asset_id(client, sha)
+    p = table(spark, sf_dir, "pages").select(
+        "page_id", "url", F.length("html").cast("long").alias("length"),
+        F.concat(F.lit("client"), (F.col("page_id") % 3).cast("string")).alias("client_id"),
+        identity.content_sha256(F.col("html").cast("binary")).alias("content_sha256"))
+    p = p.select("*", identity.asset_id(F.col("client_id"), F.col("content_sha256")).alias("asset_id"))
     return p.select(
-        "page_id", "url",
-        client.alias("client_id"),
-        sha.alias("content_sha256"),
-        aid.alias("asset_id"),
-        identity.landing_key(client, aid, identity.extension(F.regexp_extract("url", r"^[^?#]*", 0)))
-        .alias("key"),
+        "page_id", "url", "client_id", "content_sha256", "asset_id",
+        identity.landing_key(F.col("client_id"), F.col("asset_id"),
+                             identity.extension(F.regexp_extract("url", r"^[^?#]*", 0))).alias("key"),
         (F.to_timestamp(F.lit(LANDING_NOW)) - F.make_dt_interval(F.col("page_id") % 60))
         .alias("last_modified"),
-        F.length("html").cast("long").alias("length"),
+        "length",
         (F.col("page_id") % 4 != 0).alias("has_bronze"),
         F.regexp_extract(F.regexp_extract("url", r"^[^?#]*", 0), r"([^/]*)$", 1).alias("name"),
         F.element_at(F.array(*[F.lit(f) for f in LANDING_FOLDERS]),
                      (F.col("page_id") % len(LANDING_FOLDERS) + 1).cast("int")).alias("folder"),
-        (F.length("html") * 10).cast("long").alias("duration_ms"),
+        (F.col("length") * 10).cast("long").alias("duration_ms"),
     )
 
 
