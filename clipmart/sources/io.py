@@ -95,20 +95,26 @@ def scan_landing(spark: SparkSession, path: str, with_content: bool = True) -> D
 
 def write_objects(df: DataFrame, root: str, key_col: str, payload_col: str) -> DataFrame:
     """Write one object per row (``root/<key>``) from the executors and
-    return (key, bytes written).  Used to lay out landing objects."""
+    return (key, bytes written).  Used to lay out landing objects.  The
+    file system comes from the root uri (local, hdfs://, s3://) through
+    pyarrow; each object is written to a temporary name and moved into
+    place, so a retried task rewrites the same object."""
     schema = T.StructType([T.StructField("key", T.StringType()), T.StructField("written", T.LongType())])
 
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import fs as pafs
+
+        filesystem, base = pafs.FileSystem.from_uri(root)
         for pdf in it:
             out = []
             for key, payload in zip(pdf[key_col], pdf[payload_col]):
                 data = payload.encode("utf-8") if isinstance(payload, str) else bytes(payload or b"")
-                full = os.path.join(root, key)
-                os.makedirs(os.path.dirname(full), exist_ok=True)
+                full = f"{base.rstrip('/')}/{key}"
+                filesystem.create_dir(full.rsplit("/", 1)[0], recursive=True)
                 tmp = full + ".tmp"
-                with open(tmp, "wb") as fh:
+                with filesystem.open_output_stream(tmp) as fh:
                     fh.write(data)
-                os.replace(tmp, full)  # a retried task rewrites the same object
+                filesystem.move(tmp, full)
                 out.append((key, len(data)))
             yield pd.DataFrame(out, columns=["key", "written"])
     return df.select(key_col, payload_col).mapInPandas(run, schema)
