@@ -75,19 +75,23 @@ def append_bronze(batch: DataFrame, path: str) -> int:
 # --- content-hash gated embedding (C3) -----------------------------------------
 
 def hash_embedder(dim: int = 64) -> Callable[[pd.Series], np.ndarray]:
-    """Default deterministic embedding: token hashes into ``dim`` buckets,
+    """Default deterministic embedding: lower-cased whitespace tokens hashed
+    into ``dim`` buckets (pandas' fixed-key vectorised hash), counted and
     L2-normalised.  A stand-in for a remote model; swap in any function
     ``texts -> (n, dim) array``."""
-    import zlib
 
     def fn(texts: pd.Series) -> np.ndarray:
-        out = np.zeros((len(texts), dim), dtype=np.float32)
-        for i, t in enumerate(texts.fillna("")):
-            for tok in str(t).lower().split():
-                out[i, zlib.crc32(tok.encode()) % dim] += 1.0
+        out = np.zeros((len(texts), dim), dtype=np.float64)
+        toks = texts.fillna("").astype(str).str.lower().str.split()
+        lens = toks.str.len().to_numpy()
+        if lens.sum():
+            flat = np.concatenate([np.asarray(t, dtype=object) for t in toks if len(t)])
+            rows = np.repeat(np.arange(len(texts)), lens)
+            cols = (pd.util.hash_array(flat) % np.uint64(dim)).astype(np.int64)
+            np.add.at(out, (rows, cols), 1.0)
         norms = np.linalg.norm(out, axis=1, keepdims=True)
         norms[norms == 0] = 1.0
-        return out / norms
+        return (out / norms).astype(np.float32)
     return fn
 
 
@@ -95,7 +99,8 @@ def embed(silver: DataFrame, existing: DataFrame | None, fn=None, batch: int = 2
     """Keep a stored vector when (chunk_id, content hash) is unchanged,
     embed the rest in Arrow batches of ``batch`` texts (mapInPandas), and
     return exactly the current Silver chunks with a ``status`` column."""
-    fn = fn or hash_embedder(dim)
+    if fn is None:  # local default: no API limit, embed whole Arrow batches
+        fn, batch = hash_embedder(dim), 1 << 30
     cur = silver.select("chunk_id", "transcript_segment",
                         ident.content_sha256("transcript_segment").alias("content_hash"))
     if existing is None:
