@@ -33,7 +33,8 @@ def main() -> None:
     from clipmart.plans.catalog import QUERIES
     from clipmart.session import local_session
 
-    spark = local_session(cores=cpus, shuffle_partitions=max(8, 2 * int(cpus)), driver_memory="12g")
+    mem = os.environ.get("BENCH_MEM", "6g")
+    spark = local_session(cores=cpus, shuffle_partitions=max(8, 2 * int(cpus)), driver_memory=mem)
     QUERIES["search"](spark, sf_dir).write.format("noop").mode("overwrite").save()  # warm-up
 
     times: dict[str, float] = {}
