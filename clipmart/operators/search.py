@@ -159,7 +159,7 @@ def semantic_join(queries: DataFrame, fact: DataFrame, k: int, metric: str = "l2
     cand = cand.withColumn("score", F.round("score", 6))
     order = F.col("score").asc() if metric == "l2" else F.col("score").desc()
     w = Window.partitionBy("query_id").orderBy(order, F.col("chunk_id"))
-    return cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    return cand.withColumn("rank", F.row_number().over(w).cast("long")).where(F.col("rank") <= k)
 
 
 def ann(fact: DataFrame, qvec: Sequence[float], k: int, bucket_length: float = 2.0,
@@ -232,5 +232,5 @@ def bm25(docs: DataFrame, queries: DataFrame, k: int, k1: float = 1.2, b: float
     scored = w.join(F.broadcast(qterms) if small else qterms, "term") \
         .groupBy("doc_id", "query_id").agg(F.round(F.sum("w"), 6).alias("score"))
     win = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("doc_id"))
-    return scored.withColumn("rank", F.row_number().over(win)).where(F.col("rank") <= k) \
+    return scored.withColumn("rank", F.row_number().over(win).cast("long")).where(F.col("rank") <= k) \
         .withColumnRenamed("doc_id", doc_id)
