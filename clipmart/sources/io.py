@@ -124,15 +124,11 @@ def write_table(df: DataFrame, root: str, name: str, client_id: str | None = Non
     """K1: full overwrite of one client's copy of a table, others untouched
     (dynamic partition overwrite).  Without ``client_id`` every client
     partition present in ``df`` is replaced."""
-    spark = df.sparkSession
     if client_id is not None:
         df = df.where(F.col("client_id") == _require_client(client_id))
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        df.write.mode("overwrite").partitionBy("client_id").parquet(os.path.join(root, name))
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    # per-write option: no session-wide setting is changed
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+        .partitionBy("client_id").parquet(os.path.join(root, name))
 
 
 def append_events(df: DataFrame, path: str) -> None:

@@ -76,12 +76,8 @@ def perf_upsert(spark: SparkSession, src: str, out: str, ckpt: str, max_files: i
             merged = stored.unionByName(df)
         # materialise before overwriting the partitions the merge read from
         latest = materialize(perf.latest_pull(merged, keys))
-        prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        try:
-            latest.write.mode("overwrite").partitionBy("perf_date").parquet(out)
-        finally:
-            spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+        latest.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+            .partitionBy("perf_date").parquet(out)
 
     _run(stream.writeStream.foreachBatch(batch).option("checkpointLocation", ckpt))
 
