@@ -38,9 +38,11 @@ def rows_before(ties: DataFrame, family: list[str], value: str, count: str = "t"
     prefix sums inside each (partition, family) slice, then add the totals
     of the earlier partitions of the same family (a table of at most
     families x partitions rows).  No family is ever gathered in one task."""
-    spark = ties.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    r = ties.repartitionByRange(n, *family, value).withColumn("_pid", F.spark_partition_id())
+    # Without a fixed count AQE may merge adjacent ranges (still in order);
+    # the partition id is read after that, in the consuming stage.
+    r = ties.repartitionByRange(partitions, *family, value) if partitions \
+        else ties.repartitionByRange(*family, value)
+    r = r.withColumn("_pid", F.spark_partition_id())
     local = Window.partitionBy("_pid", *family).orderBy(value) \
         .rowsBetween(Window.unboundedPreceding, -1)
     r = r.withColumn("_local", F.coalesce(F.sum(count).over(local), F.lit(0)))
