@@ -34,3 +34,12 @@ def test_bm25_prefers_rare_terms(spark):
     q = spark.createDataFrame([(1, "apple banana")], "query_id int, query_text string")
     top = search.bm25(docs, q, 1).collect()
     assert top[0].chunk_id == "d1"
+
+
+def test_ann_recall_against_exact(spark):
+    fc = C.fact_chunk(spark, SMALL)
+    for vid in (1, 2, 3):
+        q = C._query_vector(spark, SMALL, vid)
+        approx = search.ann(fc, q, 10)
+        assert approx.count() == 10
+        assert search.ann_recall(approx, search.nearest(fc, q, 10, "l2")) >= 0.8
