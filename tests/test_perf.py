@@ -85,3 +85,25 @@ def test_exact_median_matches_pandas(spark):
         vals = [v for k, v in rows if k == g and v is not None]
         if vals:
             assert abs(got[g] - statistics.median(vals)) < 1e-12
+
+
+def test_latest_pull_keeps_the_restated_day(spark):
+    import datetime as dt
+    rows = [("ad", "meta", dt.date(2024, 1, 1), 10, dt.datetime(2024, 1, 2), "h1"),
+            ("ad", "meta", dt.date(2024, 1, 1), 12, dt.datetime(2024, 1, 5), "h2"),
+            ("ad", "meta", dt.date(2024, 1, 2), 7, dt.datetime(2024, 1, 3), "h3")]
+    df = spark.createDataFrame(rows, "ad_id string, platform_native string, perf_date date, impressions long, "
+                                     "load_ts timestamp, content_hash string")
+    got = {str(r.perf_date): r.impressions for r in perf.latest_pull(df).collect()}
+    assert got == {"2024-01-01": 12, "2024-01-02": 7}
+
+
+def test_conform_rebuilds_sum_from_average(spark):
+    native = spark.createDataFrame(
+        [("a1", "2024-01-01", "100", "40", "2.5", "4", "9.99")],
+        "ad_id string, date string, impressions string, video_3_sec_watched_actions string, "
+        "video_avg_time_watched_actions string, video_play_actions string, spend string")
+    r = perf.conform(native, "meta").collect()[0]
+    assert (r.impressions, r.plays_3s, r.play_count) == (100, 40, 4)
+    assert float(r.sum_watch_time_sec) == 10.0 and float(r.spend) == 9.99
+    assert r.plays_25 is None  # absent in the export: NULL, not zero
