@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clipmart.session import bounded_broadcast, materialize
+from clipmart.session import MAX_BROADCAST_ROWS, bounded_broadcast, materialize
 
 # The safety floor on every assembled chunk.
 MIN_SCORE = 4
@@ -70,9 +70,10 @@ def _topk(df: DataFrame, part: list[str], order: str, k: int) -> DataFrame:
     return df.withColumn("_rk", F.row_number().over(w)).where(F.col("_rk") <= k).drop("_rk")
 
 
-def _body_reach(e: DataFrame, dedup: DataFrame) -> DataFrame:
+def _body_reach(e: DataFrame, dedup: DataFrame, small: bool = True) -> DataFrame:
     """For every eligible chunk b: cnt = distinct eligible chunks c != b in
-    the themes b allows, and when cnt = 1 the one candidate ``cand``."""
+    the themes b allows, and when cnt = 1 the one candidate ``cand``.
+    ``small``: the per-theme table (one row per theme) may be broadcast."""
     ts = e.groupBy("chunk_theme").agg(
         F.count(F.lit(1)).alias("ec"),
         F.min("chunk_id").alias("min1"))
@@ -80,8 +81,8 @@ def _body_reach(e: DataFrame, dedup: DataFrame) -> DataFrame:
     second = e.join(ts.select("chunk_theme", "min1"), "chunk_theme") \
         .where(F.col("chunk_id") > F.col("min1")) \
         .groupBy("chunk_theme").agg(F.min("chunk_id").alias("min2"))
-    ts = bounded_broadcast(ts.join(second, "chunk_theme", "left")
-                           .withColumnRenamed("chunk_theme", "compatible_theme"))
+    ts = ts.join(second, "chunk_theme", "left").withColumnRenamed("chunk_theme", "compatible_theme")
+    ts = F.broadcast(ts) if small else ts
     be = e.select(F.col("chunk_id").alias("b"), F.col("chunk_theme").alias("b_theme")) \
         .join(dedup.withColumnRenamed("chunk_id", "b"), "b") \
         .join(ts, "compatible_theme")
@@ -116,7 +117,11 @@ def sequences(fact: DataFrame, compat: DataFrame, start: str = "Hook", n: int =
     e = _eligible(fact, min_score)
     raw = compat.select("chunk_id", "compatible_theme").where(F.col("compatible_theme").isNotNull())
     dedup = raw.distinct()
-    reach = materialize(_body_reach(e, dedup).where(F.col("cnt") >= 1))
+    # One count bounds both per-theme tables below: the theme stats have one
+    # row per eligible theme, the liveness summary at most 8 per theme.
+    n_themes = e.select("chunk_theme").distinct().count()
+    small = 8 * n_themes <= MAX_BROADCAST_ROWS
+    reach = materialize(_body_reach(e, dedup, small).where(F.col("cnt") >= 1))
 
     # 3. hook liveness
     two = F.col("cnt") >= 2
@@ -126,7 +131,8 @@ def sequences(fact: DataFrame, compat: DataFrame, start: str = "Hook", n: int =
     single = _topk(single, ["t", "cand"], "b", 2)
     first_of = single.groupBy("t", "cand").agg(F.min("b").alias("fb"))
     keep_c = _topk(first_of, ["t"], "fb", 3).select("t", "cand")
-    summary = bounded_broadcast(many.unionByName(single.join(keep_c, ["t", "cand"], "left_semi")))
+    summary = many.unionByName(single.join(keep_c, ["t", "cand"], "left_semi"))
+    summary = F.broadcast(summary) if small else summary
     hooks = e.where(F.col("chunk_theme") == start).select(F.col("chunk_id").alias("h"))
     h_edges = hooks.join(dedup.select(F.col("chunk_id").alias("h"), F.col("compatible_theme").alias("t")), "h")
     live = h_edges.join(summary, "t").where(
