@@ -43,3 +43,19 @@ def op8_simhash(spark, sf):
 
     out = simhash.near_duplicates(table(spark, sf, "documents"))
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query
+def op6_mixing(spark, sf):
+    from clipmart.llm import mixing
+
+    return mixing.taken(*mixing.mix(table(spark, sf, "documents"))).select(
+        "doc_id", "size", "source_size", "target", "taken", "source")
+
+
+@query
+def op2_sentencepiece(spark, sf):
+    from clipmart.llm import spm
+
+    out = spm.encode(table(spark, sf, "documents"), verify=True)
+    return out.select("doc_id", F.coalesce(F.array_size("ids"), F.lit(0)).cast("long").alias("n_ids"), "ids", "lossless")

@@ -11,8 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clipmart.llm import langid, quality, simhash
-from clipmart.llm.common import staged, table
+from clipmart.llm import langid, mixing, quality, simhash, spm
+from clipmart.llm.common import WORD, staged, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -38,10 +38,33 @@ def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(COLUMNS)
 
 
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The words that the schedule takes: a row per whole pass over a document,
+    and one with the leading words of a document that the target cuts."""
+    got = mixing.taken(*mixing.mix(docs)).select("doc_id", "size", "taken")
+    whole = F.floor(F.col("taken") / F.col("size"))
+    rest = F.col("taken") % F.col("size")
+    copies = F.concat(F.array_repeat(F.lit(None).cast("long"), whole.cast("int")),
+                      F.when(rest > 0, F.array(rest)).otherwise(F.array().cast("array<bigint>")))
+    got = got.where("taken > 0").select("doc_id", F.explode(copies).alias("words"))
+    # split keeps every word and drops what stands between them
+    lead = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), F.lit(1), F.col("words").cast("int")), " ")
+    out = docs.join(got, "doc_id").withColumn("text", F.when(F.col("words").isNull(), F.col("text")).otherwise(lead))
+    return out.withColumn("n_chars", F.when(F.col("words").isNull(), F.col("n_chars"))
+                          .otherwise(F.length("text").cast("long"))).select(COLUMNS)
+
+
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, ids, n_ids and whether the ids decode to the text, per row."""
+    return spm.encode(docs, verify=True).withColumn("n_ids", F.coalesce(F.array_size("ids"), F.lit(0)).cast("long"))
+
+
 STAGES = [
     ("language ID", language),
     ("quality rules", rules),
     ("SimHash near-dedup", deduplicated),
+    ("mixing", mixed),
+    ("SentencePiece", encoded),
 ]
 
 #: The stages learn models and walk graphs, which SQL doesn't express.
