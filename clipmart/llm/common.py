@@ -58,7 +58,7 @@ def write_file(root: str, name: str, data: bytes) -> str:
     fs, base = filesystem(root)
     fs.create_dir(base, recursive=True)
     part = f"{base}/.{name}.{uuid.uuid4().hex}"
-    with fs.open_output_stream(part) as out:
+    with fs.open_output_stream(part, compression=None) as out:
         out.write(data)
     fs.move(part, f"{base}/{name}")
     return name
@@ -66,7 +66,7 @@ def write_file(root: str, name: str, data: bytes) -> str:
 
 def read_file(root: str, name: str) -> bytes:
     fs, base = filesystem(root)
-    with fs.open_input_stream(f"{base}/{name}") as src:
+    with fs.open_input_stream(f"{base}/{name}", compression=None) as src:
         return src.read()
 
 

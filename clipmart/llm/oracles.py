@@ -1,3 +1,28 @@
 """DuckDB SQL with the rows of the queries that SQL can express."""
 
 ORACLE: dict[str, str] = {}
+
+# base32 has no function in DuckDB: the digest's hex digits are spelled out in
+# bits, cut into fives and looked up in the alphabet.
+ORACLE["op9_warc"] = """
+WITH p AS (
+  SELECT page_id, encode(coalesce(html, '')) AS b FROM pages
+), d AS (
+  SELECT page_id, octet_length(b) AS payload_bytes, upper(sha1(b)) AS hex FROM p
+), bits AS (
+  SELECT *, array_to_string([lpad(bin(('0x' || substr(hex, i + 1, 1))::INT), 4, '0') for i in range(40)], '') AS bit FROM d
+), base AS (
+  SELECT *, array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    (16 * substr(bit, i * 5 + 1, 1)::INT + 8 * substr(bit, i * 5 + 2, 1)::INT + 4 * substr(bit, i * 5 + 3, 1)::INT
+     + 2 * substr(bit, i * 5 + 4, 1)::INT + substr(bit, i * 5 + 5, 1)::INT) + 1, 1) for i in range(32)], '')
+    AS payload_digest FROM bits
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY payload_digest ORDER BY page_id NULLS LAST) AS k,
+         first_value(page_id) OVER (PARTITION BY payload_digest ORDER BY page_id NULLS LAST) AS f
+  FROM base
+)
+SELECT page_id, payload_bytes::BIGINT AS payload_bytes, payload_digest,
+       CASE WHEN k = 1 THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN k > 1 THEN f END AS refers_to
+FROM ranked
+"""

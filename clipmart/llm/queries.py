@@ -59,3 +59,11 @@ def op2_sentencepiece(spark, sf):
 
     out = spm.encode(table(spark, sf, "documents"), verify=True)
     return out.select("doc_id", F.coalesce(F.array_size("ids"), F.lit(0)).cast("long").alias("n_ids"), "ids", "lossless")
+
+
+@query
+def op9_warc(spark, sf):
+    from clipmart.llm import warc
+
+    out = warc.archived(table(spark, sf, "pages"))
+    return out.select(F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
