@@ -67,3 +67,17 @@ def op9_warc(spark, sf):
 
     out = warc.archived(table(spark, sf, "pages"))
     return out.select(F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query
+def op5_token_files(spark, sf):
+    from clipmart.llm import tokenfile
+
+    return tokenfile.read_files(*tokenfile.written(table(spark, sf, "documents")))
+
+
+@query
+def op10_token_counts(spark, sf):
+    from clipmart.llm import editcount
+
+    return editcount.edited_counts(table(spark, sf, "documents"))
