@@ -81,3 +81,10 @@ def op10_token_counts(spark, sf):
     from clipmart.llm import editcount
 
     return editcount.edited_counts(table(spark, sf, "documents"))
+
+
+@query
+def op1_url_filter(spark, sf):
+    from clipmart.llm import urlfilter
+
+    return urlfilter.filtered(table(spark, sf, "pages")).select("page_id", "host", "path", "rule", "verdict")
