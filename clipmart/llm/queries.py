@@ -88,3 +88,10 @@ def op1_url_filter(spark, sf):
     from clipmart.llm import urlfilter
 
     return urlfilter.filtered(table(spark, sf, "pages")).select("page_id", "host", "path", "rule", "verdict")
+
+
+@query
+def op4_ann(spark, sf):
+    from clipmart.llm import ann
+
+    return ann.neighbours(table(spark, sf, "embeddings"))
