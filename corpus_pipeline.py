@@ -4,12 +4,17 @@ near-dedup, mixing sources to target weights, SentencePiece ids.
 Each stage takes what its predecessor kept, as (spark, docs, sf_dir), and
 returns the columns of documents; the last returns ids.  ``run`` writes every
 stage as Parquet into the shared folder and reads it back for the next.
+
+Documents are told apart by their ids.  Rows that share one are kept or go
+together until near-dedup, which leaves one of them; rows without an id go with
+the quality rules, as nothing later could name them.  An empty table stays empty.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from clipmart.llm import langid, mixing, quality, simhash, spm
 from clipmart.llm.common import WORD, staged, table
@@ -26,7 +31,6 @@ def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and the isolation forest."""
     stats = staged(quality.statistics(docs), "quality-statistics")
     forest = quality.fit(stats, table(spark, sf_dir, "labels"))
-    # equal ids stand for one document here: a row stays if its own counts are kept
     kept = quality.judged(stats, forest).where("kept").select("doc_id").distinct()
     return docs.join(kept, "doc_id", "left_semi").select(COLUMNS)
 
@@ -35,7 +39,9 @@ def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """The document of each near-duplicate group whose id names it."""
     found = simhash.near_duplicates(docs)
     first = found.where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(COLUMNS)
+    same_id = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "lang", "source", "n_chars")
+    return (docs.join(first, "doc_id", "left_semi").withColumn("k", F.row_number().over(same_id))
+            .where("k = 1").select(COLUMNS))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
