@@ -285,19 +285,38 @@ def correlation(mc: DataFrame, dims=("chunk_theme",), extended: bool = False) ->
                     F.lit(HONESTY_NOTE).alias("honesty_note"))
 
 
-def build(bronze_perf, platform, ad_map, asset, edl, fact_chunk) -> dict[str, DataFrame]:
-    """C4: the 8-model chain to the correlation mart.  The day-grained fact
-    and the ad -> chunk bridge are each read by several later models, so
-    they are materialised once (as the reference materialises its marts)."""
-    u = union(stage(bronze_perf, "meta"), stage(bronze_perf, "tiktok"))
-    f = materialize(fact(u, platform, ad_map))
-    k = kpi(f)
-    bridge = materialize(bridge_ad_chunk(edl, fact_chunk))
-    al = alignment(f, platform, ad_map, asset, bridge)
-    mc = metric_chunk(al, k, fact_chunk)
-    return {"int_ad_perf_unioned": u, "fact_ad_performance": f, "fct_ad_kpi": k,
-            "bridge_ad_chunk": bridge, "int_metric_chunk_alignment": al,
-            "fct_ad_metric_chunk": mc, "mart_chunk_perf_correlation": correlation(mc)}
+class Models(dict):
+    """Tables by name; one that isn't there yet is built from the others when
+    it is first read, so a reader pays for what it reads and no more."""
+
+    def __init__(self, how: dict, **given):
+        super().__init__(given)
+        self.how = how
+
+    def __missing__(self, name: str) -> DataFrame:
+        self[name] = self.how[name](self)
+        return self[name]
+
+
+#: How each model of the chain follows from others.  Those that several models
+#: read (the day-grained fact, the bridge, the metric rows, the mart) are materialised.
+CHAIN = {
+    "int_ad_perf_unioned": lambda m: union(stage(m["bronze_perf"], "meta"), stage(m["bronze_perf"], "tiktok")),
+    "fact_ad_performance": lambda m: materialize(fact(m["int_ad_perf_unioned"], m["platform"], m["ad_map"])),
+    "fct_ad_kpi": lambda m: kpi(m["fact_ad_performance"]),
+    "bridge_ad_chunk": lambda m: materialize(bridge_ad_chunk(m["edl"], m["fact_chunk"])),
+    "int_metric_chunk_alignment": lambda m: alignment(
+        m["fact_ad_performance"], m["platform"], m["ad_map"], m["dim_asset"], m["bridge_ad_chunk"]),
+    "fct_ad_metric_chunk": lambda m: materialize(
+        metric_chunk(m["int_metric_chunk_alignment"], m["fct_ad_kpi"], m["fact_chunk"])),
+    "mart_chunk_perf_correlation": lambda m: materialize(correlation(m["fct_ad_metric_chunk"])),
+}
+
+
+def build(bronze_perf, platform, ad_map, asset, edl, fact_chunk) -> Models:
+    """C4: the 8-model chain to the correlation mart, built as it is read."""
+    return Models(CHAIN, bronze_perf=bronze_perf, platform=platform, ad_map=ad_map, dim_asset=asset, edl=edl,
+                  fact_chunk=fact_chunk)
 
 
 def surfaced(mart: DataFrame, metric: str | None = None, dim: str | None = None) -> DataFrame:
@@ -327,7 +346,7 @@ def mine_unused(fact_chunk: DataFrame, asset: DataFrame, mart: DataFrame, bridge
             .join(raw, "asset_id", "left_semi")
             .join(best, "chunk_theme", "left_semi")
             .join(used, "chunk_id", "left_anti")
-            .select("chunk_id", "asset_id", "chunk_theme", "standalone_score", "start_sec", "end_sec"))
+            .select("chunk_id", "asset_id", "chunk_theme", "standalone_score", "start_sec", "end_sec", "transcript_segment"))
 
 
 def rank_agreement(mart: DataFrame, top: int = 3) -> DataFrame:

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clipmart.functions.pvalues import mwu_pvalue
+from clipmart.session import bounded_broadcast, materialize
 
 FAMILY = ["platform_id", "metric_name", "feature_dim"]
 MART_KEY = FAMILY + ["feature_value"]
@@ -35,14 +36,16 @@ def rows_before(ties: DataFrame, family: list[str], value: str, count: str = "t"
     """Add ``before`` = number of pooled values smaller than ``value`` in
     its family, for a table with one row per (family, value) and its tie
     count.  Distributed prefix sum: range-partition by (family, value),
-    prefix sums inside each (partition, family) slice, then add the totals
-    of the earlier partitions of the same family (a table of at most
-    families x partitions rows).  No family is ever gathered in one task."""
-    # Without a fixed count AQE may merge adjacent ranges (still in order);
-    # the partition id is read after that, in the consuming stage.
+    prefix sums inside each (slice, family), then add the totals of the
+    earlier slices of the same family (a table of at most families x slices
+    rows).  No family is ever gathered in one task.
+
+    The slice of every row is stored with it before anything reads it: range
+    bounds come from a sample and partitions may be merged at run time, so
+    two readers that each partitioned the rows would not agree on slices."""
     r = ties.repartitionByRange(partitions, *family, value) if partitions \
         else ties.repartitionByRange(*family, value)
-    r = r.withColumn("_pid", F.spark_partition_id())
+    r = materialize(r.withColumn("_pid", F.spark_partition_id()))
     local = Window.partitionBy("_pid", *family).orderBy(value) \
         .rowsBetween(Window.unboundedPreceding, -1)
     r = r.withColumn("_local", F.coalesce(F.sum(count).over(local), F.lit(0)))
@@ -67,7 +70,8 @@ def mann_whitney(base: DataFrame, mart: DataFrame) -> DataFrame:
     metric_value).  Families with an empty side are skipped; a family whose
     values are all equal has no test (NULL p, not counted)."""
     top = top_suggestive(mart)
-    rows = base.where(F.col("metric_value").isNotNull()).join(top, FAMILY) \
+    # one row per family; counted before it is broadcast, so that no large family is shuffled to one task
+    rows = base.where(F.col("metric_value").isNotNull()).join(bounded_broadcast(top), FAMILY) \
         .withColumn("is_top", F.col("feature_value") == F.col("top_value"))
     ties = rows.groupBy(*FAMILY, "top_value", "metric_value").agg(
         F.count(F.lit(1)).alias("t"), F.count_if("is_top").alias("c1"))

@@ -40,11 +40,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster that setting points at shared storage and is used as is.
-    Only when it is unset (local tests) a private folder is created and
-    registered, so lineage cuts and streaming checkpoints still have a home.
+    Only when it is unset and the master is local (tests) a private folder is
+    created and registered, so lineage cuts and streaming checkpoints still
+    have a home; a cluster without the setting is an error, as its executors
+    would each write to a disk of their own.
     """
     root = spark.conf.get(CHECKPOINT_CONF, None)
     if not root:
+        if not spark.conf.get("spark.master", "local").startswith("local"):
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="clipmart-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, root)
     try:
@@ -61,6 +65,12 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     return os.path.join(ensure_checkpoint_dir(spark).rstrip("/"), *parts)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path is there; a storage error is raised, not taken for no."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def spread(df, min_partitions: int | None = None):
     """Round-robin an input that arrives in fewer scan splits than the
     cluster has cores (e.g. one large row group), so per-row work (JSON,
