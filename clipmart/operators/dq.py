@@ -20,6 +20,8 @@ SENTIMENTS = ["energetic", "frustrated", "aspirational", "neutral", "urgent", "c
 CHUNK_ROLES = ["hook", "body", "social_proof", "cta"]
 ASSET_TYPES = ["RAW", "EDITED"]
 PLATFORMS = ["meta", "tiktok"]
+COUNTERS = ["impressions", "plays_3s", "plays_25", "plays_50", "plays_75", "plays_100", "sum_watch_time_sec",
+            "play_count", "link_clicks", "results", "spend"]
 REGIMES = ["BLOCK", "DIRECTIONAL", "SUGGESTIVE"]
 # Silver promotion threshold (share of rows passing all gates).
 PROMOTE_AT = 0.95
@@ -95,19 +97,19 @@ def assembly_safe(pairs: DataFrame, fact: DataFrame, min_score: int = 4) -> Data
 
 def json_gate(bronze: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Envelopes that do not parse (or carry no chunk array) go to
-    quarantine with a reason; the batch goes on."""
+    quarantine with a reason; the batch goes on.  An empty array is legal."""
     from clipmart.operators.silver import parse_envelope
 
     p = bronze.withColumn("_env", parse_envelope(F.col("raw_response")))
     reason = (F.when(F.col("raw_response").isNull(), "null_envelope")
-              .when(F.col("_env").isNull(), "unparsable_envelope")
-              .when(F.col("_env.chunks").isNull(), "missing_chunks")
-              .when(F.size("_env.chunks") == 0, "empty_chunks"))
+              .when(F.try_parse_json("raw_response").isNull(), "unparsable_envelope")
+              .when(F.col("_env.chunks").isNull(), "missing_chunks"))
     p = p.withColumn("reason", reason).drop("_env")
     return p.where(F.col("reason").isNull()).drop("reason"), p.where(F.col("reason").isNotNull())
 
 
 def _reasons(df: DataFrame) -> Column:
+    """Row rules; the two list fields are optional, so their absence breaks none."""
     rules = [
         (F.col("standalone_score").isNull(), "score_missing_or_malformed"),
         (~F.col("standalone_score").between(1, 5), "score_out_of_range"),
@@ -115,8 +117,6 @@ def _reasons(df: DataFrame) -> Column:
         (F.col("chunk_theme").isNull() | (F.trim(F.col("chunk_theme")) == ""), "theme_empty"),
         (F.col("start_sec").isNull() | F.col("end_sec").isNull(), "time_missing_or_malformed"),
         (F.col("end_sec") < F.col("start_sec"), "time_reversed"),
-        (F.col("next_compatible_themes").isNull(), "next_themes_missing_or_scalar"),
-        (F.col("keywords").isNull(), "keywords_missing_or_scalar"),
     ]
     arr = F.array(*[F.when(F.coalesce(cond, F.lit(False)), F.lit(name)) for cond, name in rules])
     return F.filter(arr, lambda x: x.isNotNull())
@@ -138,34 +138,46 @@ def pass_rate(silver: DataFrame) -> DataFrame:
 
 
 def perf_release(kpi: DataFrame, fact_perf: DataFrame, mc: DataFrame, mart: DataFrame,
-                 asset: DataFrame, ad_map: DataFrame, bridge: DataFrame) -> DataFrame:
+                 asset: DataFrame, ad_map: DataFrame, bridge: DataFrame, captured: DataFrame,
+                 alignment: DataFrame, shown: DataFrame | None = None) -> DataFrame:
     """Release gates of the performance marts, one row per violation
-    (rule, key)."""
-    rates = ["hook_rate", "hold_rate_25", "ctr_link", "cvr"]
-    r = kpi.select("ad_id", "platform_id", F.explode(F.array(*[
-        F.struct(F.lit(c).alias("rate"), F.col(c).alias("v")) for c in rates])).alias("x")) \
-        .where((F.col("x.v") < 0) | (F.col("x.v") > 1)) \
-        .select(F.lit("rate_in_unit_interval").alias("rule"),
-                F.concat_ws("|", "ad_id", "platform_id", "x.rate").alias("key"))
+    (rule, key).  Gates on what was left out compare with the input of the
+    step that leaves it out: ``captured`` (all ad rows, for the mapping),
+    ``alignment`` (for the coverage) and ``shown`` (what readers get, by
+    default ``perf.surfaced``, for the sample-size gate)."""
+    from clipmart.operators import perf
+
+    def broken(df: DataFrame, rule: str, *key) -> DataFrame:
+        return df.select(F.lit(rule).alias("rule"), F.concat_ws("|", *key).alias("key"))
+
+    def entries(df: DataFrame, cols: list[str], *keep: str) -> DataFrame:
+        return df.select(*keep, F.explode(F.array(*(
+            F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("value")) for c in cols))).alias("x"))
+
+    per_metric = ["ad_id", "platform_id", "metric_name"]
+    rates = entries(kpi, ["hook_rate", "hold_rate_25", "ctr_link", "cvr"], "ad_id", "platform_id")
+    counters = entries(fact_perf, [c for c in perf.CANONICAL if c in COUNTERS], "ad_id", "platform_id", "perf_date")
     edited = asset.where(F.col("asset_type") == "EDITED").select("asset_id")
-    fk = fact_perf.select("ad_id", "asset_id").distinct().join(edited, "asset_id", "left_anti") \
-        .select(F.lit("edited_only_fk").alias("rule"), F.concat_ws("|", "ad_id", "asset_id").alias("key"))
-    no_chunk = fact_perf.select("ad_id").distinct().join(bridge.select("ad_id"), "ad_id", "left_anti") \
-        .select(F.lit("ad_has_chunk").alias("rule"), F.col("ad_id").alias("key"))
-    grain = mc.groupBy("ad_id", "platform_id", "metric_name").count().where(F.col("count") != 1) \
-        .select(F.lit("one_row_per_metric").alias("rule"),
-                F.concat_ws("|", "ad_id", "platform_id", "metric_name").alias("key"))
-    low = mc.where(~F.col("coverage_confidence").isin("HIGH", "MEDIUM")) \
-        .select(F.lit("low_coverage_excluded").alias("rule"),
-                F.concat_ws("|", "ad_id", "platform_id", "metric_name").alias("key"))
-    unmapped = fact_perf.where(F.col("asset_id").isNull()).select(
-        F.lit("no_unmapped_ad").alias("rule"), F.col("ad_id").alias("key"))
-    from clipmart.operators.perf import surfaced
-    block = surfaced(mart).where(F.col("evidence_regime") == "BLOCK").select(
-        F.lit("block_never_surfaced").alias("rule"),
-        F.concat_ws("|", "platform_id", "metric_name", "feature_value").alias("key"))
-    out = r
-    for d in (fk, no_chunk, grain, low, unmapped, block):
+    ads = fact_perf.select("ad_id", "asset_id").distinct()
+    shown = perf.surfaced(mart) if shown is None else shown
+    value = ["platform_id", "metric_name", "feature_dim", "feature_value"]
+    low = alignment.where(~F.col("coverage_confidence").isin("HIGH", "MEDIUM")).select(*per_metric, "chunk_id")
+    found = [
+        broken(rates.where(~F.col("x.value").between(0, 1)), "rate_in_unit_interval", "ad_id", "platform_id", "x.name"),
+        broken(counters.where(F.col("x.value") < 0), "counter_not_negative", "ad_id", "platform_id", "perf_date", "x.name"),
+        broken(fact_perf.where(~F.col("platform_id").isin(*PLATFORMS)), "platform_accepted", "ad_id", "platform_id"),
+        broken(bridge.where(~F.col("chunk_role").isin(*CHUNK_ROLES)), "role_accepted", "ad_id", "chunk_id", "chunk_role"),
+        broken(ads.join(edited, "asset_id", "left_anti"), "edited_only_fk", "ad_id", "asset_id"),
+        broken(ads.select("ad_id").distinct().join(bridge.select("ad_id"), "ad_id", "left_anti"), "ad_has_chunk", "ad_id"),
+        broken(captured.select("ad_id").distinct().join(ad_map.where(F.col("asset_id").isNotNull()).select("ad_id"),
+                                                        "ad_id", "left_anti"), "no_unmapped_ad", "ad_id"),
+        broken(mc.groupBy(*per_metric).count().where(F.col("count") != 1), "one_row_per_metric", *per_metric),
+        broken(mc.join(low, [*per_metric, "chunk_id"], "left_semi"), "low_coverage_excluded", *per_metric),
+        broken(shown.join(mart.where(F.col("n_ads") < perf.BLOCK_BELOW).select(*value), value, "left_semi"),
+               "block_never_surfaced", *value),
+    ]
+    out = found[0]
+    for d in found[1:]:
         out = out.unionByName(d)
     return out
 

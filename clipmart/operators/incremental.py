@@ -36,7 +36,7 @@ def ttl_plan(landing: DataFrame, clients: DataFrame, bronze_ids: DataFrame, now:
     j = l.join(clients.select("client_id", "landing_ttl_days"), "client_id") \
         .withColumn("asset_id", ident.path_stem(F.col("key"))) \
         .withColumn("age_days", age)
-    b = bronze_ids.select("asset_id", F.lit(True).alias("_has"))
+    b = bronze_ids.select("asset_id").distinct().withColumn("_has", F.lit(True))
     j = j.join(b, "asset_id", "left")
     action = (F.when(F.col("age_days") < F.col("landing_ttl_days"), "within_ttl")
               .when(F.col("_has").isNull(), "skip_no_bronze").otherwise("delete"))
@@ -59,12 +59,9 @@ def append_bronze(batch: DataFrame, path: str) -> int:
     """K2 sink: anti join against what is stored, then append.  Returns the
     number of rows appended."""
     spark = batch.sparkSession
-    try:
-        existing = spark.read.schema(batch.schema).parquet(path)
-        existing.limit(1).collect()
-    except Exception:  # noqa: BLE001 - nothing stored yet
-        existing = None
-    from clipmart.session import materialize
+    from clipmart.session import materialize, path_exists
+
+    existing = spark.read.schema(batch.schema).parquet(path) if path_exists(spark, path) else None
     new = materialize(new_bronze(batch, existing))
     n = new.count()
     if n:

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clipmart.session import materialize
+
 # Lineage contract rules of the manifest.
 REQUIRED_COLS = ["asset_id", "client_id", "content_sha256", "asset_type", "source_uri"]
 HEX64 = r"^[0-9a-f]{64}$"
@@ -24,95 +24,70 @@ def duplicates(manifest: DataFrame, key: str = "asset_id", order_col: str = "row
 
 
 def violations(manifest: DataFrame, clients: DataFrame, order_col: str = "row_pos") -> DataFrame:
-    """One row per violation (row_pos, asset_id, rule, detail); R1-R5
-    and R7 are column rules evaluated in one pass (explode of the non-NULL
-    entries of a rule array), R5 is an anti join on the client seed and R6
-    is ``duplicates``."""
-    t = {c: F.trim(F.coalesce(F.col(c).cast("string"), F.lit(""))) for c in REQUIRED_COLS}
-    aid, cid, sha, uri = t["asset_id"], t["client_id"], t["content_sha256"], t["source_uri"]
-    m_ok = uri.rlike(URI)
-    u_client = F.regexp_extract(uri, URI, 2)
-    u_hash = F.regexp_extract(uri, URI, 3)
-    expect = F.sha2(F.concat(cid, F.lit(":"), sha), 256)
-
-    def rule(cond, name, detail):
-        return F.when(cond, F.struct(F.lit(name).alias("rule"), detail.alias("detail")))
-
-    rules = [rule(t[c] == "", "R1", F.lit(f"required column '{c}' is empty")) for c in REQUIRED_COLS]
-    rules += [
-        rule(~aid.rlike(HEX64), "R2", F.concat(F.lit("asset_id not 64-hex: "), aid)),
-        rule(~sha.rlike(HEX64), "R2", F.concat(F.lit("content_sha256 not 64-hex: "), sha)),
-        rule(sha.rlike(HEX64) & (cid != "") & (expect != aid), "R3",
-             F.lit("asset_id != sha256(client_id ':' content_sha256)")),
-        rule(~m_ok, "R4", F.lit("source_uri does not match landing/<client>/video/<asset_id>.<ext>")),
-        rule(m_ok & (u_client != cid), "R4", F.concat(F.lit("uri client segment != client_id: "), u_client)),
-        rule(m_ok & (u_hash != aid), "R4", F.lit("uri hash segment != asset_id")),
-        rule(cid.isin(*PLACEHOLDER_DENYLIST), "R7", F.concat(F.lit("placeholder client_id: "), cid)),
-    ]
-    col_rules = manifest.select(order_col, F.col("asset_id"),
-                                F.explode(F.filter(F.array(*rules), lambda x: x.isNotNull())).alias("v")) \
-        .select(order_col, "asset_id", "v.rule", "v.detail")
-    known = clients.select(F.col("client_id").alias("_cid")).distinct()
-    r5 = manifest.withColumn("_cid", F.trim(F.col("client_id"))).where(F.col("_cid") != "") \
-        .join(known, "_cid", "left_anti") \
-        .select(order_col, "asset_id", F.lit("R5").alias("rule"),
-                F.concat(F.lit("client_id has no row in dim_client: "), F.col("_cid")).alias("detail"))
-    r6 = duplicates(manifest, "asset_id", order_col).select(
-        order_col, "asset_id", F.lit("R6").alias("rule"),
-        F.concat(F.lit("duplicate asset_id (first seen row "), F.col("first_pos").cast("string"),
-                 F.lit(")")).alias("detail"))
-    return col_rules.unionByName(r5).unionByName(r6)
-
-
-def _view(df: DataFrame) -> str:
-    name = "v_" + uuid.uuid4().hex[:12]
-    df.createOrReplaceTempView(name)
-    return name
-
-
-def closure(edges: DataFrame, max_depth: int = 10) -> DataFrame:
-    """Transitive parent -> descendant pairs over lineage edges, with
-    the shortest depth; a recursive CTE with a depth cap (cycles stop at
-    the cap)."""
-    from clipmart.session import materialize
-
-    spark = edges.sparkSession
-    # every recursion step re-reads the edge view: materialise it once
-    v = _view(materialize(edges.select("parent_asset_id", "child_asset_id").distinct()))
-    q = f"""
-    WITH RECURSIVE walk(ancestor, descendant, depth) AS (
-      SELECT parent_asset_id, child_asset_id, 1 FROM {v}
-      UNION ALL
-      SELECT w.ancestor, e.child_asset_id, w.depth + 1
-      FROM walk w JOIN {v} e ON e.parent_asset_id = w.descendant
-      WHERE w.depth < {int(max_depth)}
-    )
-    SELECT ancestor, descendant, min(depth) AS depth FROM walk GROUP BY ancestor, descendant"""
-    return spark.sql(q)
+    """One row (row_pos, asset_id, rule, field, value) per breach: the
+    field that breaks the rule and what it holds (for R6 the row that has the
+    id first).  Rules over one row are a list of conditions read in one pass;
+    R5 looks the client up and R6 is ``duplicates``."""
+    text = {c: F.trim(F.coalesce(F.col(c).cast("string"), F.lit(""))) for c in REQUIRED_COLS}
+    asset, client, content, place = (text[c] for c in ("asset_id", "client_id", "content_sha256", "source_uri"))
+    in_place = {"client_id": F.regexp_extract(place, URI, 2), "asset_id": F.regexp_extract(place, URI, 3)}
+    placed = place.rlike(URI)
+    derived = F.sha2(F.concat_ws(":", client, content), 256)
+    breaches = [("R1", c, v == "", v) for c, v in text.items()]
+    breaches += [("R2", c, ~text[c].rlike(HEX64), text[c]) for c in ("asset_id", "content_sha256")]
+    breaches += [("R3", "asset_id", content.rlike(HEX64) & (client != "") & (asset != derived), asset),
+                 ("R4", "source_uri", ~placed, place)]
+    breaches += [("R4", c, placed & (v != text[c]), v) for c, v in in_place.items()]
+    breaches += [("R7", "client_id", client.isin(*PLACEHOLDER_DENYLIST), client)]
+    found = F.filter(F.array(*(
+        F.when(broken, F.struct(F.lit(rule).alias("rule"), F.lit(field).alias("field"), value.alias("value")))
+        for rule, field, broken, value in breaches)), lambda x: x.isNotNull())
+    one_row = manifest.select(order_col, "asset_id", F.explode(found).alias("b")).select(order_col, "asset_id", "b.*")
+    given = manifest.select(order_col, "asset_id", client.alias("value")).where("value <> ''")
+    orphans = given.join(clients.select(F.col("client_id").alias("value")), "value", "left_anti") \
+        .select(order_col, "asset_id", F.lit("R5").alias("rule"), F.lit("client_id").alias("field"), "value")
+    again = duplicates(manifest, "asset_id", order_col).select(
+        order_col, "asset_id", F.lit("R6").alias("rule"), F.lit("asset_id").alias("field"),
+        F.col("first_pos").cast("string").alias("value"))
+    return one_row.unionByName(orphans).unionByName(again)
+
+
+def closure(edges: DataFrame, max_depth: int | None = None) -> DataFrame:
+    """Ancestor -> descendant pairs over lineage edges, with the
+    shortest depth.  Each step joins the pairs found last with the edges and
+    keeps those not seen before, so cycles end by themselves and nothing is
+    cut off unless ``max_depth`` asks for it.  Steps are materialised."""
+    e = materialize(edges.select("parent_asset_id", "child_asset_id").where(
+        F.col("parent_asset_id").isNotNull() & F.col("child_asset_id").isNotNull()).distinct())
+    step = e.select(F.col("parent_asset_id").alias("ancestor"), F.col("child_asset_id").alias("descendant"))
+    seen = frontier = step.withColumn("depth", F.lit(1))
+    depth = 1
+    while (max_depth is None or depth < max_depth) and not frontier.isEmpty():
+        depth += 1
+        reached = frontier.join(e, F.col("descendant") == F.col("parent_asset_id")) \
+            .select("ancestor", F.col("child_asset_id").alias("descendant")).distinct()
+        frontier = materialize(reached.join(seen.select("ancestor", "descendant"), ["ancestor", "descendant"], "left_anti")
+                               .withColumn("depth", F.lit(depth)))
+        seen = materialize(seen.union(frontier)) if depth % 8 == 0 else seen.union(frontier)
+    return seen
 
 
 def theme_walk(fact: DataFrame, compat: DataFrame, start: str = "Hook", steps: int = 4,
                min_score: int = 4) -> DataFrame:
     """J18 (sequence walk): theme paths of up to ``steps`` hops from the start
     theme over the graph of allowed transitions between eligible chunks.
-    The theme graph is aggregated first (distinct theme -> theme edges with
-    the number of chunks carrying each), so the recursion runs on a graph
-    with one node per theme, not per chunk."""
-    spark = fact.sparkSession
+    The theme graph is aggregated first (distinct theme -> theme edges), so
+    the walk runs on a graph with one node per theme, not per chunk."""
     e = fact.where(F.col("standalone_score") >= min_score).select("chunk_id", "chunk_theme")
     eligible_themes = e.select(F.col("chunk_theme").alias("dst")).distinct()
-    g = e.join(compat, "chunk_id").select(F.col("chunk_theme").alias("src"), F.col("compatible_theme").alias("dst")) \
-        .join(eligible_themes, "dst", "left_semi") \
-        .groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n_edges"))
-    from clipmart.session import materialize
-    v = _view(materialize(g))  # one row per theme pair, read by every step
-    q = f"""
-    WITH RECURSIVE walk(path, last_theme, depth) AS (
-      SELECT concat('{start}', ' > ', dst), dst, 1 FROM {v} WHERE src = '{start}'
-      UNION ALL
-      SELECT concat(w.path, ' > ', g.dst), g.dst, w.depth + 1
-      FROM walk w JOIN {v} g ON g.src = w.last_theme
-      WHERE w.depth < {int(steps)}
-    )
-    SELECT path, last_theme, depth FROM walk"""
-    return spark.sql(q)
+    g = materialize(e.join(compat, "chunk_id")
+                    .select(F.col("chunk_theme").alias("src"), F.col("compatible_theme").alias("dst"))
+                    .join(eligible_themes, "dst", "left_semi").distinct())
+    walk = g.where(F.col("src") == start).select(
+        F.concat_ws(" > ", "src", "dst").alias("path"), F.col("dst").alias("last_theme"), F.lit(1).alias("depth"))
+    out = walk
+    for depth in range(2, steps + 1):
+        walk = walk.join(g, F.col("last_theme") == F.col("src")).select(
+            F.concat_ws(" > ", "path", "dst").alias("path"), F.col("dst").alias("last_theme"), F.lit(depth).alias("depth"))
+        out = out.union(walk)
+    return out

@@ -26,8 +26,9 @@ def parse_envelope(raw: Column) -> Column:
 
 def to_int(text: Column) -> Column:
     """JSON scalar text -> int, rounding half away from zero ('4.5' -> 5);
-    text that is not a number becomes NULL and is quarantined later."""
-    return F.round(text.try_cast("double")).cast("int")
+    text that is not a number, or none that fits, becomes NULL and is
+    quarantined later."""
+    return F.round(text.try_cast("double")).try_cast("int")
 
 
 def explode_chunks(bronze: DataFrame, id_width: int = 3, keep_versions: bool = True) -> DataFrame:

@@ -63,8 +63,13 @@ def read_seed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame
 
 
 def read_embeddings(spark: SparkSession, path: str) -> DataFrame:
-    """The embedding side table."""
-    return spark.read.schema(schemas.CHUNK_EMBEDDING).parquet(path)
+    """The embedding side table.  A missing or repeated ``chunk_id`` fails
+    the read, as it would multiply or lose chunks in every join on it."""
+    df = spark.read.schema(schemas.CHUNK_EMBEDDING).parquet(path)
+    bad = df.groupBy("chunk_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 OR chunk_id IS NULL").limit(1).collect()
+    if bad:
+        raise ValueError(f"{path}: chunk_id {bad[0]['chunk_id']!r} is on {bad[0]['n']} rows")
+    return df
 
 
 def read_run_log(spark: SparkSession, path: str) -> DataFrame:
@@ -120,12 +125,21 @@ def write_objects(df: DataFrame, root: str, key_col: str, payload_col: str) -> D
     return df.select(key_col, payload_col).mapInPandas(run, schema)
 
 
+def escape_partition(value: str) -> str:
+    """A partition value as Spark writes it into a folder name."""
+    special = '"#%\'*/:=?\\\x7f{[]^'
+    return "".join(f"%{ord(c):02X}" if c < " " or c in special else c for c in value)
+
+
 def write_table(df: DataFrame, root: str, name: str, client_id: str | None = None) -> None:
     """K1: full overwrite of one client's copy of a table, others untouched
     (dynamic partition overwrite).  Without ``client_id`` every client
     partition present in ``df`` is replaced."""
     if client_id is not None:
-        df = df.where(F.col("client_id") == _require_client(client_id))
+        # the folder of the one client is replaced, also by an empty table
+        df = df.where(F.col("client_id") == _require_client(client_id)).drop("client_id")
+        df.write.mode("overwrite").parquet(os.path.join(root, name, f"client_id={escape_partition(client_id)}"))
+        return
     # per-write option: no session-wide setting is changed
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
         .partitionBy("client_id").parquet(os.path.join(root, name))
@@ -139,13 +153,11 @@ def append_events(df: DataFrame, path: str) -> None:
 def append_manifest(new_rows: DataFrame, path: str) -> int:
     """K4: append manifest rows whose asset id is not stored yet."""
     spark = new_rows.sparkSession
-    try:
+    from clipmart.session import materialize, path_exists
+
+    if path_exists(spark, path):
         old = spark.read.schema(new_rows.schema).parquet(path).select("asset_id")
-        old.limit(1).collect()
         new_rows = new_rows.join(old, "asset_id", "left_anti")
-    except Exception:  # noqa: BLE001 - first write
-        pass
-    from clipmart.session import materialize
     new_rows = materialize(new_rows)
     n = new_rows.count()
     if n:
@@ -167,10 +179,11 @@ def write_failures(fails: DataFrame, path: str) -> None:
     fails.write.mode("append").partitionBy("check_id").parquet(path)
 
 
-def serving_view(spark: SparkSession, fact_path: str, name: str = "fact_chunk_vector") -> DataFrame:
-    """K8: refresh and (re)register the read-only serving view."""
+def serving_view(spark: SparkSession, fact_path: str, name: str = "fact_chunk_vector",
+                 schema: T.StructType | None = None) -> DataFrame:
+    """K8: refresh the one table's files and (re)register the read-only serving view."""
     from clipmart.operators.search import serving_view as shape
 
-    spark.catalog.clearCache()
-    df = spark.read.parquet(fact_path)
+    spark.catalog.refreshByPath(fact_path)
+    df = spark.read.schema(schema).parquet(fact_path) if schema else spark.read.parquet(fact_path)
     return shape(df, name)

@@ -21,19 +21,14 @@ from pyspark.sql import types as T
 
 from clipmart import schemas
 from clipmart.operators import perf, silver
-from clipmart.session import ensure_checkpoint_dir, materialize
+from clipmart.session import ensure_checkpoint_dir, materialize, path_exists
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(p)
-
-
-def _run(writer, timeout_s: int = 600) -> None:
+def _run(writer) -> None:
+    """Process all that is there.  ``availableNow`` ends by itself; until then
+    there is no result to read, so the wait has no limit."""
     q = writer.trigger(availableNow=True).start()
-    q.awaitTermination(timeout_s)
+    q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
 
@@ -49,8 +44,8 @@ def bronze_to_silver(spark: SparkSession, src: str, out: str, ckpt: str, id_widt
 
     def batch(df: DataFrame, epoch: int) -> None:
         new = df.dropDuplicates(["asset_id"])  # batch-local: no state kept
-        if _exists(spark, out):
-            done = spark.read.parquet(out).select("asset_id").distinct()
+        if path_exists(spark, out):
+            done = spark.read.schema(schemas.SILVER_CHUNK).parquet(out).select("asset_id").distinct()
             new = new.join(done, "asset_id", "left_anti")
         chunks = silver.clean(silver.explode_chunks(new, id_width))
         chunks.write.mode("append").parquet(out)
@@ -69,10 +64,11 @@ def perf_upsert(spark: SparkSession, src: str, out: str, ckpt: str, max_files: i
 
     def batch(df: DataFrame, epoch: int) -> None:
         merged = df
-        if _exists(spark, out):
-            days = df.select("perf_date").distinct()
+        if path_exists(spark, out):
+            # the batch's days (one row each) as literals: other partitions are not listed
+            days = [r[0] for r in df.select("perf_date").distinct().collect()]
             stored = spark.read.schema(schemas.BRONZE_AD_PERF).parquet(out) \
-                .join(days, "perf_date", "left_semi")
+                .where(F.col("perf_date").isin(days))
             merged = stored.unionByName(df)
         # materialise before overwriting the partitions the merge read from
         latest = materialize(perf.latest_pull(merged, keys))
