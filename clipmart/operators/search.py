@@ -3,7 +3,7 @@ top-k (exact and approximate), batch semantic join and BM25 text ranking."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
@@ -74,89 +74,73 @@ def nearest(fact: DataFrame, qvec: Sequence[float], k: int, metric: str = "l2")
     v = fact.where(F.col("embedding").isNotNull())
     if metric == "l2":
         s = vx.l2_distance("embedding", list(qvec))
-        return v.select("chunk_id", F.round(s, 6).alias("distance")) \
+        return v.select("chunk_id", s.alias("distance")) \
             .orderBy(F.col("distance").asc_nulls_last(), "chunk_id").limit(k)
     s = vx.cosine_similarity("embedding", list(qvec))
-    return v.select("chunk_id", F.round(s, 6).alias("similarity")) \
+    return v.select("chunk_id", s.alias("similarity")) \
         .orderBy(F.col("similarity").desc_nulls_last(), "chunk_id").limit(k)
 
 
-def _topk_partition(qids: np.ndarray, qmat: np.ndarray, k: int, metric: str):
-    """mapInPandas body: per corpus batch, the k best rows for every query.
-    Distances are computed directly (sum of squared differences in float64)
-    rather than by the dot-product expansion, which loses digits."""
-    qnorm = np.linalg.norm(qmat, axis=1)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            cmat = np.stack(pdf["embedding"].to_numpy()).astype(np.float64)
-            ids = pdf["chunk_id"].to_numpy()
-            cnorm = np.linalg.norm(cmat, axis=1)
-            kk = min(k, len(ids))
-            out_q, out_c, out_s = [], [], []
-            for qi in range(len(qids)):
-                q = qmat[qi]
-                if metric == "l2":
-                    score = np.sqrt(((cmat - q) ** 2).sum(axis=1))
-                    order = np.argsort(score, kind="stable")[:kk]
-                else:
-                    with np.errstate(divide="ignore", invalid="ignore"):
-                        score = (cmat @ q) / (cnorm * qnorm[qi])
-                    order = np.argsort(-score, kind="stable")[:kk]
-                out_q.append(np.repeat(qids[qi], kk))
-                out_c.append(ids[order])
-                out_s.append(score[order])
-            yield pd.DataFrame({"query_id": np.concatenate(out_q), "chunk_id": np.concatenate(out_c),
-                                "score": np.concatenate(out_s)})
-    return run
+def hits(found: DataFrame, fact: DataFrame, asset: DataFrame) -> DataFrame:
+    """What a reader sees of the chunks that a top-k search found: asset name,
+    times, score, theme and text beside the measure.  ``found`` has k rows."""
+    shown = [c for c in CLIP_COLUMNS if c not in ("chunk_id", "asset_id", "sentiment")]
+    return (fact.join(F.broadcast(found), "chunk_id").join(asset.select("asset_id", "asset_name"), "asset_id")
+            .select(*found.columns, *shown))
+
+
+def _topk_block(qids: np.ndarray, qmat: np.ndarray, ids: np.ndarray, cmat: np.ndarray, k: int,
+                metric: str) -> pd.DataFrame:
+    """The k best corpus rows for every query; equal scores by id.  Distances
+    are computed directly (sum of squared differences in float64) rather than
+    by the dot-product expansion, which loses digits."""
+    by_id = np.argsort(ids, kind="stable")
+    ids, cmat = ids[by_id], cmat[by_id]
+    qnorm, cnorm = np.linalg.norm(qmat, axis=1), np.linalg.norm(cmat, axis=1)
+    kk = min(k, len(ids))
+    out_c, out_s = [], []
+    for q, n in zip(qmat, qnorm):
+        if metric == "l2":
+            score = np.sqrt(((cmat - q) ** 2).sum(axis=1))
+            order = np.argsort(score, kind="stable")[:kk]
+        else:
+            with np.errstate(divide="ignore", invalid="ignore"):
+                score = (cmat @ q) / (cnorm * n)
+            order = np.argsort(-score, kind="stable")[:kk]
+        out_c.append(ids[order])
+        out_s.append(score[order])
+    return pd.DataFrame({"query_id": np.repeat(qids, kk), "chunk_id": pd.Series(np.concatenate(out_c), dtype=object),
+                         "score": np.concatenate(out_s)})
 
 
 def semantic_join(queries: DataFrame, fact: DataFrame, k: int, metric: str = "l2",
-                  max_broadcast_queries: int = 4096, corpus_blocks: int | None = None) -> DataFrame:
+                  query_block: int = 4096, corpus_block: int = 20_000) -> DataFrame:
     """M3: top-k corpus chunks for many query vectors.
 
-    Small query sets (row count checked against ``max_broadcast_queries``)
-    are shipped to every task: each corpus partition keeps its own k best
-    per query (numpy, no pair rows emitted).  Larger query sets never pass
-    through the driver: queries are replicated once per corpus block and
-    each (query block, corpus block) pair is scored in one
-    ``cogroup().applyInPandas`` task that again keeps k per query.  Either
-    way a window over k x blocks candidates per query picks the final k."""
-    spark = fact.sparkSession
-    qcols = queries.select("query_id", "embedding")
+    One plan at every size: both sides are hashed into blocks of bounded size
+    (row counts set the number of blocks), each (query block, corpus block)
+    pair is scored in one ``cogroup().applyInPandas`` task that keeps k rows
+    per query, and a window over k x blocks candidates per query picks the
+    final k.  Nothing passes through the driver but the two counts."""
+    qcols = queries.select("query_id", "embedding").where(F.col("embedding").isNotNull())
     corpus = fact.where(F.col("embedding").isNotNull()).select("chunk_id", "embedding")
-    qtype = queries.schema["query_id"].dataType
-    schema = T.StructType([T.StructField("query_id", qtype),
+    schema = T.StructType([T.StructField("query_id", queries.schema["query_id"].dataType),
                            T.StructField("chunk_id", T.StringType()),
                            T.StructField("score", T.DoubleType())])
-    n = qcols.count()
-    if n <= max_broadcast_queries:
-        pdf = qcols.toPandas()
-        if pdf.empty:
-            return spark.createDataFrame([], schema).withColumn("rank", F.lit(1))
-        qids = pdf["query_id"].to_numpy()
-        qmat = np.stack(pdf["embedding"].to_numpy()).astype(np.float64)
-        cand = corpus.mapInPandas(_topk_partition(qids, qmat, k, metric), schema)
-    else:
-        cb = corpus_blocks or int(spark.conf.get("spark.sql.shuffle.partitions"))
-        qb = max(1, (n + max_broadcast_queries - 1) // max_broadcast_queries)
-        c = corpus.withColumn("cb", F.abs(F.xxhash64("chunk_id")) % cb) \
-            .withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(qb - 1))))
-        q = qcols.withColumn("qb", F.abs(F.xxhash64("query_id")) % qb) \
-            .withColumn("cb", F.explode(F.sequence(F.lit(0), F.lit(cb - 1))))
-
-        def pair(qpdf: pd.DataFrame, cpdf: pd.DataFrame) -> pd.DataFrame:
-            if qpdf.empty or cpdf.empty:
-                return pd.DataFrame({"query_id": [], "chunk_id": [], "score": []})
-            qids = qpdf["query_id"].to_numpy()
-            qmat = np.stack(qpdf["embedding"].to_numpy()).astype(np.float64)
-            parts = list(_topk_partition(qids, qmat, k, metric)(iter([cpdf[["chunk_id", "embedding"]]])))
-            return pd.concat(parts) if parts else pd.DataFrame({"query_id": [], "chunk_id": [], "score": []})
-
-        cand = q.groupBy("qb", "cb").cogroup(c.groupBy("qb", "cb")).applyInPandas(pair, schema)
-    cand = cand.withColumn("score", F.round("score", 6))
+    qb, cb = max(1, -(-qcols.count() // query_block)), max(1, -(-corpus.count() // corpus_block))
+    c = corpus.withColumn("cb", F.pmod(F.xxhash64("chunk_id"), F.lit(cb))) \
+        .withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(qb - 1)).cast("array<bigint>")))
+    q = qcols.withColumn("qb", F.pmod(F.xxhash64("query_id"), F.lit(qb))) \
+        .withColumn("cb", F.explode(F.sequence(F.lit(0), F.lit(cb - 1)).cast("array<bigint>")))
+
+    def pair(qpdf: pd.DataFrame, cpdf: pd.DataFrame) -> pd.DataFrame:
+        if qpdf.empty or cpdf.empty:
+            return pd.DataFrame({"query_id": qpdf["query_id"].to_numpy()[:0], "score": np.empty(0),
+                                 "chunk_id": pd.Series([], dtype=object)})[["query_id", "chunk_id", "score"]]
+        matrix = lambda x: np.stack(x["embedding"].to_numpy()).astype(np.float64)
+        return _topk_block(qpdf["query_id"].to_numpy(), matrix(qpdf), cpdf["chunk_id"].to_numpy(), matrix(cpdf), k, metric)
+
+    cand = q.groupBy("qb", "cb").cogroup(c.groupBy("qb", "cb")).applyInPandas(pair, schema)
     order = F.col("score").asc() if metric == "l2" else F.col("score").desc()
     w = Window.partitionBy("query_id").orderBy(order, F.col("chunk_id"))
     return cand.withColumn("rank", F.row_number().over(w).cast("long")).where(F.col("rank") <= k)
@@ -204,7 +188,9 @@ def bm25(docs: DataFrame, queries: DataFrame, k: int, k1: float = 1.2, b: float
     30M-row (query, doc, term) fan-out is summed where it is produced and
     never shuffled; frequent terms cannot skew a task.  The per-query
     top-k is a ``row_number() <= k`` window (WindowGroupLimit: k rows per
-    task and query cross the final shuffle)."""
+    task and query cross the final shuffle).  Scores are sums whose order of
+    addition varies from run to run; nine decimals are kept, so that copies of
+    a document tie and come in order of their ids."""
     toks = docs.select(F.col(doc_id).alias("doc_id"), tx.tokens(F.col(text)).alias("toks"))
     st = toks.agg(F.count(F.lit(1)).alias("n"), F.avg(F.size("toks")).alias("avgdl")).first()
     n_docs, avgdl = float(st["n"] or 0), float(st["avgdl"] or 0.0)
@@ -230,7 +216,7 @@ def bm25(docs: DataFrame, queries: DataFrame, k: int, k1: float = 1.2, b: float
     w = tf.join(df, "term").select("doc_id", "term",
                                    (idf * F.col("tf") * (k1 + 1) / (F.col("tf") + norm)).alias("w"))
     scored = w.join(F.broadcast(qterms) if small else qterms, "term") \
-        .groupBy("doc_id", "query_id").agg(F.round(F.sum("w"), 6).alias("score"))
+        .groupBy("doc_id", "query_id").agg(F.round(F.sum("w"), 9).alias("score"))
     win = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("doc_id"))
     return scored.withColumn("rank", F.row_number().over(win).cast("long")).where(F.col("rank") <= k) \
         .withColumnRenamed("doc_id", doc_id)
