@@ -20,10 +20,10 @@ def tokens(text) -> Column:
     return F.regexp_extract_all(F.lower(F.coalesce(_c(text), F.lit(""))), F.lit(TOKEN_PATTERN), 0)
 
 
-def keywords(text, n: int = 3) -> Column:
-    """First ``n`` distinct lower-case words of five or more letters."""
+def keywords(text) -> Column:
+    """The distinct lower-case words of five or more letters, in order."""
     words = F.regexp_extract_all(F.lower(F.coalesce(_c(text), F.lit(""))), F.lit(KEYWORD_PATTERN), 0)
-    return F.slice(F.array_distinct(words), 1, n)
+    return F.array_distinct(words)
 
 
 def normalised_theme(theme) -> Column:

@@ -9,7 +9,7 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from clipmart.operators import gold, search, silver
@@ -47,6 +47,14 @@ def q_search(spark, sf):
                         sentiment="frustrated", min_score=4, contains="an", order=False)
 
 
+@query("search_ordered")
+def q_search_ordered(spark, sf):
+    """The first 50 hits in reading order, with their position."""
+    hits = search.clips(fact_chunk(spark, sf), dim_asset(spark, sf), theme="Problem", min_score=4).limit(50)
+    w = Window.orderBy(F.col("standalone_score").desc_nulls_last(), F.col("start_sec").asc_nulls_last(), "chunk_id")
+    return hits.select(F.row_number().over(w).cast("long").alias("position"), *search.CLIP_COLUMNS)
+
+
 def silver_raw(spark, sf):
     return silver.explode_chunks(fx.bronze_asset_raw(spark, sf), fx.ID_WIDTH)
 
@@ -117,14 +125,13 @@ from clipmart.operators import perf  # noqa: E402
 def perf_chain(spark, sf):
     """The performance marts read chunk features only (no vectors); the
     chunk table and the asset dimension are materialised once for the
-    several models that read them."""
+    several models that read them, if any of those is asked for."""
     from clipmart.session import materialize
 
-    fc = materialize(gold.fact_chunk(silver_chunks(spark, sf), None).drop("embedding"))
-    asset = materialize(dim_asset(spark, sf).drop("load_ts"))
-    return perf.build(fx.bronze_ad_performance(spark, sf), fx.dim_platform(spark),
-                      fx.map_ad_asset(spark, sf), asset,
-                      fx.edit_decision_list(spark, sf), fc) | {"fact_chunk": fc, "dim_asset": asset}
+    own = {"fact_chunk": lambda m: materialize(gold.fact_chunk(silver_chunks(spark, sf), None).drop("embedding")),
+           "dim_asset": lambda m: materialize(dim_asset(spark, sf).drop("load_ts"))}
+    return perf.Models(perf.CHAIN | own, bronze_perf=fx.bronze_ad_performance(spark, sf), platform=fx.dim_platform(spark),
+                       ad_map=fx.map_ad_asset(spark, sf), edl=fx.edit_decision_list(spark, sf))
 
 
 @query("platform_staging")
@@ -469,7 +476,7 @@ def q_dq_perf_release(spark, sf):
     c = perf_chain(spark, sf)
     return dq.perf_release(c["fct_ad_kpi"], c["fact_ad_performance"], c["fct_ad_metric_chunk"],
                            c["mart_chunk_perf_correlation"], c["dim_asset"], fx.map_ad_asset(spark, sf),
-                           c["bridge_ad_chunk"])
+                           c["bridge_ad_chunk"], c["int_ad_perf_unioned"], c["int_metric_chunk_alignment"])
 
 
 @query("lineage_contract")
@@ -503,8 +510,12 @@ def dq_golden(expected, actual):
 
 @query("store_failures")
 def q_store_failures(spark, sf):
+    """The failing rows, appended to the audit table and read back (K7)."""
+    import uuid
     metrics, fails = dq_suite(spark, sf)
-    return fails.drop("run_ts")
+    path = scratch_path(spark, "audit", uuid.uuid4().hex)
+    cio.write_failures(fails, path)
+    return spark.read.schema(fails.schema).parquet(path).drop("run_ts").select(*fails.drop("run_ts").columns)
 
 
 @query("dq_run_metrics")
@@ -583,7 +594,7 @@ def q_near_dup(spark, sf):
 
 @query("lineage_walk")
 def q_lineage_walk(spark, sf):
-    return lineage.closure(gold.lineage(dim_asset(spark, sf)), max_depth=5)
+    return lineage.closure(gold.lineage(dim_asset(spark, sf)))
 
 
 @query("sequence_walk")
@@ -642,9 +653,14 @@ def q_ttl_summary(spark, sf):
 
 @query("bronze_append")
 def q_bronze_append(spark, sf):
+    """Three appends to one table (K2): half of the assets, all of them, all
+    again; every asset is stored once."""
+    import uuid
+    path = scratch_path(spark, "bronze", uuid.uuid4().hex)
     b = fx.bronze_asset_raw(spark, sf)
-    existing = b.where(F.expr("cast(substr(asset_id, 4) as bigint) % 2 = 0"))
-    return incremental.new_bronze(b, existing).select("asset_id", "client_id", "content_sha256", "chunk_count")
+    for batch in (b.where(F.expr("cast(substr(asset_id, 4) as bigint) % 2 = 0")), b, b):
+        incremental.append_bronze(batch, path)
+    return spark.read.schema(b.schema).parquet(path).select("asset_id", "client_id", "content_sha256", "chunk_count")
 
 
 @query("embed_incremental")
@@ -668,19 +684,23 @@ def _query_vector(spark, sf, vec_id: int = 1):
 
 @query("semantic_topk")
 def q_semantic_topk(spark, sf):
-    return search.nearest(fact_chunk(spark, sf), _query_vector(spark, sf), 10, "l2")
+    f = fact_chunk(spark, sf)
+    return search.hits(search.nearest(f, _query_vector(spark, sf), 10, "l2"), f, dim_asset(spark, sf)) \
+        .withColumn("distance", F.round("distance", 6))
 
 
 @query("cosine_topk")
 def q_cosine_topk(spark, sf):
-    return search.nearest(fact_chunk(spark, sf), _query_vector(spark, sf), 10, "cosine")
+    return search.nearest(fact_chunk(spark, sf), _query_vector(spark, sf), 10, "cosine") \
+        .withColumn("similarity", F.round("similarity", 6))
 
 
 @query("semantic_join")
 def q_semantic_join(spark, sf):
-    q = fx.table(spark, sf, "embeddings").where(F.col("label") == 3) \
+    # the stated query set: every 20th vector, against all chunks
+    q = fx.table(spark, sf, "embeddings").where(F.col("vec_id") % 20 == 0) \
         .select(F.col("vec_id").alias("query_id"), "embedding")
-    return search.semantic_join(q, fact_chunk(spark, sf), 5, "l2")
+    return search.semantic_join(q, fact_chunk(spark, sf), 5, "l2").withColumn("score", F.round("score", 6))
 
 
 @query("ann_topk")
@@ -690,14 +710,28 @@ def q_ann_topk(spark, sf):
 
 @query("serving_view")
 def q_serving_view(spark, sf):
-    return search.serving_view(fact_chunk(spark, sf))
+    """The view over a stored fact table, registered anew after a write (K8)."""
+    import uuid
+    path = scratch_path(spark, "serving", uuid.uuid4().hex)
+    f = fact_chunk(spark, sf)
+    f.write.parquet(path)
+    return cio.serving_view(spark, path, schema=f.schema)
+
+
+@query("embedding_scan")
+def q_embedding_scan(spark, sf):
+    """The stored side table, read through its key guard."""
+    import uuid
+    path = scratch_path(spark, "embeddings", uuid.uuid4().hex)
+    fx.chunk_embedding(spark, sf).write.parquet(path)
+    return cio.read_embeddings(spark, path).select("chunk_id", "content_hash", F.size("embedding").alias("dim"))
 
 
 @query("bm25_search")
 def q_bm25(spark, sf):
     q = fx.table(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"),
                                                 F.col("text").alias("query_text"))
-    return search.bm25(silver_chunks(spark, sf), q, 5)
+    return search.bm25(silver_chunks(spark, sf), q, 5).withColumn("score", F.round("score", 6))
 
 
 @query("search_keyword")

@@ -234,13 +234,13 @@ def map_ad_asset(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def edit_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """First min(4, lines) chunks of the ad's own document.  Role: hook at 1,
+    """All chunks of the ad's own document.  Role: hook at 1,
     cta at the last, body at 2, else social_proof.  A planted typo on the
     second row of every 50th document gives the orphan check work."""
     m = map_ad_asset(spark, sf_dir).select("ad_id", F.expr("cast(substr(ad_id, 3) as bigint)").alias("doc_id"))
     d = table(spark, sf_dir, "documents").select("doc_id", "text")
     j = m.join(d, "doc_id").select("ad_id", "doc_id",
-                                   F.least(F.lit(4), F.size(_lines(F.col("text")))).alias("n"))
+                                   F.size(_lines(F.col("text"))).alias("n"))
     j = j.where(F.col("n") >= 1).select("ad_id", "doc_id", "n",
                                          F.explode(F.sequence(F.lit(1), F.col("n"))).alias("seq"))
     doc, seq, step = F.col("doc_id"), F.col("seq"), _step(F.col("doc_id"))

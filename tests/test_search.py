@@ -7,15 +7,30 @@ from clipmart.plans import fixtures as fx
 from .conftest import SMALL
 
 
-def test_semantic_join_distributed_path_equals_broadcast_path(spark):
+def test_semantic_join_in_any_blocks(spark):
     q = fx.table(spark, SMALL, "embeddings").where(F.col("label") == 3) \
         .select(F.col("vec_id").alias("query_id"), "embedding")
     fc = C.fact_chunk(spark, SMALL)
     a = {tuple(r) for r in search.semantic_join(q, fc, 3).collect()}
-    b = {tuple(r) for r in search.semantic_join(q, fc, 3, max_broadcast_queries=5, corpus_blocks=3).collect()}
+    b = {tuple(r) for r in search.semantic_join(q, fc, 3, query_block=5, corpus_block=30).collect()}
     assert a == b and len(a) > 0
 
 
+def test_equal_vectors_in_order_of_ids(spark):
+    fact = spark.createDataFrame([(c, [1.0, 0.0]) for c in "zyaxb"], "chunk_id string, embedding array<double>")
+    q = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 1.0])], "query_id int, embedding array<double>")
+    for metric in ("l2", "cosine"):
+        for block in (1, 2, 100):
+            got = search.semantic_join(q, fact, 2, metric, corpus_block=block).orderBy("query_id", "rank").collect()
+            assert [r.chunk_id for r in got] == ["a", "b", "a", "b"]
+        assert [r.chunk_id for r in search.nearest(fact, [1.0, 0.0], 2, metric).collect()] == ["a", "b"]
+
+
+def test_nearest_ranks_unrounded_distances(spark):
+    fact = spark.createDataFrame([("a", [1.0000003]), ("b", [1.0000001])], "chunk_id string, embedding array<double>")
+    assert [r.chunk_id for r in search.nearest(fact, [0.0], 1).collect()] == ["b"]
+
+
 def test_search_predicates_only_when_given(spark):
     fact = spark.createDataFrame(
         [("c1", "a", "Hook", "calm", 5, 1.0, 2.0, "Hello 50% off"), ("c2", "a", "CTA", "calm", 2, 0.0, 1.0, "buy")],
