@@ -5,7 +5,7 @@
                     materialising the pairs.
 ``sequences``  J12  fixed 3 steps (start -> body -> cta), LIMIT n, ordered
                     by the three ids, computed on bounded candidate sets.
-``walk``       J18  N-step generalised theme walk (bounded the same way).
+``first_pairs``     the first n pairs in order of their ids, with both texts.
 
 Skew: themes are few and very unequal (one theme may own a third of all
 chunks), so nothing here shuffles by theme.  Per-theme summaries are tiny
@@ -45,6 +45,31 @@ def pairs(fact: DataFrame, compat: DataFrame, start: str = "Hook", min_score: in
         .where(F.col("next_chunk") != F.col("hook_chunk"))
 
 
+def first_pairs(fact: DataFrame, compat: DataFrame, start: str = "Hook", n: int = 20,
+                min_score: int = MIN_SCORE) -> DataFrame:
+    """J11 as rows: the first ``n`` pairs by (hook, next) with assets, theme and
+    texts.  A hook needs at most its n + 1 smallest candidates per theme (one may
+    be itself), and only the first n hooks with any partner can be among
+    the first n pairs, so every intermediate is bounded by n and the themes."""
+    e = _eligible(fact, min_score)
+    cand = materialize(_topk(e.select(F.col("chunk_id").alias("next_chunk"), F.col("chunk_theme").alias("next_theme")),
+                             ["next_theme"], "next_chunk", n + 1))
+    side = F.broadcast(cand) if cand.count() <= MAX_BROADCAST_ROWS else cand
+    edges = e.where(F.col("chunk_theme") == start).join(compat, "chunk_id").select(
+        F.col("chunk_id").alias("hook_chunk"), F.col("compatible_theme").alias("next_theme"))
+    differ = F.col("next_chunk") != F.col("hook_chunk")
+    few = bounded_broadcast(_topk(cand, ["next_theme"], "next_chunk", 2))
+    live = edges.join(few, "next_theme").where(differ).select("hook_chunk").distinct().orderBy("hook_chunk").limit(n)
+    ids = edges.join(F.broadcast(live), "hook_chunk", "left_semi").join(side, "next_theme").where(differ) \
+        .orderBy("hook_chunk", "next_chunk").limit(n)
+    shown = lambda to: fact.select(F.col("chunk_id").alias(f"{to}_chunk"), F.col("asset_id").alias(f"{to}_asset"),
+                                   F.col("transcript_segment").alias(f"{to}_text"))
+    ids = F.broadcast(materialize(ids))  # n rows
+    out = shown("hook").join(ids, "hook_chunk")
+    return shown("next").join(F.broadcast(out), "next_chunk").select(
+        "hook_chunk", "hook_asset", "hook_text", "next_chunk", "next_asset", "next_theme", "next_text")
+
+
 def pair_counts(fact: DataFrame, compat: DataFrame, start: str = "Hook",
                 min_score: int = MIN_SCORE) -> DataFrame:
     """J11 counted: pairs per (hook asset, next theme) = sum over the hook's

@@ -365,6 +365,12 @@ def q_assemble_pairs(spark, sf):
     return assemble.pair_counts(f, c, "Hook")
 
 
+@query("assemble_first_pairs")
+def q_assemble_first_pairs(spark, sf):
+    f, c = _graph(spark, sf)
+    return assemble.first_pairs(f, c, "Hook", n=50)
+
+
 @query("assemble_sequences")
 def q_assemble_sequences(spark, sf):
     f, c = _graph(spark, sf)
@@ -566,6 +572,16 @@ def q_reconcile(spark, sf):
     })
 
 
+@query("reconcile_sample")
+def q_reconcile_sample(spark, sf):
+    """Up to five differing keys per side of the copy that differs."""
+    keys = ["chunk_id", "standalone_score"]
+    left = gold.fact_chunk(silver_chunks(spark, sf), None)
+    right = fx.direct_chunks(spark, sf).withColumn(
+        "standalone_score", F.when(F.col("standalone_score") == 1, F.lit(0)).otherwise(F.col("standalone_score")))
+    return reconcile.diff_sample(reconcile.multiset_diff(left, right, keys), keys)
+
+
 # --- identity, lineage, incremental --------------------------------------------------
 
 from clipmart.functions import identity as ident  # noqa: E402
