@@ -45,6 +45,22 @@ def pairs(fact: DataFrame, compat: DataFrame, start: str = "Hook", min_score: in
         .where(F.col("next_chunk") != F.col("hook_chunk"))
 
 
+def endpoints(fact: DataFrame, compat: DataFrame, start: str = "Hook", min_score: int = MIN_SCORE) -> DataFrame:
+    """(chunk_id, role) of every chunk at an end of some pair of ``pairs``
+    (``hook`` or ``next``), found per theme and edge, in linear work."""
+    e = _eligible(fact, min_score)
+    edges = e.where(F.col("chunk_theme") == start).join(compat, "chunk_id").select(
+        F.col("chunk_id").alias("hook"), F.col("compatible_theme").alias("chunk_theme"))
+    # of each side the two smallest of a theme tell whether there is a partner other than the chunk itself
+    two = lambda df, c: bounded_broadcast(
+        _topk(df.select("chunk_theme", F.col(c).alias("other")).distinct(), ["chunk_theme"], "other", 2))
+    hooks = edges.join(two(e, "chunk_id"), "chunk_theme").where(F.col("hook") != F.col("other")) \
+        .select(F.col("hook").alias("chunk_id"), F.lit("hook").alias("role")).distinct()
+    nexts = e.join(two(edges, "hook"), "chunk_theme").where(F.col("chunk_id") != F.col("other")) \
+        .select("chunk_id", F.lit("next").alias("role")).distinct()
+    return hooks.unionByName(nexts)
+
+
 def first_pairs(fact: DataFrame, compat: DataFrame, start: str = "Hook", n: int = 20,
                 min_score: int = MIN_SCORE) -> DataFrame:
     """J11 as rows: the first ``n`` pairs by (hook, next) with assets, theme and

@@ -84,15 +84,12 @@ def orphans(child: DataFrame, parent: DataFrame, col: str) -> DataFrame:
     return child.join(keys, col, "left_anti")
 
 
-def assembly_safe(pairs: DataFrame, fact: DataFrame, min_score: int = 4) -> DataFrame:
-    """Assembled pairs where either end scores below the floor, checked
-    on the assembler's own output (not on the whole edge table)."""
-    s = fact.select("chunk_id", "standalone_score")
-    h = s.select(F.col("chunk_id").alias("hook_chunk"), F.col("standalone_score").alias("hook_score"))
-    n = s.select(F.col("chunk_id").alias("next_chunk"), F.col("standalone_score").alias("next_score"))
-    return pairs.join(h, "hook_chunk").join(n, "next_chunk") \
-        .where((F.col("hook_score") < min_score) | (F.col("next_score") < min_score)) \
-        .select("hook_chunk", "hook_score", "next_chunk", "next_score")
+def assembly_safe(ends: DataFrame, fact: DataFrame, min_score: int = 4) -> DataFrame:
+    """Chunks that stand at an end of some assembled pair
+    (``assemble.endpoints``) and score below the floor.  A pair is unsafe
+    exactly if one of its ends is, so no pair has to be built."""
+    low = fact.where((F.col("standalone_score") < min_score) | F.col("standalone_score").isNull())
+    return ends.join(low.select("chunk_id", "standalone_score"), "chunk_id").select("chunk_id", "role", "standalone_score")
 
 
 def json_gate(bronze: DataFrame) -> tuple[DataFrame, DataFrame]:

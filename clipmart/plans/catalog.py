@@ -441,7 +441,13 @@ def q_dq_row_count_floor(spark, sf):
 @query("dq_assembly_safe")
 def q_dq_assembly_safe(spark, sf):
     f, c = _graph(spark, sf)
-    return dq.assembly_safe(assemble.pairs(f, c, "Hook"), f)
+    return dq.assembly_safe(assemble.endpoints(f, c, "Hook"), f)
+
+
+@query("assembly_endpoints")
+def q_assembly_endpoints(spark, sf):
+    f, c = _graph(spark, sf)
+    return assemble.endpoints(f, c, "Hook")
 
 
 @query("dq_edl_orphans")

@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from clipmart.operators import assemble
+from clipmart.operators import assemble, dq
 
 
 def graph(spark, chunks, edges):
@@ -55,3 +55,26 @@ def test_pair_counts_equal_pair_rows(spark):
     counts = assemble.pair_counts(f, c).collect()
     assert {(r.hook_asset, r.next_theme, r["count"]) for r in rows} == \
         {(r.hook_asset, r.next_theme, r.n_pairs) for r in counts}
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_first_pairs_and_endpoints_equal_the_pair_rows(spark, seed):
+    rng = random.Random(seed)
+    themes = ["Hook", "Problem", "Solution", "CTA"]
+    chunks = [(f"c{i:02d}", f"a{i % 5}", rng.choice(themes), rng.choice([2, 4, 5])) for i in range(40)]
+    edges = [(f"c{rng.randrange(40):02d}", rng.choice([*themes, "None"])) for _ in range(40)]
+    fact = spark.createDataFrame([(*c, f"text {c[0]}") for c in chunks],
+                                 "chunk_id string, asset_id string, chunk_theme string, standalone_score int, transcript_segment string")
+    compat = spark.createDataFrame(edges, "chunk_id string, compatible_theme string")
+    rows = sorted((r.hook_chunk, r.next_chunk) for r in assemble.pairs(fact, compat).collect())
+    for n in (1, 5, 1000):
+        got = assemble.first_pairs(fact, compat, n=n).collect()
+        assert sorted((r.hook_chunk, r.next_chunk) for r in got) == rows[:n]
+        assert all(r.hook_text == f"text {r.hook_chunk}" and r.next_text == f"text {r.next_chunk}" for r in got)
+    ends = {(r.chunk_id, r.role) for r in assemble.endpoints(fact, compat).collect()}
+    assert ends == {(h, "hook") for h, _ in rows} | {(x, "next") for _, x in rows}
+    assert dq.assembly_safe(assemble.endpoints(fact, compat), fact).count() == 0
+    low = dq.assembly_safe(assemble.endpoints(fact, compat, min_score=1), fact).collect()
+    assert {(r.chunk_id, r.role) for r in low} == {
+        (c, role) for r in assemble.pairs(fact, compat, min_score=1).collect()
+        for c, role in ((r.hook_chunk, "hook"), (r.next_chunk, "next")) if dict((x[0], x[3]) for x in chunks)[c] < 4}
