@@ -235,18 +235,3 @@ def _attach(rows: DataFrame, fact: DataFrame) -> DataFrame:
         F.col("b").alias("body_chunk_id"), "body_asset_id", "body_theme", "body_start", "body_end",
         "body_text",
         F.col("c").alias("cta_chunk_id"), "cta_asset_id", "cta_theme", "cta_start", "cta_end", "cta_text")
-
-
-def naive_sequences(fact: DataFrame, compat: DataFrame, start: str = "Hook", n: int = 20,
-                    min_score: int = MIN_SCORE) -> DataFrame:
-    """The unbounded triple join, for tests on tiny graphs only."""
-    e = _eligible(fact, min_score)
-    h = e.where(F.col("chunk_theme") == start).select(F.col("chunk_id").alias("h"))
-    c1 = compat.select(F.col("chunk_id").alias("h"), F.col("compatible_theme").alias("bt"))
-    b = e.select(F.col("chunk_id").alias("b"), F.col("chunk_theme").alias("bt"))
-    c2 = compat.select(F.col("chunk_id").alias("b"), F.col("compatible_theme").alias("ct"))
-    c = e.select(F.col("chunk_id").alias("c"), F.col("chunk_theme").alias("ct"))
-    rows = (h.join(c1, "h").join(b, "bt").where(F.col("b") != F.col("h"))
-            .join(c2, "b").join(c, "ct").where((F.col("c") != F.col("h")) & (F.col("c") != F.col("b")))
-            .select("h", "b", "c").orderBy("h", "b", "c").limit(n))
-    return _attach(rows, fact)

@@ -18,8 +18,9 @@ def same(spark, chunks, edges, n):
     f, c = graph(spark, chunks, edges)
     got = [tuple(r) for r in assemble.sequences(f, c, "Hook", n).select(
         "hook_chunk_id", "body_chunk_id", "cta_chunk_id").collect()]
-    want = [tuple(r) for r in assemble.naive_sequences(f, c, "Hook", n).select(
-        "hook_chunk_id", "body_chunk_id", "cta_chunk_id").collect()]
+    good = {x: theme for x, theme, score in chunks if score >= 4}
+    want = sorted((h, b, x) for h, first in edges if good.get(h) == "Hook" for b in good if good[b] == first and b != h
+                  for lead, second in edges if lead == b for x in good if good[x] == second and x not in (h, b))[:n]
     assert sorted(got) == sorted(want)
     return got
 
