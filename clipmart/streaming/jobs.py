@@ -96,11 +96,17 @@ def daily_counts_stream(events: DataFrame, delay: str = "1 hour") -> DataFrame:
                      F.when(eid % 2 == 0, "meta").otherwise("tiktok").alias("platform_native"))
             .agg(F.count(F.lit(1)).alias("impressions"),
                  F.count_if(et.isin("view", "click", "purchase")).alias("plays_3s"),
+                 F.count_if(et.isin("click", "purchase")).alias("plays_25"),
+                 F.count_if(purchase).alias("plays_50"),
+                 F.count_if(purchase & (eid % 4 < 2)).alias("plays_75"),
+                 F.count_if(purchase & (eid % 8 < 2)).alias("plays_100"),
                  F.count_if(et == "view").alias("play_count"),
                  F.count_if(et == "click").alias("link_clicks"),
-                 F.count_if(purchase).alias("results"))
+                 F.count_if(purchase).alias("results"),
+                 F.sum(eid % 30).cast("decimal(18,3)").alias("sum_watch_time_sec"),
+                 F.sum(F.col("value").cast("decimal(12,2)")).cast("decimal(18,2)").alias("spend"))
             .select(F.to_date(F.col("w.start")).alias("perf_date"), "ad_id", "platform_native",
-                    "impressions", "plays_3s", "play_count", "link_clicks", "results"))
+                    *schemas.COUNTERS, "sum_watch_time_sec", "spend"))
 
 
 def daily_counts(spark: SparkSession, src_dir: str, out: str, ckpt: str, delay: str = "1 hour",
