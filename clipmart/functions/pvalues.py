@@ -10,6 +10,7 @@ U = max(U1, n1*n2 - U1).
 
 from __future__ import annotations
 
+import itertools
 import math
 
 import numpy as np
@@ -20,23 +21,39 @@ from pyspark.sql import types as T
 EXACT_MAX_SMALL = 8
 
 
+def _ways(m: int, t: int, table: list[int], period: int) -> int:
+    """Number of solutions of x_1 + 2 x_2 + ... + m x_m + slack = t in whole
+    numbers from 0.  On every residue modulo ``period`` (a multiple of 1..m)
+    this is a polynomial of degree m, so values beyond the table follow from
+    m + 1 values in it by forward differences, exactly."""
+    if t < 0:
+        return 0
+    if t < len(table):
+        return table[t]
+    row, steps, out = [table[t % period + j * period] for j in range(m + 1)], t // period, 0
+    for k in range(m + 1):
+        out += math.comb(steps, k) * row[0]
+        row = [y - x for x, y in zip(row, row[1:])]
+    return out
+
+
 def exact_sf(u: int, m: int, n: int) -> float:
-    """P(U >= u) under H0 for sample sizes m, n (no ties), from the
-    generating function prod_{i=1..m} (1 - q^(n+i)) / (1 - q^i), in exact
-    integers."""
+    """P(U >= u) under H0 for sample sizes m, n (no ties), in exact integers.
+
+    U counts like a partition into at most m parts of at most n; the bound n
+    on the parts is taken back by inclusion and exclusion over m terms.  Work
+    and memory depend on the smaller sample only."""
     m, n = min(m, n), max(m, n)
-    size = m * n + 1
-    poly = np.zeros(size, dtype=object)
-    poly[0] = 1
+    period = math.lcm(*range(1, m + 1))
+    table = np.ones((m + 1) * period, dtype=object)  # the slack alone
     for i in range(1, m + 1):
-        s = n + i
-        if s < size:
-            poly[s:] = poly[s:] - poly[:size - s]
         for r in range(i):
-            poly[r::i] = np.cumsum(poly[r::i])
-    total = math.comb(m + n, m)
-    u = max(0, min(int(u), size))
-    return float(sum(poly[u:])) / total
+            table[r::i] = np.cumsum(table[r::i])
+    values = table.tolist()
+    below = m * n - max(0, int(u))  # by symmetry, P(U >= u) = P(U <= m n - u)
+    count = sum((-1) ** len(s) * _ways(m, below - sum(n + i for i in s), values, period)
+                for k in range(m + 1) for s in itertools.combinations(range(1, m + 1), k))
+    return count / math.comb(m + n, m)
 
 
 def asymptotic_sf(u: float, n1: int, n2: int, tie_term: float) -> float:

@@ -147,3 +147,17 @@ def test_embeddings_are_guarded(spark, tmp_path):
         else:
             with pytest.raises(ValueError):
                 io.read_embeddings(spark, path)
+
+
+def test_exact_tail_by_counting_and_for_a_huge_side():
+    from itertools import combinations
+    from math import comb
+
+    from clipmart.functions.pvalues import asymptotic_sf, exact_sf
+
+    for m, n in ((1, 1), (1, 7), (2, 3), (3, 5), (4, 4), (5, 6), (3, 40)):
+        us = [sum(c) - m * (m - 1) // 2 for c in combinations(range(m + n), m)]
+        for u in range(-1, m * n + 2):
+            assert exact_sf(u, m, n) == pytest.approx(sum(x >= u for x in us) / comb(m + n, m), abs=1e-15)
+    assert exact_sf(0, 8, 10**9) == 1.0
+    assert exact_sf(4 * 10**9 + 10**9, 8, 10**9) == pytest.approx(asymptotic_sf(5 * 10**9, 8, 10**9, 0), rel=0.05)
