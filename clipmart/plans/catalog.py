@@ -566,15 +566,26 @@ def q_multiset_diff(spark, sf):
 
 @query("reconcile_tables")
 def q_reconcile(spark, sf):
+    """The eight served tables against a second copy with planted damage: lost
+    rows, repeated rows and renamed keys; the other copies are whole."""
     s = silver_chunks(spark, sf)
-    direct = fx.direct_chunks(spark, sf)
-    fc = gold.fact_chunk(s, None)
+    fc, run = gold.fact_chunk(s, None), gold.extraction_run(_run_log(spark, sf))
+    asset, compat = dim_asset(spark, sf), gold.compatibility(s)
+    emb = fx.chunk_embedding(spark, sf)
+    doc = F.regexp_extract("chunk_id", "^doc([0-9]+)_", 1).cast("long")
+    run_doc = F.expr("cast(substr(asset_id, 4) as bigint)")
     return reconcile.tables({
-        "fact_chunk": (fc, direct, ["chunk_id"]),
-        "dim_theme_bridge": (gold.themes(s), direct.select("chunk_id", F.col("chunk_theme").alias("theme")),
+        "dim_asset": (asset, fx.bronze_asset_raw(spark, sf), ["asset_id"]),
+        "fact_chunk": (fc, fx.direct_chunks(spark, sf).where(doc % 13 != 5), ["chunk_id"]),
+        "fact_extraction_run": (run, run.withColumn("asset_id", F.when(run_doc % 17 == 3, F.concat(F.lit("x"), "asset_id"))
+                                                    .otherwise(F.col("asset_id"))), ["asset_id"]),
+        "bridge_asset_lineage": (gold.lineage(asset), gold.lineage(asset), ["parent_asset_id", "child_asset_id"]),
+        "bridge_chunk_compatibility": (compat, compat.unionByName(compat.where(doc % 19 == 1)),
+                                       ["chunk_id", "compatible_theme"]),
+        "dim_keyword_bridge": (gold.keywords(s), gold.keywords(s), ["chunk_id", "keyword"]),
+        "dim_theme_bridge": (gold.themes(s), fx.direct_chunks(spark, sf).select("chunk_id", F.col("chunk_theme").alias("theme")),
                              ["chunk_id", "theme"]),
-        "dim_asset": (dim_asset(spark, sf), fx.bronze_asset_raw(spark, sf), ["asset_id"]),
-        "chunk_scores": (fc, direct.where(F.col("standalone_score") >= 2), ["chunk_id", "standalone_score"]),
+        "chunk_embedding": (emb, emb.where(doc % 11 != 2), ["chunk_id"]),
     })
 
 
