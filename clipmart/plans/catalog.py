@@ -427,8 +427,10 @@ def q_fk_violations(spark, sf):
 
 @query("dq_unique_combination")
 def q_dq_unique_combination(spark, sf):
-    return dq.unique_combination(fx.edit_decision_list(spark, sf).select("ad_id", "position_in_ad"),
-                                 ["ad_id", "position_in_ad"])
+    """The grain of the ad-chunk bridge, with planted repetitions."""
+    edl = fx.edit_decision_list(spark, sf)
+    again = edl.where((F.col("position_in_ad") == 1) & (F.expr("cast(substr(ad_id, 3) as bigint)") % 13 == 0))
+    return dq.unique_combination(edl.unionByName(again), ["ad_id", "chunk_id", "position_in_ad"])
 
 
 @query("dq_row_count_floor")
@@ -463,13 +465,19 @@ def q_edl_orphans(spark, sf):
 
 @query("dq_json_gate")
 def q_dq_json_gate(spark, sf):
-    ok, bad = dq.json_gate(fx.bronze_asset_raw(spark, sf))
-    return ok.groupBy("client_id").agg(F.count(F.lit(1)).alias("n_ok"))
+    """Both sides of the gate over envelopes with planted damage: cut off,
+    without chunks, null, and with an empty (legal) array."""
+    doc, raw = F.expr("cast(substr(asset_id, 4) as bigint)"), F.col("raw_response")
+    damaged = fx.bronze_asset_raw(spark, sf).withColumn(
+        "raw_response", F.when(doc % 9 == 0, F.substring(raw, 1, 12)).when(doc % 9 == 1, F.lit('{"other": 1}'))
+        .when(doc % 9 == 2, F.lit(None)).when(doc % 9 == 3, F.lit('{"chunks": []}')).otherwise(raw))
+    ok, bad = dq.json_gate(damaged)
+    return ok.select("asset_id", F.lit("ok").alias("reason")).unionByName(bad.select("asset_id", "reason"))
 
 
 @query("dq_quarantine")
 def q_dq_quarantine(spark, sf):
-    ok, bad = dq.quarantine(silver_chunks(spark, sf).where(F.col("transcript_segment") != ""))
+    ok, bad = dq.quarantine(silver_chunks(spark, sf))
     drift = fx.drifted_run(silver_chunks(spark, sf))
     ok2, bad2 = dq.quarantine(drift.withColumn(
         "standalone_score", F.when(F.col("standalone_score") == 1, F.lit(0)).otherwise(F.col("standalone_score"))))
@@ -498,8 +506,9 @@ def q_lineage_contract(spark, sf):
 
 @query("golden_diff")
 def q_golden_diff(spark, sf):
-    actual = fact_chunk(spark, sf).drop("embedding")
-    return dq.row_diff(actual, fx.direct_chunks(spark, sf))
+    """A second, drifted run against the answer key made without the envelopes."""
+    golden = fx.direct_chunks(spark, sf)
+    return dq.row_diff(fx.drifted_run(silver_chunks(spark, sf)).select(*golden.columns), golden)
 
 
 @query("idempotency_drift")
