@@ -32,6 +32,7 @@ from clipmart.llm.common import free_name, staged
 #: Training bounds: excerpts per language and their length in characters,
 #: further rows per language for the margin.
 EXCERPTS, EXCERPT_CHARS, CALIBRATION = 400, 120, 200
+BROADCAST_LANGUAGES = 100_000  # one row each
 CHUNK = 1024  # characters compressed at once: short enough for the dictionary to matter in each
 LEVEL, MIN_MATCH = 8, 4
 FLOOR = 0.001  # a margin under this is always narrow
@@ -65,7 +66,9 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str =
     rows = staged(rows, "language-hashes")
     # a window over a few times the wanted rows only, however common the language is
     want = EXCERPTS + CALIBRATION
-    share = rows.groupBy("l").agg(F.least(F.lit(1.0), F.lit(4.0 * want) / F.count("*")).alias("share"))
+    share = staged(rows.groupBy("l").agg(F.least(F.lit(1.0), F.lit(4.0 * want) / F.count("*")).alias("share")),
+                   "language-shares")
+    share = F.broadcast(share) if share.count() <= BROADCAST_LANGUAGES else share
     low = F.col("h").cast("double") / F.lit(2.0**64) + 0.5 <= F.col("share")
     few = (rows.join(share, "l").where(low)
            .withColumn("n", F.row_number().over(Window.partitionBy("l").orderBy("h")))
