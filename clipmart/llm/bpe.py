@@ -17,7 +17,9 @@ import numpy as np
 
 from clipmart.llm.common import per_worker
 
-REMEMBERED, LONGEST = 700_000, 40  # segments kept per worker, about 200 bytes each, and their characters
+#: Segments of a generation (about 200 bytes each; a worker keeps two) and the
+#: characters of the longest that is kept.
+REMEMBERED, LONGEST = 250_000, 40
 #: Unicode's White_Space, which the pre-tokenizer's \s means (fixed values).
 WHITE = "\t\n\v\f\r \x85\xa0  -     　"
 SEGMENT = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
@@ -59,15 +61,22 @@ class Encoder:
         self.plain = np.array([unicodedata.category(chr(c))[0] in "LN" for c in range(2**16)])
         self.plain[-1] = False
         self.segments: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}  # the generation before; what is used again moves on
 
     def word(self, text: str) -> list[int]:
         """Ids of one pre-token."""
-        spelt = "".join(map(self.letters.__getitem__, text.encode("utf-8", "surrogatepass")))
+        if text.isascii() and text.replace(" ", "").isalpha():
+            spelt = text.replace(" ", self.letters[32])
+        else:
+            spelt = "".join(map(self.letters.__getitem__, text.encode("utf-8", "surrogatepass")))
         return [t.id for t in self.model.tokenize(spelt)]
 
     def segment(self, text: str) -> bytes:
         """Ids of a text, not looked up among the segments."""
-        if any(s in text for s in self.special):
+        body = text[1:] if text[:1] == " " else text
+        if body.isalpha():  # one pre-token, as most are
+            ids = self.word(text)
+        elif any(s in text for s in self.special):
             ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         else:
             ids = [i for p in self.pretokens(text) for i in self.word(p)]
@@ -95,14 +104,14 @@ class Encoder:
         try:
             return parts, list(map(self.segments.__getitem__, parts))
         except KeyError:
-            different = set(parts)
-            known = dict(zip(different, map(self.segments.get, different)))
-            new = {p: self.segment(p) for p, ids in known.items() if ids is None}
             if len(self.segments) > REMEMBERED:
-                self.segments.clear()
-            self.segments.update((p, ids) for p, ids in new.items() if len(p) <= LONGEST)
-            known.update(new)
-            return parts, list(map(known.__getitem__, parts))
+                self.segments, self.older = {}, self.segments
+            older = self.older
+            new = {p: older[p] if p in older else self.segment(p) for p in set(parts).difference(self.segments)}
+            long = {p: new.pop(p) for p in [p for p in new if len(p) > LONGEST]}
+            self.segments.update(new)
+            known = self.segments
+            return parts, [known[p] if p in known else long[p] for p in parts] if long else list(map(known.__getitem__, parts))
 
     def ids(self, text: str) -> bytes:
         return b"".join(self.encode(text)[1]) if text else b""

@@ -26,6 +26,18 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return scratch_path(spark, f"llm-{name}-{uuid.uuid4().hex}")
 
 
+#: Rows that a task in Python gets at once where rows hold texts.
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lower the session's rows per Arrow batch for rows that hold texts: ten
+    thousand long ones would fill a task's memory, in Spark and in Python."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name, "10000")) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back: later
     readers neither recompute it nor depend on one executor's disk."""

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from clipmart.llm import bpe
-from clipmart.llm.common import only
+from clipmart.llm.common import only, small_batches
 
 LEAF = 32  # segments of a leaf when the tree is built; at twice as many it is split
 
@@ -151,6 +151,7 @@ def edited_counts(docs: DataFrame, edits: Callable[[str], list[Edit]] = clean_up
     """Per row: doc_id, n_tokens, n_edits, n_tokens_edited, n_segments and
     n_reencoded (segments encoded again because of the edits)."""
     path = tokenizer or bpe.tokenizer_path()
+    small_batches(docs.sparkSession)
     given = only(docs, doc_id=doc_id, text=text)
     names = ["n_tokens", "n_edits", "n_tokens_edited", "n_segments", "n_reencoded"]
     schema = T.StructType([given.schema["doc_id"], *(T.StructField(n, T.LongType()) for n in names)])

@@ -31,10 +31,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from clipmart.llm import bpe
-from clipmart.llm.common import new_folder, only, read_file, staged, write_file
+from clipmart.llm.common import new_folder, only, read_file, small_batches, staged, write_file
 
 END = 0
-FILE_TOKENS = 2_000_000
+FILE_TOKENS = 1_000_000
 HEAD = "<4sIQQQ"  # magic, version, documents, ids, data bytes
 MAGIC, VERSION = b"VIDS", 1
 RANKS = "ranks.u32"
@@ -72,6 +72,7 @@ def encoded(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", tokeniz
     """(doc_id, ids): the ids of every row with the end id, as the bytes of
     unsigned 16- or 32-bit integers."""
     path = tokenizer or bpe.tokenizer_path()
+    small_batches(docs.sparkSession)
     given = only(docs, doc_id=doc_id, text=text).withColumn("doc_id", F.col("doc_id").cast("long"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
