@@ -193,7 +193,7 @@ def written(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", tokeniz
     """Encode and write all rows; returns the list of files and their folder."""
     path = tokenizer or bpe.tokenizer_path()
     e = bpe.worker_encoder(path)  # only its vocabulary's size is used here
-    ids = staged(encoded(docs, doc_id, text, path), "token-ids")
+    ids = staged(encoded(docs, doc_id, text, path), "token-ids", "zstd")
     root = new_folder(docs.sparkSession, "token-files")
     ranks = id_ranks(ids, e.kind, e.size)
     write_file(root, RANKS, ranks.tobytes())
