@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from clipmart.llm.common import free_name, staged
+from clipmart.llm.common import free_name, small_batches, staged
 
 #: Training bounds: excerpts per language and their length in characters,
 #: further rows per language for the margin.
@@ -111,6 +111,7 @@ def predict(docs: DataFrame, model: LanguageModel, text: str = "text", keep: lis
     margin, 0 to 1) and ``rejected``.  Python tasks see the text only."""
     passing = [c for c in (docs.columns if keep is None else keep)
                if c.lower() not in ("lang_pred", "score", "rejected")]
+    small_batches(docs.sparkSession)
     answer = free_name(docs.columns, "answer")
     udf = F.pandas_udf(classifier(model.dictionaries), T.StructType([
         T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]))

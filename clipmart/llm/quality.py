@@ -17,7 +17,6 @@ rows get equal answers.  Extra columns of the inputs are not read.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -26,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clipmart.llm.common import only, staged
+from clipmart.llm.common import only, small_batches, staged
 
 MIN_WORDS, WINDOW, MAX_REPEAT_PERCENT = 20, 8, 30
 SYMBOLS = "#*$%&|<>"
@@ -39,7 +38,6 @@ BINS = 2000  # score bins that calibration counts in
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 MORE = ["n_upper", "n_marks", "n_distinct", "n_lines"]
-FEATURES = ["symbols", "upper", "marks", "distinct", "word_length"]
 
 
 def count_text(text: str | None) -> tuple[int, ...]:
@@ -82,20 +80,25 @@ def repeated_words(codes: np.ndarray, window: int) -> int:
     return int((np.cumsum(edge[:-1]) > 0).sum())
 
 
+def count_texts(texts: pd.Series) -> pd.DataFrame:
+    return pd.DataFrame([count_text(t if isinstance(t, str) else None) for t in texts],
+                        columns=COUNTS + MORE, dtype="int64")
+
+
 def statistics(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id and the counts of every row."""
-    names = COUNTS + MORE
+    @F.pandas_udf(T.StructType([T.StructField(n, T.LongType()) for n in COUNTS + MORE]))
+    def count(texts: pd.Series) -> pd.DataFrame:
+        return count_texts(texts)
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            rows = [count_text(t if isinstance(t, str) else None) for t in b["text"]]
-            out = pd.DataFrame(rows, columns=names)
-            out.insert(0, "doc_id", b["doc_id"].to_numpy())
-            yield out
+    small_batches(docs.sparkSession)
+    return only(docs, doc_id=doc_id, text=text).select("doc_id", count("text").alias("counts")).select("doc_id", "counts.*")
 
-    given = only(docs, doc_id=doc_id, text=text)
-    schema = T.StructType([given.schema["doc_id"], *(T.StructField(n, T.LongType()) for n in names)])
-    return given.mapInPandas(count, schema)
+
+def base_rules(counts: pd.DataFrame) -> np.ndarray:
+    """Which rows fail the base rules."""
+    n, repeated = counts["n_words"].to_numpy(), counts["n_repeat_words"].to_numpy()
+    return (n < MIN_WORDS) | (100 * repeated > MAX_REPEAT_PERCENT * n)
 
 
 def base_failed() -> F.Column:
@@ -103,14 +106,14 @@ def base_failed() -> F.Column:
         F.lit(100) * F.col("n_repeat_words") > F.lit(MAX_REPEAT_PERCENT) * F.col("n_words"))
 
 
-def features() -> list[F.Column]:
-    """Shares that don't depend on the length of a text."""
-    per = lambda c, of: F.col(c) / F.greatest(F.col(of), F.lit(1))
-    return [c.cast("double").alias(n) for n, c in zip(FEATURES, [
-        per("n_symbols", "word_chars"), per("n_upper", "n_words"), per("n_marks", "n_words"),
-        # distinct words, in proportion to what a text of that length has
-        F.log1p(F.col("n_distinct")) / F.log1p(F.greatest(F.col("n_words"), F.lit(1))),
-        per("word_chars", "n_words")])]
+def features(counts: pd.DataFrame) -> np.ndarray:
+    """Shares that don't depend on the length of a text: symbols, capital
+    words, marks, different words (in proportion to what a text of that length
+    has), characters of a word."""
+    c = {n: counts[n].to_numpy(float) for n in COUNTS + MORE}
+    words, chars = np.maximum(c["n_words"], 1), np.maximum(c["word_chars"], 1)
+    return np.column_stack([c["n_symbols"] / chars, c["n_upper"] / words, c["n_marks"] / words,
+                            np.log1p(c["n_distinct"]) / np.log1p(words), c["word_chars"] / words])
 
 
 @dataclass
@@ -171,33 +174,24 @@ def grow(x: np.ndarray, seed: int = 42) -> Forest:
     return Forest(feature, split, path, usual_path(size) or 1.0)
 
 
-def scored(stats: DataFrame, forest: Forest) -> DataFrame:
-    """``stats`` with the anomaly score."""
-    @F.pandas_udf("double")
-    def score(*cols: pd.Series) -> pd.Series:
-        return pd.Series(forest.score(np.column_stack([c.to_numpy(float) for c in cols])))
-
-    return stats.withColumn("score", score(*features()))
-
-
 def fit(stats: DataFrame, labels: DataFrame, doc_id: str = "doc_id", quality: str = "quality") -> Forest | None:
     """Forest from a sample of the rows that pass the base rules (about
     ``FIT_ROWS``, chosen by hash of the id), threshold from all labelled rows.
     None if there is too little to learn from."""
-    passed = stats.where(~base_failed()).select("doc_id", *features())
+    passed = stats.where(~base_failed()).select("doc_id", *COUNTS, *MORE)
     marks = only(labels, doc_id=doc_id, quality=quality).where("doc_id IS NOT NULL AND quality IN (0, 1)")
     marks = marks.groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    rows = staged(passed.join(marks, "doc_id").select("quality", *FEATURES), "quality-labelled")
+    rows = staged(passed.join(marks, "doc_id").drop("doc_id"), "quality-labelled")
     n = {r["quality"]: r["n"] for r in rows.groupBy("quality").agg(F.count("*").alias("n")).collect()}
     total = passed.count()
     if total < MIN_FIT or not n.get(0) or not n.get(1):
         return None
     spot = F.xxhash64("doc_id").cast("double") / F.lit(2.0**64) + 0.5
-    sample = (passed.where(spot <= min(1.0, FIT_ROWS / total)).orderBy(F.xxhash64("doc_id"), *FEATURES)
-              .limit(2 * FIT_ROWS).select(*FEATURES).toPandas().to_numpy(float))
+    sample = (passed.where(spot <= min(1.0, FIT_ROWS / total)).orderBy(F.xxhash64("doc_id"), *COUNTS, *MORE)
+              .limit(2 * FIT_ROWS).drop("doc_id").toPandas())
     if len(sample) < MIN_FIT:
         return None
-    forest = grow(sample)
+    forest = grow(features(sample))
     forest.threshold = calibrate(rows, forest)
     return forest
 
@@ -206,10 +200,10 @@ def calibrate(rows: DataFrame, forest: Forest) -> float:
     """The score bound with the least cost, among those above which at most
     ``GOOD_LOST`` of the rows labelled good lie; scores are counted in bins."""
     @F.pandas_udf("double")
-    def score(*cols: pd.Series) -> pd.Series:
-        return pd.Series(forest.score(np.column_stack([c.to_numpy(float) for c in cols])))
+    def score(counts: pd.DataFrame) -> pd.Series:
+        return pd.Series(forest.score(features(counts)))
 
-    bins = (rows.withColumn("bin", F.floor(score(*FEATURES) * BINS)).groupBy("bin")
+    bins = (rows.withColumn("bin", F.floor(score(F.struct(*COUNTS, *MORE)) * BINS)).groupBy("bin")
             .agg(F.sum("quality").alias("good"), F.sum(1 - F.col("quality")).alias("bad")).collect())
     counts = sorted(((r["bin"], r["good"], r["bad"]) for r in bins), reverse=True)
     all_good, all_bad = sum(c[1] for c in counts), sum(c[2] for c in counts)
@@ -224,9 +218,33 @@ def calibrate(rows: DataFrame, forest: Forest) -> float:
     return bound
 
 
+VERDICT = T.StructType([T.StructField("base_failed", T.BooleanType()), T.StructField("score", T.DoubleType()),
+                        T.StructField("kept", T.BooleanType())])
+
+
+def verdicts(counts: pd.DataFrame, forest: Forest | None) -> pd.DataFrame:
+    """Base rules, score and whether a row is kept."""
+    failed = base_rules(counts)
+    score = forest.score(features(counts)) if forest else np.zeros(len(counts))
+    return pd.DataFrame({"base_failed": failed, "score": score,
+                         "kept": ~failed & (score < (forest.threshold if forest else math.inf))})
+
+
 def judged(stats: DataFrame, forest: Forest | None) -> DataFrame:
     """``stats`` with ``base_failed``, ``score`` and ``kept``."""
-    out = scored(stats, forest) if forest else stats.withColumn("score", F.lit(0.0))
-    bound = forest.threshold if forest else math.inf
-    return (out.withColumn("base_failed", base_failed())
-            .withColumn("kept", ~F.col("base_failed") & (F.col("score") < F.lit(bound))))
+    @F.pandas_udf(VERDICT)
+    def judge(counts: pd.DataFrame) -> pd.DataFrame:
+        return verdicts(counts, forest)
+
+    return stats.withColumn("verdict", judge(F.struct(*COUNTS, *MORE))).select(*stats.columns, "verdict.*")
+
+
+def kept(docs: DataFrame, forest: Forest | None, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that are kept, judged where they are: their texts
+    go through one function and none is shuffled."""
+    @F.pandas_udf("boolean")
+    def keep(texts: pd.Series) -> pd.Series:
+        return verdicts(count_texts(texts), forest)["kept"]
+
+    small_batches(docs.sparkSession)
+    return docs.where(keep(F.col(f"`{text}`")))

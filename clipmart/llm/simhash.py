@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clipmart.llm.common import only, staged
+from clipmart.llm.common import only, small_batches, staged
 
 SHINGLE, MAX_BITS, SEED = 3, 2, 42
 GROUPS = 8  # groups of bit positions; keys are the choices of GROUPS - MAX_BITS of them
@@ -66,6 +66,7 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 
 def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """doc_id and ``fp`` (long) of every row."""
+    small_batches(docs.sparkSession)
     given = only(docs, doc_id=doc_id, text=text)
     schema = T.StructType([given.schema["doc_id"], T.StructField("fp", T.LongType())])
 

@@ -32,10 +32,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from clipmart.llm.common import only, per_worker
+from clipmart.llm.common import only, per_worker, small_batches
 
 SPACE = "▁"
-REMEMBERED = 700_000  # units kept per worker, about 200 bytes each
+#: Units of a generation (about 200 bytes each; a worker keeps two), and pairs of pieces.
+REMEMBERED = 300_000
 LONGEST_UNIT = 40  # characters of a unit that is worth remembering
 NEVER, ONE = -np.inf, (1,)
 COMMIT_EVERY = 256  # positions between two looks for a common boundary
@@ -98,6 +99,7 @@ class Model:
             raise ValueError("the model must leave texts as they are but for spaces")
         self.prefix = SPACE if normalizer.get(3, 1) else ""
         self.id = {p: i for i, (p, _, k) in enumerate(pieces) if k == NORMAL}
+        self.piece = {p: p for p in self.id}  # one string object per piece
         self.score = {p: s for p, s, k in pieces if k == NORMAL}
         self.byte = {int(p[3:5], 16): i for i, (p, _, k) in enumerate(pieces) if k == BYTE}
         self.unknown = next((i for i, p in enumerate(pieces) if p[2] == UNKNOWN), 0)
@@ -114,6 +116,7 @@ class Model:
         self.marks = {c: [pair for pair in self.inside if pair[1] == c] for c in ".,"}
         self.kind = "H" if len(pieces) <= 2**16 else "I"
         self.units: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}  # the generation before; what is used again moves on
         self.known: dict[str, dict[str, bool]] = {}  # left piece, right piece: whether they fit
 
     def merged(self, text: str) -> list[str]:
@@ -177,8 +180,9 @@ class Model:
                 row = known[at - base]
                 ok = row.get(right)
                 if ok is None:
-                    ok = row[right] = self.fits(piece[at - base], right)
+                    ok = row[self.piece[right]] = self.fits(piece[at - base], right)
                 if ok:
+                    right = self.piece[right]
                     start.append(at)
                     piece.append(right)
                     known.append(self.known.setdefault(right, {}))
@@ -207,7 +211,7 @@ class Model:
 
     def learn(self, units: set[str]) -> dict[str, bytes]:
         """Ids of units, each cut at every certain boundary first."""
-        if sum(map(len, self.known.values())) > 4 * REMEMBERED:
+        if sum(map(len, self.known.values())) > 2 * REMEMBERED:
             self.known.clear()
         inside, cut, short = self.inside, {}, set()
         for u in units:
@@ -240,9 +244,11 @@ class Model:
         split = [self.split(self.prefix + t.replace(" ", SPACE)) if t else [] for t in texts]
         different = set().union(*split)
         if len(self.units) > REMEMBERED:
-            self.units.clear()
-        known = self.units
-        new = self.learn(different.difference(known))
+            self.units, self.older = {}, self.units
+        known, older = self.units, self.older
+        different.difference_update(known)
+        again = {u: older[u] for u in different if u in older}
+        new = self.learn(different.difference(again)) | again
         long = {u: new.pop(u) for u in [u for u in new if len(u) > LONGEST_UNIT]}
         known.update(new)
         get = known.__getitem__ if not long else lambda u: long[u] if len(u) > LONGEST_UNIT else known[u]
@@ -284,6 +290,7 @@ def encode(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", model: s
     """doc_id and ``ids`` (array of int) of every row; with ``verify`` also
     ``lossless``, whether the ids decode to the text (null for a null text)."""
     path = model or model_path()
+    small_batches(docs.sparkSession)
     given = only(docs, doc_id=doc_id, text=text)
     out = [given.schema["doc_id"], T.StructField("ids", T.ArrayType(T.IntegerType()))]
     if verify:

@@ -37,7 +37,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clipmart.llm.common import new_folder, only, read_file, staged, write_file
+from clipmart.llm.common import new_folder, only, read_file, small_batches, staged, write_file
 
 FILE_BYTES, FILE_RECORDS = 8_000_000, 20_000  # of an archive, before compression; a longer record has its own
 CAPTURED = "20000101000000"  # ARC dates where the input has none
@@ -78,6 +78,7 @@ def http_head(key: int | None, size: int) -> bytes:
 
 def write_arcs(pages: DataFrame, root: str, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """Write the rows as ARC files and return their names (``file``)."""
+    small_batches(pages.sparkSession)
     given = only(pages, key=key, url=url, html=html).withColumn("key", F.col("key").cast("long"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

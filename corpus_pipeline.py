@@ -5,9 +5,9 @@ Each stage takes what its predecessor kept, as (spark, docs, sf_dir), and
 returns the columns of documents; the last returns ids.  ``run`` writes every
 stage as Parquet into the shared folder and reads it back for the next.
 
-Documents are told apart by their ids.  Rows that share one are kept or go
-together until near-dedup, which leaves one of them; rows without an id go with
-the quality rules, as nothing later could name them.  An empty table stays empty.
+The first two stages judge every row by itself.  Near-dedup names documents by
+their ids: it leaves one row of an id, and rows without one go there, as nothing
+later could name them.  An empty table stays empty.
 """
 
 from __future__ import annotations
@@ -31,8 +31,7 @@ def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and the isolation forest."""
     stats = staged(quality.statistics(docs), "quality-statistics")
     forest = quality.fit(stats, table(spark, sf_dir, "labels"))
-    kept = quality.judged(stats, forest).where("kept").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").select(COLUMNS)
+    return quality.kept(docs, forest).select(COLUMNS)
 
 
 def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
