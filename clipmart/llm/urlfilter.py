@@ -11,7 +11,9 @@ the models haven't seen.
 All of it is DataFrame work.  The smoothing is linear in what is looked up: a
 text's log-likelihood is a constant per character plus one weight for every
 substring of up to ``ORDER + 1`` characters, so both models are one table of
-substrings and weight differences, and scoring is one join and a sum per row.
+substrings and weight differences, and scoring is one join and a sum per row
+(two joins where the models are too large to broadcast whole).  The models learn
+from three quarters of all labelled urls, the threshold from all others.
 
 Defined cases: a null url, or one without ``://``, has empty host and path and
 is scored as an empty text (its end mark alone).  Without labelled urls of both kinds
@@ -36,10 +38,11 @@ RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "exa
 ORDER = 5  # characters of the longest context
 LAMBDA = 2.0
 LEAST = 2  # occurrences of a substring of three or more characters that the models keep
-#: Different labelled urls to learn from, about, and the longest of them.
+#: The longest url to learn from.  TRAIN_URLS is read by the oracle's SQL only: the
+#: models and the threshold take all labelled urls.
 TRAIN_URLS, TRAIN_CHARS = 100_000, 2048
 CALIBRATION = 4  # one labelled url in so many sets the threshold
-MODEL_ROWS = 1_000_000  # up to that many substrings (some 50 bytes each) the models are broadcast
+MODEL_ROWS = 1_000_000  # up to that many substrings (some 50 bytes each) are broadcast
 PIECE = 512  # characters of a text whose substrings are made at once
 END = "\x03"
 BINS = 1000  # of one unit of score, in calibration
@@ -129,12 +132,33 @@ def scored(texts: DataFrame, model: DataFrame, model_rows: int, per_character: f
     rest = [c for c in texts.columns if c != "text"]
     numbered = texts.withColumn("row_number", F.monotonically_increasing_id())
     numbered = numbered.withColumn("size", F.length("text") + 1)
-    side = F.broadcast(model) if model_rows <= MODEL_ROWS else model
+    if model_rows > MODEL_ROWS:
+        return scored_by_shuffle(numbered, model, per_character).select(*rest, "score")
     total = F.sum(F.coalesce("w", F.lit(0.0)))
-    return (substrings(numbered).join(side, "s", "left").groupBy("row_number", "size", *rest).agg(total.alias("total"))
+    return (substrings(numbered).join(F.broadcast(model), "s", "left").groupBy("row_number", "size", *rest)
+            .agg(total.alias("total"))
             .select(*rest, (F.col("total") / F.col("size") + F.lit(per_character)).alias("score")))
 
 
+def scored_by_shuffle(numbered: DataFrame, model: DataFrame, per_character: float) -> DataFrame:
+    """``numbered`` with ``score``, for a model too large to broadcast.  Substrings
+    that make up a ``MODEL_ROWS``-th of all occurrences or more, so at most
+    ``MODEL_ROWS`` ones, are looked up in a broadcast table, in the model or not;
+    the others meet the model in a shuffle, which no single one of them fills."""
+    numbered = staged(numbered, "url-numbered")  # read several times, with the same numbers
+    pieces = substrings(numbered.select("row_number", "text"))
+    count = sum((F.greatest(F.col("size") - n, F.lit(0)) for n in range(ORDER + 1)), F.lit(0)).cast("long")
+    total = numbered.agg(F.sum(count).alias("n")).head()["n"] or 0
+    often = pieces.groupBy("s").agg(F.count("*").alias("n")).where(F.col("n") * F.lit(MODEL_ROWS) >= F.lit(total))
+    often = staged(often.join(model, "s", "left").select("s", F.coalesce("w", F.lit(0.0)).alias("w")), "url-often")
+    near = pieces.join(F.broadcast(often), "s").groupBy("row_number").agg(F.sum("w").alias("w"))
+    far = (pieces.join(F.broadcast(often), "s", "left_anti").join(model, "s")
+           .groupBy("row_number").agg(F.sum("w").alias("w")))
+    sums = near.union(far).groupBy("row_number").agg(F.sum("w").alias("total"))
+    score = F.coalesce("total", F.lit(0.0)) / F.col("size") + F.lit(per_character)
+    return numbered.join(sums, "row_number", "left").withColumn("score", score)
+
+
 def calibrated(rows: list[tuple[float, int, int]]) -> float:
     """The threshold between two scores, from (score bin, allowed, blocked)
     counts, with the best mean of both kinds' shares right; of equals the middle."""
@@ -162,21 +186,18 @@ def fit(urls: DataFrame) -> tuple[DataFrame, int, float, float] | None:
     rule decides; None unless both kinds are there."""
     text = F.concat("host", "path")
     known = (urls.where(F.col("ruled").isNotNull()).select(text.alias("text"), "ruled")
-             .where(F.length("text") <= TRAIN_CHARS).distinct().withColumn("ok", (F.col("ruled") == "allow").cast("long")))
-    known = staged(known.withColumn("spot", spot(F.col("text"))), "url-known")
-    n = {r["ok"]: r["n"] for r in known.groupBy("ok").agg(F.count("*").alias("n")).collect()}
-    if len(n) < 2:
+             .where(F.length("text") <= TRAIN_CHARS).distinct()
+             .select("text", (F.col("ruled") == "allow").cast("long").alias("ok"),
+                     (spot(F.concat("text", F.lit("|split"))) * CALIBRATION < 1).alias("held")))
+    known = staged(known, "url-known")
+    if known.select("ok").distinct().count() < 2:
         return None
-    few = known.where(F.col("spot") <= min(1.0, TRAIN_URLS / sum(n.values()))).select("text", "ok", "spot")
-    # a second hash splits the sample, so that sampling leaves the split alone
-    second = spot(F.concat("text", F.lit("|split"))) * CALIBRATION
-    few = few.withColumn("held", second < 1)
-    model = learned(few.where(~F.col("held")).select("text", "ok"))
+    model = learned(known.where(~F.col("held")).select("text", "ok"))
     rows = model.count()
     constant = model.where("s = ''").head()
     per_character = float(constant["w"]) if constant else 0.0
     model = model.where("s <> ''")
-    scores = scored(few.where("held").select("text", "ok"), model, rows, per_character)
+    scores = scored(known.where("held").select("text", "ok"), model, rows, per_character)
     bins = scores.groupBy(F.round(F.col("score") * BINS).alias("bin")).agg(
         F.sum("ok").alias("good"), F.sum(1 - F.col("ok")).alias("bad")).collect()
     threshold = calibrated([(r["bin"], r["good"], r["bad"]) for r in bins]) / BINS

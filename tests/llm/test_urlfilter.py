@@ -87,3 +87,32 @@ def test_main_path_is_native(spark, urls):
 def test_threshold():
     assert urlfilter.calibrated([(-5, 0, 10), (5, 10, 0)]) == 0
     assert urlfilter.calibrated([(3, 5, 0)]) == 0.0
+
+
+def labelled(spark, rare, common=300):
+    """Many allowed urls, a few blocked ones, and some without a rule."""
+    rows = [f"http://s{i % 7}.com/fr/page{i}" for i in range(common)] + [f"http://bad.com/de/track{i}" for i in range(rare)]
+    rows += [f"http://x.net/{w}{i}" for i in range(20) for w in ("fr/page", "de/track")]
+    return spark.createDataFrame(list(enumerate(rows)), "page_id long, url string")
+
+
+def test_learns_from_all_labelled_urls(spark, monkeypatch):
+    pages = labelled(spark, 12)
+    monkeypatch.setattr(urlfilter, "TRAIN_URLS", 20)  # of 312 urls, one blocked one would be left
+    model, _, _, _ = urlfilter.fit(urlfilter.by_rule(urlfilter.parsed(pages)))
+    assert model.where("s IN ('/track', '/page2', 'track1')").count() == 3
+    out = urlfilter.filtered(pages).where("rule IS NULL").collect()
+    assert all(r["verdict"] == ("block" if "/de/" in r["path"] else "allow") for r in out)
+
+
+def test_same_scores_without_broadcasting_the_model(spark, monkeypatch):
+    pages = urlfilter.by_rule(urlfilter.parsed(labelled(spark, 40)))
+    model, rows, constant, _ = urlfilter.fit(pages)
+    texts = pages.select("page_id", F.concat("path", "host").alias("text")).union(
+        spark.createDataFrame([(-1, ""), (-2, "q" * 1300), (-3, "q" * 1300)], "page_id long, text string"))
+    want = {r["page_id"]: r["score"] for r in urlfilter.scored(texts, model, rows, constant).collect()}
+    for bound in (1, 50):
+        monkeypatch.setattr(urlfilter, "MODEL_ROWS", bound)
+        got = urlfilter.scored(texts, model, rows, constant).collect()
+        assert len(got) == len(want) == texts.count()
+        assert all(math.isclose(r["score"], want[r["page_id"]], rel_tol=1e-9, abs_tol=1e-9) for r in got)
