@@ -18,8 +18,8 @@ from three quarters of all labelled urls, the threshold from all others.
 Defined cases: a null url, or one without ``://``, has empty host and path and
 is scored as an empty text (its end mark alone).  Without labelled urls of both kinds
 the score is 0 and every url is allowed.  Repeated rows get equal answers.
-Very long urls are scored whole, in pieces; training leaves out urls longer than
-``TRAIN_CHARS``.  Extra columns of the input are not read.
+Very long urls are learned from and scored whole, in pieces.  Extra columns of
+the input are not read.
 """
 
 from __future__ import annotations
@@ -38,8 +38,8 @@ RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "exa
 ORDER = 5  # characters of the longest context
 LAMBDA = 2.0
 LEAST = 2  # occurrences of a substring of three or more characters that the models keep
-#: The longest url to learn from.  TRAIN_URLS is read by the oracle's SQL only: the
-#: models and the threshold take all labelled urls.
+#: Read by the oracle's SQL only: the models and the threshold take all labelled urls,
+#: however many and however long.
 TRAIN_URLS, TRAIN_CHARS = 100_000, 2048
 CALIBRATION = 4  # one labelled url in so many sets the threshold
 MODEL_ROWS = 1_000_000  # up to that many substrings (some 50 bytes each) are broadcast
@@ -186,7 +186,7 @@ def fit(urls: DataFrame) -> tuple[DataFrame, int, float, float] | None:
     rule decides; None unless both kinds are there."""
     text = F.concat("host", "path")
     known = (urls.where(F.col("ruled").isNotNull()).select(text.alias("text"), "ruled")
-             .where(F.length("text") <= TRAIN_CHARS).distinct()
+             .distinct()
              .select("text", (F.col("ruled") == "allow").cast("long").alias("ok"),
                      (spot(F.concat("text", F.lit("|split"))) * CALIBRATION < 1).alias("held")))
     known = staged(known, "url-known")

@@ -116,3 +116,12 @@ def test_same_scores_without_broadcasting_the_model(spark, monkeypatch):
         got = urlfilter.scored(texts, model, rows, constant).collect()
         assert len(got) == len(want) == texts.count()
         assert all(math.isclose(r["score"], want[r["page_id"]], rel_tol=1e-9, abs_tol=1e-9) for r in got)
+
+
+def test_learns_from_long_urls(spark):
+    long = "track/" * 500
+    rows = [f"http://a.com/fr/page{i}" for i in range(40)] + [f"http://b.com/de/{long}{i}" for i in range(40)]
+    free = ["http://x.net/fr/page7", "http://x.net/de/track/track/7"]
+    out = urlfilter.filtered(spark.createDataFrame(list(enumerate(rows + free)), "page_id long, url string"))
+    assert {r["path"]: r["verdict"] for r in out.where("rule IS NULL").collect()} == {
+        "/fr/page7": "allow", "/de/track/track/7": "block"}
