@@ -48,11 +48,16 @@ def bounded(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
+def row_hash() -> F.Column:
+    """``h`` of a row, from its doc_id and text."""
+    return F.xxhash64(F.lit(SEED), "doc_id", "text")
+
+
 def measured(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """A row (doc_id, source, size, h, n) for the n rows that agree in these."""
     given = only(docs, doc_id=doc_id, text=text, source=source)
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    return (given.select("doc_id", "source", size.alias("size"), F.xxhash64(F.lit(SEED), "doc_id", "text").alias("h"))
+    return (given.select("doc_id", "source", size.alias("size"), row_hash().alias("h"))
             .groupBy("doc_id", "source", "size", "h").agg(F.count("*").alias("n")))
 
 

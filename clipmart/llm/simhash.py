@@ -64,16 +64,17 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     return int(np.packbits(2 * set_ > len(h), bitorder="little").view("<i8")[0])
 
 
-def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """doc_id and ``fp`` (long) of every row."""
+def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
+                 keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, ``fp`` (long) and the columns ``keep`` of every row."""
     small_batches(docs.sparkSession)
-    given = only(docs, doc_id=doc_id, text=text)
-    schema = T.StructType([given.schema["doc_id"], T.StructField("fp", T.LongType())])
+    given = only(docs, doc_id=doc_id, text=text, **{c: c for c in keep})
+    schema = T.StructType([given.schema["doc_id"], T.StructField("fp", T.LongType()), *(given.schema[c] for c in keep)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fps = [fingerprint(t.as_py(), shingle) for t in b.column(1)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps, pa.int64())], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps, pa.int64()), *b.columns[2:]], ["doc_id", "fp", *keep])
 
     return given.mapInArrow(run, schema)
 
@@ -217,9 +218,11 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
-                    max_bits: int = MAX_BITS, large: int = LARGE) -> DataFrame:
-    """doc_id, ``fp`` (long) and ``component_id`` of every row."""
-    fps = staged(fingerprints(docs, doc_id, text, shingle), "simhash-fingerprints")
+                    max_bits: int = MAX_BITS, large: int = LARGE, keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, ``fp`` (long), ``component_id``, ``root`` and the columns ``keep``
+    of every row.  ``root``, the component's smallest fingerprint, tells components
+    apart that have no id or share one."""
+    fps = staged(fingerprints(docs, doc_id, text, shingle, keep=keep), "simhash-fingerprints")
     classes = staged(fps.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-classes")
     keyed = keys(pivot_table(classes), max_bits=max_bits)
     hot = staged(keyed.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > large).select("key"), "simhash-hot")
@@ -232,7 +235,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     links = compared(keyed, max_bits).union(ball_links(rest, max_bits))
     linked = components(links)
     first = (linked.join(classes, "fp").groupBy("root").agg(F.min("first").alias("component"))
-             .join(linked, "root").select("fp", "component"))
+             .join(linked, "root").select("fp", "component", "root"))
     named = (classes.join(first, "fp", "left")
-             .select("fp", F.coalesce("component", "first").alias("component_id")))
-    return fps.join(named, "fp").select("doc_id", "fp", "component_id")
+             .select("fp", F.coalesce("component", "first").alias("component_id"), F.coalesce("root", "fp").alias("root")))
+    return fps.join(named, "fp").select("doc_id", "fp", "component_id", "root", *keep)

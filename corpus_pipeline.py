@@ -5,16 +5,15 @@ Each stage takes what its predecessor kept, as (spark, docs, sf_dir), and
 returns the columns of documents; the last returns ids.  ``run`` writes every
 stage as Parquet into the shared folder and reads it back for the next.
 
-The first two stages judge every row by itself.  Near-dedup names documents by
-their ids: it leaves one row of an id, and rows without one go there, as nothing
-later could name them.  An empty table stays empty.
+Every stage tells rows apart by more than their ids: rows without an id and
+different texts under one id are documents like others.  Near-dedup leaves one
+row of each group of near copies.  An empty table stays empty.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from clipmart.llm import langid, mixing, quality, simhash, spm
 from clipmart.llm.common import WORD, staged, table
@@ -35,26 +34,33 @@ def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of each near-duplicate group whose id names it."""
-    found = simhash.near_duplicates(docs)
-    first = found.where("doc_id = component_id").select("doc_id").distinct()
-    same_id = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "lang", "source", "n_chars")
-    return (docs.join(first, "doc_id", "left_semi").withColumn("k", F.row_number().over(same_id))
-            .where("k = 1").select(COLUMNS))
+    """One row of each near-duplicate group: the one with the smallest id, of
+    equal ids or without one by hash of the row."""
+    # written with the rows, so that every reader sees the same numbers
+    rows = staged(docs.select(*COLUMNS, F.xxhash64("text", "lang", "source", "n_chars").alias("mark"),
+                              F.monotonically_increasing_id().alias("row")), "dedup-rows", "zstd")
+    found = simhash.near_duplicates(rows, keep=("mark", "row"))
+    order = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "mark", "row")
+    first = found.groupBy("root").agg(F.min(order).alias("first")).select("first.row")
+    return rows.join(first, "row", "left_semi").select(COLUMNS)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The words that the schedule takes: a row per whole pass over a document,
     and one with the leading words of a document that the target cuts."""
-    got = mixing.taken(*mixing.mix(docs)).select("doc_id", "size", "taken")
+    got = mixing.taken(*mixing.mix(docs)).select("doc_id", "source", "h", "size", "taken")
     whole = F.floor(F.col("taken") / F.col("size"))
     rest = F.col("taken") % F.col("size")
     copies = F.concat(F.array_repeat(F.lit(None).cast("long"), whole.cast("int")),
                       F.when(rest > 0, F.array(rest)).otherwise(F.array().cast("array<bigint>")))
-    got = got.where("taken > 0").select("doc_id", F.explode(copies).alias("words"))
+    # id, source and hash tell apart what near-dedup leaves, also rows without an id or under one id
+    got = got.where("taken > 0").select(F.col("doc_id").alias("got_id"), F.col("source").alias("got_source"),
+                                        F.col("h").alias("got_h"), F.explode(copies).alias("words"))
+    same = ((mixing.row_hash() == F.col("got_h")) & F.col("doc_id").eqNullSafe(F.col("got_id"))
+            & F.col("source").eqNullSafe(F.col("got_source")))
     # split keeps every word and drops what stands between them
     lead = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), F.lit(1), F.col("words").cast("int")), " ")
-    out = docs.join(got, "doc_id").withColumn("text", F.when(F.col("words").isNull(), F.col("text")).otherwise(lead))
+    out = docs.join(got, same).withColumn("text", F.when(F.col("words").isNull(), F.col("text")).otherwise(lead))
     return out.withColumn("n_chars", F.when(F.col("words").isNull(), F.col("n_chars"))
                           .otherwise(F.length("text").cast("long"))).select(COLUMNS)
 

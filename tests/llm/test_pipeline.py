@@ -58,3 +58,30 @@ def test_edges(spark, edges):
 def test_repeated_rows_stay_together(spark, edges):
     single = p.deduplicated(spark, edges, SMALL)
     assert single.groupBy("doc_id").count().where("count > 1").count() == 0
+
+
+A = "a report on rivers and bridges in the north of the country by several authors"
+B = "cooking with lentils and rice for large families needs patience and salt"
+C = "the seventh moon of the outer planet has a thin layer of ice and dust"
+ROWS = [(5, A), (5, A), (3, B), (5, B), (None, C), (None, C), (None, A + " and many more words that differ in all ways")]
+
+
+def rows(spark, given):
+    return spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in given], "doc_id long, text string, lang string, source string, n_chars long")
+
+
+def test_one_row_of_each_group(spark):
+    single = p.deduplicated(spark, rows(spark, ROWS), SMALL)
+    want = [(5, A), (3, B), (None, C), ROWS[-1]]
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in single.collect()) == sorted((i or 0, t) for i, t in want)
+    other = p.deduplicated(spark, rows(spark, [(1, A), (1, B)]), SMALL)  # unrelated texts under one id
+    assert sorted(r["text"] for r in other.collect()) == sorted([A, B])
+
+
+def test_mixing_tells_rows_apart(spark):
+    docs = rows(spark, [(1, A), (1, B), (None, C)])
+    out = p.mixed(spark, docs, SMALL).collect()
+    want = {r["h"]: r["taken"] for r in mixing.taken(*mixing.mix(docs)).collect()}
+    words = lambda t: len(t.split())
+    assert {(r["doc_id"], r["text"]) for r in out} >= {(1, A), (1, B), (None, C)}
+    assert sum(words(r["text"]) for r in out) == sum(want.values())
