@@ -29,9 +29,10 @@ from pyspark.sql.window import Window
 
 from clipmart.llm.common import free_name, small_batches, staged
 
-#: Training bounds: excerpts per language and their length in characters,
-#: further rows per language for the margin.
-EXCERPTS, EXCERPT_CHARS, CALIBRATION = 400, 120, 200
+#: Training bounds: excerpts per language and their length in characters.  All
+#: other rows set the margin, so a rare language leaves a share of its texts to it.
+EXCERPTS, EXCERPT_CHARS, EXCERPT_SHARE = 400, 120, 0.75
+BINS = 100_000  # score bins that calibration counts in
 BROADCAST_LANGUAGES = 100_000  # one row each
 CHUNK = 1024  # characters compressed at once: short enough for the dictionary to matter in each
 LEVEL, MIN_MATCH = 8, 4
@@ -56,47 +57,60 @@ def held_out(doc_id) -> F.Column:
 
 def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> LanguageModel:
     """Learn from the rows that aren't held out and have an id, a text and a
-    language.  The sample is bounded: per language the ``EXCERPTS`` different
-    texts with the smallest hashes give one excerpt each, the next
-    ``CALIBRATION`` set the margin."""
+    language.  Per language the ``EXCERPTS`` different texts with the smallest
+    hashes, at most ``EXCERPT_SHARE`` of all, give one excerpt each; all rows
+    with other texts set the margin."""
     key, body, name = (F.col(f"`{c}`") for c in (doc_id, text, lang))
-    rows = (docs.where(key.isNotNull() & body.isNotNull() & name.isNotNull() & ~held_out(key))
-            .select(key.alias("k"), name.alias("l"), F.xxhash64(body).alias("h"))
+    labelled = docs.where(key.isNotNull() & body.isNotNull() & name.isNotNull() & ~held_out(key))
+    rows = (labelled.select(key.alias("k"), name.alias("l"), F.xxhash64(body).alias("h"))
             .groupBy("l", "h").agg(F.min("k").alias("k")))
     rows = staged(rows, "language-hashes")
     # a window over a few times the wanted rows only, however common the language is
-    want = EXCERPTS + CALIBRATION
-    share = staged(rows.groupBy("l").agg(F.least(F.lit(1.0), F.lit(4.0 * want) / F.count("*")).alias("share")),
-                   "language-shares")
+    most = F.least(F.lit(EXCERPTS), F.ceil(F.count("*") * F.lit(EXCERPT_SHARE)))
+    share = staged(rows.groupBy("l").agg(F.least(F.lit(1.0), F.lit(4.0 * EXCERPTS) / F.count("*")).alias("share"),
+                                         most.alias("want")), "language-shares")
     share = F.broadcast(share) if share.count() <= BROADCAST_LANGUAGES else share
     low = F.col("h").cast("double") / F.lit(2.0**64) + 0.5 <= F.col("share")
     few = (rows.join(share, "l").where(low)
            .withColumn("n", F.row_number().over(Window.partitionBy("l").orderBy("h")))
-           .where(F.col("n") <= want).select("l", "h", "k", "n"))
+           .where(F.col("n") <= F.col("want")).select("l", "h", "k", "n"))
+    few = staged(few, "language-few")
     texts = docs.where(body.isNotNull()).select(key.alias("k"), body.alias("t"), F.xxhash64(body).alias("h"))
-    found = (texts.join(F.broadcast(few), ["k", "h"])  # want rows a language
+    found = (texts.join(F.broadcast(few), ["k", "h"])  # EXCERPTS rows a language
              .groupBy("l", "n").agg(F.min("t").alias("t")))
     room = F.greatest(F.length("t") - EXCERPT_CHARS, F.lit(0)) + 1
     at = (F.pmod(F.xxhash64("t", F.lit(1)), room) + 1).cast("int")
-    train = (found.where(F.col("n") <= EXCERPTS)
-             .select("l", "n", F.col("t").substr(at, F.lit(EXCERPT_CHARS)).alias("t")))
+    train = found.select("l", "n", F.col("t").substr(at, F.lit(EXCERPT_CHARS)).alias("t"))
     sample: dict[str, list[str]] = {}
     for r in sorted(train.collect()):
         sample.setdefault(r["l"], []).append(normal(r["t"]))
     model = LanguageModel({k: "\n".join(sample[k]).encode("utf-8", "replace") for k in sorted(sample)})
     if len(model.dictionaries) > 1:
-        seen = predict(found.where(F.col("n") > EXCERPTS), model, text="t", keep=["l"])
-        model.margin = narrowest([(r["score"], r["lang_pred"] == r["l"]) for r in
-                                  seen.where(F.col("lang_pred") != UNKNOWN).collect()])
+        used = F.broadcast(few.select(F.col("h").alias("used")))
+        rest = labelled.select(name.alias("l"), body.alias("t")).join(used, F.xxhash64("t") == F.col("used"), "left_anti")
+        model.margin = calibrated(predict(rest, model, text="t", keep=["l"]))
     return model
 
 
-def narrowest(answers: list[tuple[float, bool]]) -> float:
+def calibrated(seen: DataFrame) -> float:
+    """The margin from all predicted rows with their label ``l``, counted in
+    bins; a bin stands for its largest score."""
+    right = (F.col("lang_pred") == F.col("l")).cast("long")
+    bins = (seen.where(F.col("lang_pred") != UNKNOWN).groupBy(F.floor(F.col("score") * BINS).alias("bin"))
+            .agg(F.max("score").alias("score"), F.sum(right).alias("right"), F.sum(1 - right).alias("wrong")).collect())
+    return narrowest([a for r in bins for a in ((r["score"], True, r["right"]), (r["score"], False, r["wrong"]))])
+
+
+def narrowest(answers: list[tuple]) -> float:
     """The margin below which answers are rejected: the one that keeps the most
-    right answers, each wrong one kept counting ``WRONG_COST`` times."""
+    right answers, each wrong one kept counting ``WRONG_COST`` times.  An answer
+    is (score, right) or, for several of a score, (score, right, number)."""
     best, margin, value = 0, 0.0, 0
-    for score, right in sorted(answers):  # raise the margin past one answer after the other
-        value += -1 if right else WRONG_COST
+    gains: dict[float, int] = {}
+    for score, right, *n in answers:
+        gains[score] = gains.get(score, 0) + (-1 if right else WRONG_COST) * (n[0] if n else 1)
+    for score in sorted(gains):  # raise the margin past one score after the other
+        value += gains[score]
         if value > best:
             best, margin = value, score + 1e-9
     return max(margin, FLOOR)

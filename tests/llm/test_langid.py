@@ -53,3 +53,28 @@ def test_tie_goes_to_the_first():
 def test_margin():
     assert langid.narrowest([(0.5, True)] * 50) == langid.FLOOR
     assert 0.01 < langid.narrowest([(0.01, False)] * 3 + [(0.005, True)] + [(0.5, True)] * 50) < 0.5
+
+
+def test_margin_from_all_other_labelled_rows(spark, small, monkeypatch):
+    from pyspark.sql import functions as F
+
+    seen, predict = [], langid.predict
+    monkeypatch.setattr(langid, "predict", lambda docs, *a, **k: seen.append(docs.count()) or predict(docs, *a, **k))
+    monkeypatch.setattr(langid, "EXCERPTS", 20)
+    monkeypatch.setattr(langid, "CALIBRATION", 5, raising=False)
+    learned = small.where(~langid.held_out(F.col("doc_id")) & F.col("text").isNotNull() & F.col("lang").isNotNull())
+    langid.fit(small)
+    used = [r["h"] for r in learned.select("lang", F.xxhash64("text").alias("h")).distinct().orderBy("lang", "h").collect()]
+    langs = [r["lang"] for r in learned.select("lang", F.xxhash64("text").alias("h")).distinct().orderBy("lang", "h").collect()]
+    first = {h for i, (n, h) in enumerate(zip(langs, used)) if i - langs.index(n) < min(20, -(-3 * langs.count(n) // 4))}
+    want = learned.where(~F.xxhash64("text").isin(first)).count()
+    assert seen == [want] and want > 4 * 5
+    monkeypatch.setattr(langid, "EXCERPTS", 10**6)  # fewer texts than that: some still set the margin
+    langid.fit(small)
+    assert seen[1] > 0
+
+
+def test_margin_counts_repeated_scores():
+    many = [(0.01, False)] * 3 + [(0.01, True)] * 2 + [(0.5, True)] * 50
+    assert langid.narrowest([(0.01, False, 3), (0.01, True, 2), (0.5, True, 50)]) == langid.narrowest(many) > 0.01
+    assert langid.narrowest([(0.01, False, 1), (0.01, True, 9)]) == langid.FLOOR
