@@ -95,3 +95,17 @@ def op4_ann(spark, sf):
     from clipmart.llm import ann
 
     return ann.neighbours(table(spark, sf, "embeddings"))
+
+
+@query
+def op11_spelling_variants(spark, sf):
+    from clipmart.llm import variants
+
+    return variants.grouped(table(spark, sf, "documents"))
+
+
+@query
+def op12_byte_bpe(spark, sf):
+    from clipmart.llm import bytebpe
+
+    return bytebpe.digests(table(spark, sf, "documents"))
