@@ -109,3 +109,10 @@ def op12_byte_bpe(spark, sf):
     from clipmart.llm import bytebpe
 
     return bytebpe.digests(table(spark, sf, "documents"))
+
+
+@query
+def op13_collocations(spark, sf):
+    from clipmart.llm import collocations
+
+    return collocations.best(collocations.mined(table(spark, sf, "documents")))
