@@ -48,11 +48,23 @@ def ttl_summary(plan: DataFrame) -> DataFrame:
     return plan.groupBy("action").agg(F.count(F.lit(1)).alias("n_objects"))
 
 
+def one_per_key(batch: DataFrame, key: str, order: str | None = None) -> DataFrame:
+    """One row per ``key``: the first by ``order`` (nulls last), of equals the
+    one whose row is smallest by hash, so the choice is the same in every run.
+    ``min_by`` keeps one row per key and task, also of a hot key.  Rows without
+    a key are dropped: nothing could tell them apart later."""
+    rest = [c for c in batch.columns if c != key]
+    first = [F.col(order).isNull(), F.col(order)] if order else []
+    rank = F.struct(*(c.alias(f"o{i}") for i, c in enumerate([*first, F.xxhash64(*batch.columns)])))
+    one = batch.where(F.col(key).isNotNull()).groupBy(key).agg(F.min_by(F.struct(*rest), rank).alias("r"))
+    return one.select(*(F.col(c) if c == key else F.col(f"r.{c}").alias(c) for c in batch.columns))
+
+
 def new_bronze(batch: DataFrame, existing: DataFrame | None) -> DataFrame:
-    """K2: rows of assets not yet in bronze (append-only, no overwrite)."""
-    if existing is None:
-        return batch
-    return batch.join(existing.select("asset_id"), "asset_id", "left_anti")
+    """K2: one row (the earliest) of every asset not yet in bronze
+    (append-only, no overwrite)."""
+    new = one_per_key(batch, "asset_id", "load_ts" if "load_ts" in batch.columns else None)
+    return new if existing is None else new.join(existing.select("asset_id"), "asset_id", "left_anti").select(*batch.columns)
 
 
 def append_bronze(batch: DataFrame, path: str) -> int:

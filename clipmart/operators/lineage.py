@@ -54,21 +54,26 @@ def violations(manifest: DataFrame, clients: DataFrame, order_col: str = "row_po
 
 def closure(edges: DataFrame, max_depth: int | None = None) -> DataFrame:
     """Ancestor -> descendant pairs over lineage edges, with the
-    shortest depth.  Each step joins the pairs found last with the edges and
-    keeps those not seen before, so cycles end by themselves and nothing is
-    cut off unless ``max_depth`` asks for it.  Steps are materialised."""
-    e = materialize(edges.select("parent_asset_id", "child_asset_id").where(
-        F.col("parent_asset_id").isNotNull() & F.col("child_asset_id").isNotNull()).distinct())
-    step = e.select(F.col("parent_asset_id").alias("ancestor"), F.col("child_asset_id").alias("descendant"))
-    seen = frontier = step.withColumn("depth", F.lit(1))
-    depth = 1
-    while (max_depth is None or depth < max_depth) and not frontier.isEmpty():
-        depth += 1
-        reached = frontier.join(e, F.col("descendant") == F.col("parent_asset_id")) \
-            .select("ancestor", F.col("child_asset_id").alias("descendant")).distinct()
-        frontier = materialize(reached.join(seen.select("ancestor", "descendant"), ["ancestor", "descendant"], "left_anti")
-                               .withColumn("depth", F.lit(depth)))
-        seen = materialize(seen.union(frontier)) if depth % 8 == 0 else seen.union(frontier)
+    shortest depth, by doubling.  After a round all pairs up to a depth d are
+    known; a pair of depth d + 1 to 2d passes a node at depth d, so the pairs
+    of exactly that depth, joined with all, give them.  Rounds are the
+    logarithm of the longest shortest path; no pair is at the new depth where
+    nothing is left, so cycles end by themselves and nothing is cut off unless
+    ``max_depth`` asks for it.  Rounds are materialised."""
+    e = edges.where(F.col("parent_asset_id").isNotNull() & F.col("child_asset_id").isNotNull())
+    seen = materialize(e.select(F.col("parent_asset_id").alias("ancestor"), F.col("child_asset_id").alias("descendant"))
+                       .distinct().withColumn("depth", F.lit(1)))
+    reach = 1
+    while max_depth is None or reach < max_depth:
+        far = seen.where(F.col("depth") == reach).select("ancestor", F.col("descendant").alias("via"))
+        if far.isEmpty():
+            break
+        on = seen.select(F.col("ancestor").alias("via"), "descendant", (F.col("depth") + reach).alias("depth"))
+        joined = far.join(on, "via").select("ancestor", "descendant", "depth")
+        reach *= 2
+        if max_depth is not None:
+            joined = joined.where(F.col("depth") <= max_depth)
+        seen = materialize(seen.union(joined).groupBy("ancestor", "descendant").agg(F.min("depth").alias("depth")))
     return seen
 
 

@@ -49,6 +49,8 @@ EXPORT_COLUMNS = {
     },
 }
 
+#: Canonical columns without which an export row says nothing.
+EXPORT_KEYS = ("ad_id", "perf_date")
 CANONICAL = list(schemas.PERF_CANONICAL)
 
 
@@ -57,26 +59,39 @@ def stage(bronze: DataFrame, platform: str) -> DataFrame:
     return bronze.where(F.col("platform_native") == platform).select(*CANONICAL)
 
 
+def _typed(canonical: str):
+    """How the text of a canonical (or averaged) export column is read; null where it isn't of that type."""
+    kind = {"ad_id": "string", "perf_date": "date", "sum_watch_time_sec": "decimal(18,3)", "avg_watch_time_sec": "double",
+            "spend": "decimal(18,2)"}.get(canonical, "long")
+    return lambda c: c.try_cast(kind)
+
+
+def malformed(export: DataFrame, platform: str) -> Column:
+    """Array of the native columns of ``export`` that hold text of another
+    type, or nothing where a key (ad, day) belongs."""
+    mapping = EXPORT_COLUMNS[platform]
+    bad = []
+    for c in export.columns:
+        if c in mapping:
+            value = F.col(f"`{c}`")
+            wrong = _typed(mapping[c])(value).isNull()
+            bad.append(F.when(wrong if mapping[c] in EXPORT_KEYS else wrong & value.isNotNull(), F.lit(c)))
+    return F.filter(F.array(*bad), lambda x: x.isNotNull())
+
+
 def conform(export: DataFrame, platform: str) -> DataFrame:
-    """native export columns -> canonical; when only the average watch
-    time exists, ``sum_watch_time_sec = avg x plays``."""
+    """native export columns, by name -> canonical; when only the average
+    watch time exists, ``sum_watch_time_sec = avg x plays``.  A value that isn't
+    of its column's type becomes null (``malformed`` names it)."""
     mapping = EXPORT_COLUMNS[platform]
-    present = [c for c in export.columns if c in mapping]
-    df = export.select(*[F.col(f"`{c}`").alias(mapping[c]) for c in present])
+    df = export.select(*(_typed(mapping[c])(F.col(f"`{c}`")).alias(mapping[c]) for c in export.columns if c in mapping))
     if "sum_watch_time_sec" not in df.columns and "avg_watch_time_sec" in df.columns:
         df = df.withColumn("sum_watch_time_sec",
-                           (F.col("avg_watch_time_sec").cast("double")
-                            * F.col("play_count").cast("long")).cast("decimal(18,3)"))
-    for c in schemas.COUNTERS:
+                           (F.col("avg_watch_time_sec") * F.col("play_count")).cast("decimal(18,3)"))
+    for c in CANONICAL:
         if c not in df.columns:
-            df = df.withColumn(c, F.lit(None).cast("long"))
-    return df.select(
-        F.col("ad_id").cast("string"), F.to_date("perf_date").alias("perf_date"),
-        *[F.col(c).cast("long").alias(c) for c in schemas.COUNTERS[:6]],
-        F.col("sum_watch_time_sec").cast("decimal(18,3)"),
-        *[F.col(c).cast("long").alias(c) for c in schemas.COUNTERS[6:]],
-        F.col("spend").cast("decimal(18,2)"),
-    ).select(*CANONICAL)
+            df = df.withColumn(c, _typed(c)(F.lit(None).cast("string")))
+    return df.select(*CANONICAL)
 
 
 def union(meta: DataFrame, tiktok: DataFrame) -> DataFrame:

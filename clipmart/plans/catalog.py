@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from clipmart.operators import gold, search, silver
+from clipmart.operators import gold, search, silver, textindex, vectorindex
 from clipmart.plans import fixtures as fx
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -297,13 +297,40 @@ def q_conform(spark, sf):
     parts = []
     for plat in ("meta", "tiktok"):
         path = scratch_path(spark, "exports", uuid.uuid4().hex, plat)
-        native_export(spark, sf, plat).write.option("header", True).csv(path)
+        _write_exports(native_export(spark, sf, plat), path)
         parts.append(cio.read_export(spark, path, plat).withColumn("platform", F.lit(plat)))
     m, t = parts
     u = m.unionByName(t)
     return u.withColumn("sum_watch_time_sec", F.round(F.col("sum_watch_time_sec").cast("double"), 3))
 
 
+def _write_exports(rows, path):
+    """Half of the rows in the platform's order of columns, half reversed with a column of its own between."""
+    half = F.pmod(F.xxhash64("ad_id"), F.lit(2)) == 0
+    rows.where(half).write.option("header", True).csv(os.path.join(path, "a"))
+    names = rows.columns[::-1]
+    rows.where(~half).withColumn("account, name", F.lit('say "hi", twice')).select(names[0], "account, name", *names[1:]) \
+        .write.option("header", True).csv(os.path.join(path, "b"))
+
+
+@query("export_quarantine")
+def q_export_quarantine(spark, sf):
+    """Exports with planted damage: spend in words for every 7th ad, a day
+    that is none for every 11th.  These rows, and what is wrong with them."""
+    import uuid
+
+    from clipmart.sources import io as cio
+    from clipmart.session import scratch_path
+    path = scratch_path(spark, "exports", uuid.uuid4().hex, "meta")
+    user = F.expr("cast(substr(ad_id, 3) as bigint)")
+    rows = native_export(spark, sf, "meta").withColumn("spend", F.when(user % 7 == 0, F.lit("n/a")).otherwise(F.col("spend").cast("string"))) \
+        .withColumn("date", F.when(user % 11 == 0, F.lit("31.02.")).otherwise(F.col("date").cast("string")))
+    _write_exports(rows, path)
+    bad = cio.quarantined_export(spark, path, "meta").select("ad_id", "impressions", F.concat_ws(",", F.sort_array("bad_fields")).alias("bad_fields"))
+    good = cio.read_export(spark, path, "meta").select("ad_id", F.col("impressions").cast("string").alias("impressions"), F.lit("").alias("bad_fields"))
+    return bad.unionByName(good)
+
+
 # --- significance ------------------------------------------------------------------
 
 from clipmart.operators import stats  # noqa: E402
@@ -639,6 +666,15 @@ def q_lineage_walk(spark, sf):
     return lineage.closure(gold.lineage(dim_asset(spark, sf)))
 
 
+@query("chunk_walks")
+def q_chunk_walks(spark, sf):
+    """The first 20 sequences of four chunks, by their ids."""
+    from clipmart.operators import walks
+    f, c = _graph(spark, sf)
+    w = walks.chunk_walks(f, c, "Hook", steps=3, n=20)
+    return w.select("rank", *(F.col("chunk_ids")[i].alias(f"chunk_{i + 1}") for i in range(4)))
+
+
 @query("sequence_walk")
 def q_sequence_walk(spark, sf):
     f, c = _graph(spark, sf)
@@ -659,12 +695,14 @@ def q_ingest(spark, sf):
 @query("manifest_append")
 def q_manifest_append(spark, sf):
     """Two ingest runs appended to one manifest table (K4): the second run
-    appends only ids the stored manifest does not have."""
+    appends only ids the stored manifest does not have.  The first run holds
+    every asset twice, the second time as ingested a day later."""
     import uuid
     path = scratch_path(spark, "manifest", uuid.uuid4().hex)
     l = fx.landing_listing(spark, sf)
-    cio.append_manifest(assets.ingest(l.where(F.col("page_id") % 5 == 0), None, fx.BUCKET, fx.LOAD_TS)
-                        .drop("page_id"), path)
+    first = assets.ingest(l.where(F.col("page_id") % 5 == 0), None, fx.BUCKET, fx.LOAD_TS).drop("page_id")
+    again = first.withColumn("ingested_at", F.col("ingested_at") + F.expr("interval 1 day"))
+    cio.append_manifest(again.unionByName(first), path)
     cio.append_manifest(assets.ingest(l, None, fx.BUCKET, fx.LOAD_TS).drop("page_id"), path)
     return spark.read.parquet(path)
 
@@ -695,12 +733,12 @@ def q_ttl_summary(spark, sf):
 
 @query("bronze_append")
 def q_bronze_append(spark, sf):
-    """Three appends to one table (K2): half of the assets, all of them, all
-    again; every asset is stored once."""
+    """Three appends to one table (K2): half of the assets, all of them and
+    each twice, all again; every asset is stored once."""
     import uuid
     path = scratch_path(spark, "bronze", uuid.uuid4().hex)
     b = fx.bronze_asset_raw(spark, sf)
-    for batch in (b.where(F.expr("cast(substr(asset_id, 4) as bigint) % 2 = 0")), b, b):
+    for batch in (b.where(F.expr("cast(substr(asset_id, 4) as bigint) % 2 = 0")), b.unionByName(b), b):
         incremental.append_bronze(batch, path)
     return spark.read.schema(b.schema).parquet(path).select("asset_id", "client_id", "content_sha256", "chunk_count")
 
@@ -719,9 +757,10 @@ def q_embed(spark, sf):
 # --- vectors and text search ----------------------------------------------------------
 
 def _query_vector(spark, sf, vec_id: int = 1):
-    """One query vector taken from the embeddings table (a 64-float literal)."""
+    """One query vector taken from the embeddings table (a 64-float literal);
+    without a row of that id it is empty, and distances to it are null."""
     row = fx.table(spark, sf, "embeddings").where(F.col("vec_id") == vec_id).select("embedding").first()
-    return [float(x) for x in row["embedding"]]
+    return [float(x) for x in row["embedding"]] if row and row["embedding"] else []
 
 
 @query("semantic_topk")
@@ -733,7 +772,8 @@ def q_semantic_topk(spark, sf):
 
 @query("cosine_topk")
 def q_cosine_topk(spark, sf):
-    return search.nearest(fact_chunk(spark, sf), _query_vector(spark, sf), 10, "cosine") \
+    f = fact_chunk(spark, sf)
+    return search.hits(search.nearest(f, _query_vector(spark, sf), 10, "cosine"), f, dim_asset(spark, sf)) \
         .withColumn("similarity", F.round("similarity", 6))
 
 
@@ -747,7 +787,27 @@ def q_semantic_join(spark, sf):
 
 @query("ann_topk")
 def q_ann_topk(spark, sf):
-    return search.ann(fact_chunk(spark, sf), _query_vector(spark, sf), 10)
+    """M4 over a stored index: cells near the vector first, then those that
+    may still hold something nearer."""
+    q = _query_vector(spark, sf)
+    found, _ = vectorindex.nearest(_vector_index(spark, sf), q, 10) if q else (
+        search.nearest(fact_chunk(spark, sf), q, 0).withColumnRenamed("chunk_id", "id"), [])
+    return found.select(F.col("id").alias("chunk_id"), F.round("distance", 6).alias("distance"))
+
+
+def _vector_index(spark, sf):
+    import uuid
+    path = scratch_path(spark, "vector-index", uuid.uuid4().hex)
+    return vectorindex.build(fact_chunk(spark, sf).where(F.col("embedding").isNotNull()), path)
+
+
+@query("semantic_join_index")
+def q_semantic_join_index(spark, sf):
+    """M3 over the stored index: the same rows as ``semantic_join``."""
+    q = fx.table(spark, sf, "embeddings").where(F.col("vec_id") % 20 == 0) \
+        .select(F.col("vec_id").alias("query_id"), "embedding")
+    got = vectorindex.join(_vector_index(spark, sf), q, 5)
+    return got.select("query_id", F.col("id").alias("chunk_id"), F.round("distance", 6).alias("score"), "rank")
 
 
 @query("serving_view")
@@ -771,9 +831,31 @@ def q_embedding_scan(spark, sf):
 
 @query("bm25_search")
 def q_bm25(spark, sf):
-    q = fx.table(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"),
-                                                F.col("text").alias("query_text"))
-    return search.bm25(silver_chunks(spark, sf), q, 5).withColumn("score", F.round("score", 6))
+    """M2 over a stored index that skips the posting blocks which can't hold a result."""
+    return textindex.search(_text_index(spark, sf), _benchmark_queries(spark, sf), 5).withColumn("score", F.round("score", 6))
+
+
+def _benchmark_queries(spark, sf):
+    return fx.table(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("query_text"))
+
+
+def _text_index(spark, sf):
+    import uuid
+    return textindex.build(silver_chunks(spark, sf), scratch_path(spark, "text-index", uuid.uuid4().hex))
+
+
+@query("bm25_full")
+def q_bm25_full(spark, sf):
+    """M2 without an index: every document that shares a term is scored."""
+    return search.bm25(silver_chunks(spark, sf), _benchmark_queries(spark, sf), 5).withColumn("score", F.round("score", 6))
+
+
+@query("text_index")
+def q_text_index(spark, sf):
+    """What the stored text index knows of each term."""
+    index = _text_index(spark, sf)
+    held = index.postings.groupBy("term").agg(F.sum("n").alias("entries"), F.sum(F.size("entries")).cast("long").alias("stored"))
+    return index.terms.select("term", "df", F.round("idf", 6).alias("idf")).join(held, "term")
 
 
 @query("search_keyword")
@@ -865,7 +947,12 @@ def q_client_overwrite(spark, sf):
 def q_seed_scan(spark, sf):
     import uuid
     path = scratch_path(spark, "seeds", uuid.uuid4().hex)
-    fx.dim_client(spark, sf).write.option("header", True).csv(path)
+    rows = fx.dim_client(spark, sf)
+    # files whose columns stand in another order, beside one that is not asked for
+    odd = F.pmod(F.xxhash64("client_id"), F.lit(2)) == 1
+    rows.where(~odd).write.option("header", True).csv(os.path.join(path, "a"))
+    rows.where(odd).withColumn("note", F.lit("x")).select(*rows.columns[1::-1], "note", *rows.columns[2:]) \
+        .write.option("header", True).csv(os.path.join(path, "b"))
     return cio.read_seed(spark, path, schemas.DIM_CLIENT)
 
 
@@ -882,6 +969,7 @@ def q_landing_scan(spark, sf):
 
 # --- streaming ---------------------------------------------------------------------------
 
+from clipmart.sources import snapshots  # noqa: E402
 from clipmart.streaming import jobs as sj  # noqa: E402
 
 
@@ -905,7 +993,22 @@ def q_stream_perf(spark, sf):
     restated = restated_pulls(spark, sf).where(F.col("load_ts") > F.lit(fx.LOAD_TS).cast("timestamp"))
     restated.write.parquet(os.path.join(src, "pull=2"))
     sj.perf_upsert(spark, src + "/*", out, ckpt, max_files=1)
-    return spark.read.parquet(out)
+    return snapshots.read(spark, out)
+
+
+@query("table_versions")
+def q_table_versions(spark, sf):
+    """K6: a versioned table after a full write, an upsert of the restated
+    pulls and a compaction; what readers of each version see."""
+    import uuid
+    base = scratch_path(spark, "versions", uuid.uuid4().hex)
+    keys, order = sj.PERF_KEYS, ["load_ts", "content_hash"]
+    cio.write_versioned(fx.bronze_ad_performance(spark, sf), base, keys, order)
+    late = restated_pulls(spark, sf).where(F.col("load_ts") > F.lit(fx.LOAD_TS).cast("timestamp"))
+    snapshots.append(late, base, keys, order)
+    snapshots.compact(spark, base)
+    seen = [snapshots.read(spark, base, v).select(F.lit(v).alias("version"), *keys, "impressions", "load_ts") for v in (1, 2, 3)]
+    return seen[0].unionByName(seen[1]).unionByName(seen[2])
 
 
 @query("stream_daily_counts")

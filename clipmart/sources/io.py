@@ -8,6 +8,7 @@ overwrite).  Every reader takes an explicit schema: nothing is inferred.
 
 from __future__ import annotations
 
+import csv
 import os
 from collections.abc import Iterator
 
@@ -57,9 +58,66 @@ def read_all_clients(spark, root, name, schema):
     return read_table(spark, root, name, schema, all_clients=True)
 
 
+def csv_headers(spark: SparkSession, path: str) -> list[tuple[list[str], list[str]]]:
+    """(header names, files) of the CSV files under ``path``: files whose
+    headers agree go together.  Each file's first line is read in a task."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "length") \
+        .where("length > 0").select("path")
+    schema = T.StructType([T.StructField("path", T.StringType()), T.StructField("header", T.StringType())])
+
+    def first_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import fs as pafs
+
+        for b in batches:
+            lines = []
+            for p in b["path"]:
+                filesystem, name = pafs.FileSystem.from_uri(p)
+                with filesystem.open_input_stream(name, compression=None) as src:
+                    data = b""
+                    while b"\n" not in data and (more := src.read(1 << 16)):
+                        data += more
+                lines.append(data.split(b"\n", 1)[0].decode("utf-8-sig").rstrip("\r"))
+            yield b.assign(header=lines)
+
+    groups: dict[str, list[str]] = {}
+    for r in files.mapInPandas(first_lines, schema).collect():  # a row per file, as the reader lists them
+        groups.setdefault(r["header"], []).append(r["path"])
+    return [(next(csv.reader([h])), sorted(paths)) for h, paths in sorted(groups.items())]
+
+
+def read_csv_by_name(spark: SparkSession, path: str, required: list[str], optional: list[str] = ()) -> DataFrame:
+    """The named columns of all CSV files under ``path`` as text, found by
+    their names in each file's header: files may order them differently and
+    hold others, which are left behind.  A file without a required column, or
+    with a column twice, fails the read; a missing optional one is null."""
+    wanted, out = [*required, *optional], None
+    for names, files in csv_headers(spark, path):
+        names = [n.strip() for n in names]
+        missing = [c for c in required if c not in names]
+        again = [c for c in wanted if names.count(c) > 1]
+        if missing or again:
+            raise ValueError(f"{files[0]}: " + (f"no column {', '.join(missing)}" if missing else f"column {', '.join(again)} is there twice"))
+        # positions in place of names: others may repeat, and Spark compares names without case
+        schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(names))])
+        rows = spark.read.schema(schema).option("header", True).option("enforceSchema", True).csv(files)
+        rows = rows.select(*((F.col(f"c{names.index(c)}") if c in names else F.lit(None).cast("string")).alias(c) for c in wanted))
+        out = rows if out is None else out.unionByName(rows)
+    if out is None:
+        out = spark.createDataFrame([], T.StructType([T.StructField(c, T.StringType()) for c in wanted]))
+    return out
+
+
 def read_seed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """S3: CSV with pinned column types (no sniffing)."""
-    return spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").csv(path)
+    """S3: CSV with pinned column types (no sniffing), columns by name.  Text
+    that isn't of its column's type fails the read."""
+    raw = read_csv_by_name(spark, path, schema.fieldNames())
+
+    def typed(f: T.StructField):
+        value = F.col(f.name).try_cast(f.dataType)
+        broken = F.concat(F.lit(f"{f.name} of {f.dataType.simpleString()} holds "), F.col(f.name))
+        return F.when(F.col(f.name).isNotNull() & value.isNull(), F.raise_error(broken).cast(f.dataType)).otherwise(value).alias(f.name)
+
+    return raw.select(*map(typed, schema.fields))
 
 
 def read_embeddings(spark: SparkSession, path: str) -> DataFrame:
@@ -77,15 +135,31 @@ def read_run_log(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.EXTRACTION_RUN_LOG).json(path)
 
 
-def read_export(spark: SparkSession, path: str, platform: str) -> DataFrame:
-    """A platform CSV export under its native column names, conformed
-    to the canonical schema (perf.conform)."""
+def _raw_export(spark: SparkSession, path: str, platform: str) -> DataFrame:
     from clipmart.operators import perf
 
     native = perf.EXPORT_COLUMNS[platform]
-    sch = T.StructType([T.StructField(c, T.StringType(), True) for c in native])
-    raw = spark.read.schema(sch).option("header", True).csv(path)
-    return perf.conform(raw, platform)
+    keys = [c for c, to in native.items() if to in perf.EXPORT_KEYS]
+    return read_csv_by_name(spark, path, keys, [c for c in native if c not in keys])
+
+
+def read_export(spark: SparkSession, path: str, platform: str) -> DataFrame:
+    """The platform CSV exports under ``path`` by their native column names
+    (in any order, with others between), conformed to the canonical schema
+    (perf.conform).  Rows that ``quarantined_export`` returns are left out."""
+    from clipmart.operators import perf
+
+    raw = _raw_export(spark, path, platform)
+    return perf.conform(raw.where(F.size(perf.malformed(raw, platform)) == 0), platform)
+
+
+def quarantined_export(spark: SparkSession, path: str, platform: str) -> DataFrame:
+    """The rows of the same files whose text isn't of its column's type, as
+    they stand, with ``bad_fields``: the native names of these columns."""
+    from clipmart.operators import perf
+
+    raw = _raw_export(spark, path, platform)
+    return raw.withColumn("bad_fields", perf.malformed(raw, platform)).where(F.size("bad_fields") > 0)
 
 
 def scan_landing(spark: SparkSession, path: str, with_content: bool = True) -> DataFrame:
@@ -151,13 +225,17 @@ def append_events(df: DataFrame, path: str) -> None:
 
 
 def append_manifest(new_rows: DataFrame, path: str) -> int:
-    """K4: append manifest rows whose asset id is not stored yet."""
+    """K4: append manifest rows whose asset id is not stored yet, one (the
+    first ingested) per asset."""
     spark = new_rows.sparkSession
+    from clipmart.operators.incremental import one_per_key
     from clipmart.session import materialize, path_exists
 
+    columns = new_rows.columns
+    new_rows = one_per_key(new_rows, "asset_id", "ingested_at" if "ingested_at" in columns else None)
     if path_exists(spark, path):
         old = spark.read.schema(new_rows.schema).parquet(path).select("asset_id")
-        new_rows = new_rows.join(old, "asset_id", "left_anti")
+        new_rows = new_rows.join(old, "asset_id", "left_anti").select(*columns)
     new_rows = materialize(new_rows)
     n = new_rows.count()
     if n:
@@ -165,13 +243,13 @@ def append_manifest(new_rows: DataFrame, path: str) -> int:
     return n
 
 
-def write_versioned(df: DataFrame, base: str, version: str) -> str:
-    """K5/K6: write a new version of a table next to the old one and return
-    its path; readers switch by path.  A path being read is never
-    overwritten in place."""
-    path = os.path.join(base, f"v={version}")
-    df.write.mode("overwrite").parquet(path)
-    return path
+def write_versioned(df: DataFrame, base: str, keys: list[str], order: list[str]) -> int:
+    """K5/K6: the rows of ``df`` as the next version of the table under
+    ``base``: it replaces all rows, earlier versions stay readable, and readers
+    see it from the moment it is whole (``snapshots``)."""
+    from clipmart.sources import snapshots
+
+    return snapshots.replace(df, base, keys, order)
 
 
 def write_failures(fails: DataFrame, path: str) -> None:

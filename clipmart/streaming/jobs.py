@@ -1,12 +1,14 @@
 """Streaming forms of the only-process-what-is-new loops.
 
 X1 bronze_to_silver: new bronze files -> Silver chunks, each asset once.
-   Stateless: every micro-batch is anti-joined against the asset ids
-   already stored in the sink, so a retried batch is a no-op for assets it
-   already committed (parquet job commit is atomic).
+   The ids seen are state of the stream (in RocksDB, so they needn't fit in
+   memory), with an expiry if one is given; the sink is never read.  State,
+   source offsets and the file sink's log commit batch by batch, so a restart
+   from the checkpoint loses and repeats nothing.
 X2 perf_upsert: late restated days replace earlier pulls.  Each
-   micro-batch merges with the stored rows of the (ad, platform, day) keys
-   it touches and rewrites only those day partitions.
+   micro-batch appends its latest pulls to a versioned table
+   (``sources.snapshots``): no stored day is written again, readers never see
+   half a batch, and a retried batch is left out by its mark.
 X3 daily_counts: event stream -> daily counters per ad x platform with a
    watermark; append mode emits a day only once the watermark closes it.
 """
@@ -14,6 +16,7 @@ X3 daily_counts: event stream -> daily counters per ad x platform with a
 from __future__ import annotations
 
 import os
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +24,8 @@ from pyspark.sql import types as T
 
 from clipmart import schemas
 from clipmart.operators import perf, silver
-from clipmart.session import ensure_checkpoint_dir, materialize, path_exists
+from clipmart.session import ensure_checkpoint_dir
+from clipmart.sources import snapshots
 
 
 def _run(writer) -> None:
@@ -33,47 +37,59 @@ def _run(writer) -> None:
         raise RuntimeError(str(q.exception()))
 
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+@contextmanager
+def _rocksdb_state(spark: SparkSession):
+    """The state store of streams that start meanwhile, unless the session names one."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name, None)
+    own = before is None or before.endswith("HDFSBackedStateStoreProvider")  # Spark's default
+    if own:
+        spark.conf.set(name, ROCKSDB)
+    try:
+        yield
+    finally:
+        if own:
+            spark.conf.unset(name)
+
+
 def bronze_to_silver(spark: SparkSession, src: str, out: str, ckpt: str, id_width: int = 3,
-                     max_files: int | None = None) -> None:
-    """X1."""
+                     max_files: int | None = None, expire: str | None = None) -> None:
+    """X1.  With ``expire`` (such as "30 days") an id is forgotten once
+    ``load_ts`` has moved on that far, which bounds the state; an asset that
+    comes again later than that would be taken again."""
     ensure_checkpoint_dir(spark)
     reader = spark.readStream.schema(schemas.BRONZE_ASSET_RAW)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     stream = reader.parquet(src)
+    if expire:
+        new = stream.withWatermark("load_ts", expire).dropDuplicatesWithinWatermark(["asset_id"])
+    else:
+        new = stream.dropDuplicates(["asset_id"])
+    chunks = silver.clean(silver.explode_chunks(new, id_width))
+    with _rocksdb_state(spark):
+        _run(chunks.writeStream.format("parquet").outputMode("append").option("path", out).option("checkpointLocation", ckpt))
 
-    def batch(df: DataFrame, epoch: int) -> None:
-        new = df.dropDuplicates(["asset_id"])  # batch-local: no state kept
-        if path_exists(spark, out):
-            done = spark.read.schema(schemas.SILVER_CHUNK).parquet(out).select("asset_id").distinct()
-            new = new.join(done, "asset_id", "left_anti")
-        chunks = silver.clean(silver.explode_chunks(new, id_width))
-        chunks.write.mode("append").parquet(out)
 
-    _run(stream.writeStream.foreachBatch(batch).option("checkpointLocation", ckpt))
+PERF_KEYS = ["ad_id", "platform_native", "perf_date"]
 
 
 def perf_upsert(spark: SparkSession, src: str, out: str, ckpt: str, max_files: int | None = None) -> None:
-    """Output partitioned by perf_date; only touched days are rewritten."""
+    """``out`` is a versioned table, its folders partitioned by perf_date;
+    ``snapshots.read`` gives the current rows."""
     ensure_checkpoint_dir(spark)
     reader = spark.readStream.schema(schemas.BRONZE_AD_PERF)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     stream = reader.parquet(src)
-    keys = ["ad_id", "platform_native", "perf_date"]
 
     def batch(df: DataFrame, epoch: int) -> None:
-        merged = df
-        if path_exists(spark, out):
-            # the batch's days (one row each) as literals: other partitions are not listed
-            days = [r[0] for r in df.select("perf_date").distinct().collect()]
-            stored = spark.read.schema(schemas.BRONZE_AD_PERF).parquet(out) \
-                .where(F.col("perf_date").isin(days))
-            merged = stored.unionByName(df)
-        # materialise before overwriting the partitions the merge read from
-        latest = materialize(perf.latest_pull(merged, keys))
-        latest.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
-            .partitionBy("perf_date").parquet(out)
+        # the order of perf.latest_pull: the last pull, of equal times the highest hash
+        snapshots.append(perf.latest_pull(df, PERF_KEYS), out, PERF_KEYS, ["load_ts", "content_hash"], "perf_date",
+                         mark=f"{ckpt}:{epoch}")
 
     _run(stream.writeStream.foreachBatch(batch).option("checkpointLocation", ckpt))
 
