@@ -1,9 +1,9 @@
 """Phrase collocations from count streams in prefix and suffix order.
 
-Counting goes order by order over the whole corpus: one word, two words, up to
-``longest``.  A phrase can only be frequent where both phrases that are one word
-shorter are, so a pass counts the places that a bitmap of the frequent phrases
-of the order before lets through.  The bitmap has a fixed size and only ever
+Counting takes three passes over the whole corpus: words, pairs of words, and
+all longer phrases.  A phrase can only be frequent where the shorter phrases
+inside it are, so a pass counts the places that a bitmap of the frequent phrases
+of the pass before lets through.  The bitmap has a fixed size and only ever
 lets more through; counts are exact.  Tasks combine equal phrases before they
 are shuffled.
 
@@ -101,36 +101,40 @@ def equal_rows(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Counter:
-    """Counts of phrases of one order in one task."""
+    """Counts of phrases of some orders (one word, or those above ``known``, of
+    which ``bitmap`` holds the frequent phrases) in one task."""
 
-    def __init__(self, order: int, bitmap: np.ndarray | None):
-        self.order, self.bitmap = order, bitmap
+    def __init__(self, orders: list[int], known: int, bitmap: np.ndarray | None):
+        self.orders, self.known, self.bitmap = orders, known, bitmap
         self.start()
 
     def start(self) -> None:
         self.ids, self.hashes, self.cells = Ids(), np.empty(0, np.uint64), 0
-        self.found: dict[str, list[np.ndarray]] = {}
+        self.found: dict[tuple[str, int], list[np.ndarray]] = {}
 
     def add(self, lang: str, texts: list[bytes]) -> None:
         words = pieces(texts)
         at = np.fromiter(map(self.ids.__getitem__, words), np.int32, len(words))
-        if self.order == 1:
-            rows = at[at > 0][:, None]
-        else:
-            if len(self.hashes) < len(self.ids):  # dicts keep their order
-                new = list(self.ids)[len(self.hashes):]
-                self.hashes = np.concatenate([self.hashes, word_hashes(new)])
-            if len(at) < self.order:
-                return
-            near = len(at) - self.order + 1
-            bit = places(self.hashes[at], lang, self.order - 1)
-            open_ = (self.bitmap[bit >> 3] >> (bit & 7).astype(np.uint8) & 1).astype(bool)
-            go = open_[:near] & open_[1:near + 1]
-            for k in range(self.order):
-                go &= at[k:near + k] > 0
-            rows = at[np.flatnonzero(go)[:, None] + np.arange(self.order)]
+        if not self.known:
+            self.keep(lang, at[at > 0][:, None])
+            return
+        if len(self.hashes) < len(self.ids):  # dicts keep their order
+            self.hashes = np.concatenate([self.hashes, word_hashes(list(self.ids)[len(self.hashes):])])
+        if len(at) < self.known:
+            return
+        bit = places(self.hashes[at], lang, self.known)
+        go = (self.bitmap[bit >> 3] >> (bit & 7).astype(np.uint8) & 1).astype(bool)
+        for k in range(self.known):
+            go &= at[k:len(go) + k] > 0
+        runs = go  # phrases of ``order`` words, all of whose parts of ``known`` words are let through
+        for order in range(self.known + 1, self.orders[-1] + 1):
+            runs = runs[:-1] & go[order - self.known:]
+            if order in self.orders:
+                self.keep(lang, at[np.flatnonzero(runs)[:, None] + np.arange(order)])
+
+    def keep(self, lang: str, rows: np.ndarray) -> None:
         if len(rows):
-            self.found.setdefault(lang, []).append(rows)
+            self.found.setdefault((lang, rows.shape[1]), []).append(rows)
             self.cells += rows.size
 
     def full(self) -> bool:
@@ -138,9 +142,9 @@ class Counter:
 
     def hand_on(self) -> Iterator[pa.RecordBatch]:
         words = list(self.ids)
-        for lang, parts in self.found.items():
+        for (lang, order), parts in self.found.items():
             rows = np.concatenate(parts)
-            if self.order == 1:
+            if order == 1:
                 n = np.bincount(rows[:, 0])
                 rows, n = np.flatnonzero(n)[:, None], n[n > 0]
             else:
@@ -154,12 +158,12 @@ class Counter:
         self.start()
 
 
-def counted(docs: DataFrame, order: int, bitmap: bytes | None) -> DataFrame:
-    """lang, phrase (words and single spaces), f of all phrases of ``order``
-    words whose two shorter phrases are in ``bitmap``."""
+def counted(docs: DataFrame, orders: list[int], known: int = 0, bitmap: bytes | None = None) -> DataFrame:
+    """lang, phrase (words and single spaces), f of all phrases of ``orders``
+    words all of whose parts of ``known`` words are in ``bitmap``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c = Counter(order, None if bitmap is None else np.frombuffer(bitmap, np.uint8))
+        c = Counter(orders, known, None if bitmap is None else np.frombuffer(bitmap, np.uint8))
         for b in batches:
             texts, langs = b.column(1).cast(pa.binary()).to_pylist(), b.column(0).to_pylist()
             groups: dict[str, list[bytes]] = {}
@@ -207,16 +211,16 @@ def streams(docs: DataFrame, text: str = "text", lang: str = "lang", least: int
     small_batches(docs.sparkSession)
     given = only(docs, lang=lang, text=text).select(
         F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
-    every = staged(counted(given, 1, None), "collocation-words")
+    every = staged(counted(given, [1]), "collocation-words")
     out = every.groupBy("lang").agg(F.sum("f").alias("f")).select("lang", F.array().cast("array<string>").alias("words"), "f")
     frequent = every.where(F.col("f") >= least)
-    for order in range(1, longest + 1):
-        if order > 1:
-            frequent = staged(counted(given, order, bitmap_of(frequent, order - 1)).where(F.col("f") >= least),
+    for known, orders in enumerate(([1], [2], list(range(3, longest + 1)))):
+        if known:
+            if not orders or frequent.isEmpty():
+                break
+            frequent = staged(counted(given, orders, known, bitmap_of(frequent, known)).where(F.col("f") >= least),
                               "collocation-phrases")
         out = out.unionByName(frequent.select("lang", F.split("phrase", " ").alias("words"), "f"))
-        if frequent.isEmpty():
-            break
     return staged(out, "collocation-stream")
 
 
