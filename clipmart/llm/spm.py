@@ -6,12 +6,15 @@ path on which every piece and every two neighbouring pieces encode to
 themselves.  So edges weigh nothing or are forbidden, one backpointer per
 position survives, and the search is exact.
 
-The search keeps a window of positions as long as the longest piece, and the
-backpointers not yet committed.  From time to time it follows the surviving
-paths back; ids up to the boundary on which all of them converge are
-committed and forgotten.  Between two characters that stand side by side in no piece, every
-path has a boundary; a text is cut there first, and what recurs between two such
-cuts (words, mostly) is searched once per worker and remembered, up to a bound.
+The search runs along a text and holds no more than a window of positions, as
+a piece can reach back no further than the longest one: every longest piece's
+length it follows the surviving paths back, commits the ids up to the boundary
+on which all of them converge, and forgets what lies before.  Between two
+characters that stand side by side in no piece, every path has a boundary; there
+the paths converge whatever follows, so ids are committed at once.  Such
+stretches (words, mostly) recur; each worker searches a stretch once and
+remembers its ids, up to a bound, whatever the stretch's length is up to
+LONGEST_UNIT; longer ones are searched each time they come.
 
 Defined cases: a null text has null ids, an empty one none.  A character
 without a piece becomes the pieces of its UTF-8 bytes.  U+2581, the mark for a
@@ -38,8 +41,7 @@ SPACE = "▁"
 #: Units of a generation (about 200 bytes each; a worker keeps two), and pairs of pieces.
 REMEMBERED = 300_000
 LONGEST_UNIT = 40  # characters of a unit that is worth remembering
-NEVER, ONE = -np.inf, (1,)
-COMMIT_EVERY = 256  # positions between two looks for a common boundary
+NEVER = -np.inf
 
 
 def model_path() -> str:
@@ -80,6 +82,24 @@ NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 BPE = 2
 
 
+class Lengths(dict):
+    """Lengths of the pieces that may end behind some (up to three) characters, longest first."""
+
+    def __init__(self, pieces):
+        super().__init__()
+        self.pieces, self.by_end = pieces, {}
+        for p in pieces:
+            if len(p) > 2:
+                self.by_end.setdefault(p[-3:], set()).add(len(p))
+
+    def __missing__(self, end: str) -> tuple[int, ...]:
+        found = self.by_end.get(end, set()) | {n for n in (1, 2) if n <= len(end) and end[-n:] in self.pieces}
+        if len(self) > REMEMBERED:
+            self.clear()
+        self[end] = out = tuple(sorted(found, reverse=True))
+        return out
+
+
 class Model:
     """Pieces, merge order and the memory of one worker."""
 
@@ -107,17 +127,15 @@ class Model:
                      "⁇".encode() if k == UNKNOWN else b"" for p, _, k in pieces]
         self.inside = {p[i:i + 2] for p in self.id for i in range(len(p) - 1)}  # neighbours within a piece
         self.longest = max(map(len, self.id))
-        lengths: dict[str, set[int]] = {}  # of pieces, by their last two characters
-        for p in self.id:
-            lengths.setdefault(p[-2:], {1}).add(len(p))
-        self.lengths = {c: sorted(n, reverse=True) for c, n in lengths.items()}
+        self.lengths = Lengths(self.id)
         self.line = not any("\n" in p for p in self.id)
         #: marks before which there is a boundary unless one of these pairs stands there
         self.marks = {c: [pair for pair in self.inside if pair[1] == c] for c in ".,"}
         self.kind = "H" if len(pieces) <= 2**16 else "I"
         self.units: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}  # the generation before; what is used again moves on
-        self.known: dict[str, dict[str, bool]] = {}  # left piece, right piece: whether they fit
+        self.known: dict[str, dict] = {"": {}}  # of a piece, by the piece behind it: that one's, or False if they don't fit
+        self.commits, self.held = 0, 0  # commits within stretches, and the longest window before one
 
     def merged(self, text: str) -> list[str]:
         """The merges by definition: the best pair first, of equals the left one."""
@@ -139,95 +157,64 @@ class Model:
             return self.fits("", right)
         return self.merged(left + right) == ([left, right] if left else [right])
 
-    def search(self, text: str) -> Iterator[str]:
-        """The pieces of a text all of whose characters have one."""
-        base = 0  # all before it is committed
-        start: list[int] = [0]  # of the surviving edge into base, base + 1, ...
-        piece = [""]
-        known = [self.known.setdefault("", {})]
+    def judged(self, left: str, right: str, row: dict) -> dict | bool:
+        """Remember whether ``right`` fits behind ``left``, whose row this is."""
+        right = self.piece[right]
+        row[right] = found = self.known.setdefault(right, {}) if self.fits(left, right) else False
+        return found
 
-        def path(end: int, down_to: int) -> list[str]:
+    def search(self, text: str) -> Iterator[list[int]]:
+        """The ids of a text, run by run as they are committed."""
+        ids, lengths, judged, longest = self.id, self.lengths, self.judged, self.longest
+        root = self.known[""]
+        # a node per position from ``base`` on: the node before, the piece between, what may follow, the position
+        base, nodes = 0, [[None, "", root, 0]]
+
+        def path(node: list) -> list[int]:
             out = []
-            while end > down_to:
-                out.append(piece[end - base])
-                end = start[end - base]
+            while node[0] is not None:
+                out.append(ids[node[1]])
+                node = node[0]
             return out[::-1]
 
         for end in range(1, len(text) + 1):
-            self.step(text, end, base, start, piece, known)
-            if end - base >= COMMIT_EVERY:
-                alive = set(range(max(base, end - self.longest + 1), end + 1))
-                while len(alive) > 1:
-                    last = max(alive)
-                    alive.remove(last)
-                    alive.add(start[last - base])
-                common = alive.pop()
-                if common > base:
-                    yield from path(common, base)
-                    # keep the edge into the boundary: the next piece must fit it
-                    start, piece, known = start[common - base:], piece[common - base:], known[common - base:]
-                    base = common
-        yield from path(len(text), base)
-
-    def step(self, text: str, end: int, base: int, start: list[int], piece: list[str], known: list[dict]) -> None:
-        """Find the one edge into position ``end`` that survives."""
-        for n in self.lengths.get(text[max(end - 2, 0):end], ONE):
-            at = end - n
-            if at >= base:
+            for n in lengths[text[end - 3:end] if end > 2 else text[:end]]:
+                at = end - n
+                if at < base:
+                    continue
                 right = text[at:end]
-                if right not in self.id:
+                if right not in ids:
                     continue
-                row = known[at - base]
-                ok = row.get(right)
-                if ok is None:
-                    ok = row[self.piece[right]] = self.fits(piece[at - base], right)
-                if ok:
-                    right = self.piece[right]
-                    start.append(at)
-                    piece.append(right)
-                    known.append(self.known.setdefault(right, {}))
-                    return
-        raise ValueError(f"no piece ends at {end} of {text!r}")
-
-    def searched(self, texts: set[str]) -> Iterator[tuple[str, list[int]]]:
-        """Ids of short texts, all of whose characters have a piece.  In sorted
-        order a text goes on from the positions it shares with the last one."""
-        start, piece, known, last, ids, step = [0], [""], [self.known.setdefault("", {})], "", self.id, self.step
-        for text in sorted(texts):
-            shared = 0
-            for a, b in zip(text, last):
-                if a != b:
+                before = nodes[at - base]
+                row = before[2].get(right)
+                if row is None:
+                    row = judged(before[1], right, before[2])
+                if row is not False:
+                    nodes.append([before, right, row, end])
                     break
-                shared += 1
-            del start[shared + 1:], piece[shared + 1:], known[shared + 1:]
-            for end in range(shared + 1, len(text) + 1):
-                step(text, end, 0, start, piece, known)
-            out, at = [], len(text)
-            while at:
-                out.append(ids[piece[at]])
-                at = start[at]
-            last = text
-            yield text, out[::-1]
+            else:  # a character without a piece: every path ends before it
+                yield path(nodes[-1])
+                yield [self.byte[b] for b in text[end - 1].encode("utf-8", "surrogatepass")] if self.byte else [self.unknown]
+                base, nodes = end, [[None, "", root, end]]
+            if end - base >= 2 * longest:
+                self.held = max(self.held, end - base)
+                alive = {node[3]: node for node in nodes[-longest:]}
+                while len(alive) > 1:
+                    node = alive.pop(max(alive))[0]
+                    alive[node[3]] = node
+                common = alive.popitem()[1]
+                if common[3] > base:
+                    self.commits += 1
+                    yield path(common)
+                    common[0] = None  # what lies before is forgotten; the piece stays, as the next one must fit it
+                    nodes, base = nodes[common[3] - base:], common[3]
+        yield path(nodes[-1])
 
     def learn(self, units: set[str]) -> dict[str, bytes]:
-        """Ids of units, each cut at every certain boundary first."""
+        """Ids of stretches."""
         if sum(map(len, self.known.values())) > 2 * REMEMBERED:
-            self.known.clear()
-        inside, cut, short = self.inside, {}, set()
-        for u in units:
-            at = [i for i, pair in enumerate(map(str.__add__, u, u[1:]), 1) if pair not in inside]
-            cut[u] = parts = [u[a:b] for a, b in zip([0, *at], [*at, len(u)])] if at else [u] if u else []
-            short.update(p for p in parts if len(p) <= LONGEST_UNIT and p[0] in self.id)
-        found = dict(self.searched(short))
-
-        def ids(part: str) -> list[int]:
-            if (known := found.get(part)) is not None:
-                return known
-            if part[0] in self.id:
-                return [self.id[p] for p in self.search(part)]
-            return [self.byte[b] for b in part.encode("utf-8", "surrogatepass")] if self.byte else [self.unknown]
-
-        return {u: array(self.kind, [i for p in parts for i in ids(p)]).tobytes() for u, parts in cut.items()}
+            self.known = {"": {}}
+        return {u: array(self.kind, [i for run in self.search(u) for i in run]).tobytes() for u in units}
 
     def split(self, text: str) -> list[str]:
         """A text, its spaces marked, cut where every path has a boundary."""
@@ -249,10 +236,12 @@ class Model:
         different.difference_update(known)
         again = {u: older[u] for u in different if u in older}
         new = self.learn(different.difference(again)) | again
-        long = {u: new.pop(u) for u in [u for u in new if len(u) > LONGEST_UNIT]}
         known.update(new)
-        get = known.__getitem__ if not long else lambda u: long[u] if len(u) > LONGEST_UNIT else known[u]
-        return [np.frombuffer(b"".join(map(get, units)), self.kind) for units in split]
+        out = [np.frombuffer(b"".join(map(known.__getitem__, units)), self.kind) for units in split]
+        for u in new:
+            if len(u) > LONGEST_UNIT:
+                del known[u]
+        return out
 
     def encode(self, text: str) -> np.ndarray:
         return self.encode_all([text])[0]

@@ -32,10 +32,29 @@ def test_ids_of_the_library_and_back(model, library):
         assert model.decode(ids) == t
 
 
-def test_commits_within_the_window(model, monkeypatch):
-    whole = [list(model.search(t)) for t in ("▁" + "information" * 40, "=" * 500)]
-    monkeypatch.setattr(spm, "COMMIT_EVERY", 17)
-    assert [list(model.search(t)) for t in ("▁" + "information" * 40, "=" * 500)] == whole
+def test_commits_within_the_window(model, library, small):
+    """Whole documents in one search: ids are committed as it goes, and never
+    more than a few longest pieces are held."""
+    docs = [r["text"] for r in small.select("text").collect() if r["text"]]
+    model.commits = model.held = 0
+    runs = 0
+    for t in [*docs, "information" * 40, "=" * 500]:
+        found = list(model.search(model.prefix + t.replace(" ", spm.SPACE)))
+        assert [i for run in found for i in run] == library.encode(t)
+        runs += len(found) - 1
+    assert runs >= model.commits > sum(map(len, docs)) / (4 * model.longest)
+    assert 2 * model.longest <= model.held <= 6 * model.longest
+
+
+def test_every_stretch_goes_through_the_search(small, monkeypatch):
+    m = spm.Model(spm.model_path())
+    searched = []
+    search = m.search
+    monkeypatch.setattr(m, "search", lambda t: searched.append(t) or search(t))
+    docs = [r["text"] for r in small.select("text").collect() if r["text"]]
+    m.encode_all(docs)
+    stretches = {u for t in docs for u in m.split(m.prefix + t.replace(" ", spm.SPACE))}
+    assert sorted(searched) == sorted(stretches)
 
 
 def test_memory_is_bounded(library, monkeypatch):
