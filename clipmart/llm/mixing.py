@@ -160,16 +160,18 @@ def pieces(docs: DataFrame) -> DataFrame:
 
 
 def stream(docs: DataFrame, slots: DataFrame, by: DataFrame, n_sources: int) -> DataFrame:
-    """The mixed stream: (slot, at, s, doc_id, h, start, low, high) for every
-    part of a document that a slot takes."""
+    """The mixed stream: (slot, at, s, pass, doc_id, h, start, low, high) for
+    every part of a document that a slot takes.  Slots are the order in which
+    the mix is to be read; inside one, ``at`` is."""
     info = bounded(by.select("s", "blocks", "source_size", "words"), n_sources)
     block = F.col("rank") % F.col("blocks")
     before = F.floor(F.col("rank") / F.col("blocks")) * F.col("source_size") + F.col("block") * BLOCK
     taken = (slots.join(info, "s").withColumn("block", block)
-             .select("slot", "s", "block", (F.col("words") - before).alias("left")))  # words until the target
+             .select("slot", "s", "block", F.floor(F.col("rank") / F.col("blocks")).alias("pass"),
+                     (F.col("words") - before).alias("left")))  # words until the target
     high = F.least("high", F.col("low") + F.col("left") - F.col("at"))
     return (taken.join(pieces(docs), ["s", "block"]).where(F.col("at") < F.col("left"))
-            .select("slot", "at", "s", "doc_id", "h", "start", "low", high.alias("high")))
+            .select("slot", "at", "s", "pass", "doc_id", "h", "start", "low", high.alias("high")))
 
 
 def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source"
@@ -184,10 +186,24 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
 
 
 def taken(rows: DataFrame, by: DataFrame, parts: DataFrame) -> DataFrame:
-    """Per row: doc_id, size, source_size, target, taken."""
-    got = parts.groupBy("s", "start").agg(F.sum(F.col("high") - F.col("low")).alias("got"))
-    out = rows.join(got.select(F.col("s").alias("gs"), F.col("start").alias("g"), "got"),
+    """Per row: doc_id, size, source_size, target, taken, and its slots: the
+    first one (null without any) and how many hold words of it."""
+    got = parts.groupBy("s", "start").agg(F.sum(F.col("high") - F.col("low")).alias("got"), F.min("slot").alias("first_slot"),
+                                          F.count("slot").alias("slots"))
+    out = rows.join(got.select(F.col("s").alias("gs"), F.col("start").alias("g"), "got", "first_slot", F.col("slots").alias("n_slots")),
                     (F.col("s") == F.col("gs")) & (F.col("start") == F.col("g")) & (F.col("size") > 0), "left")
     return (out.join(bounded(by.select("s", "source", "source_size", "target"), by.count()), "s")
             .select("doc_id", "source", "h", "size", "source_size", "target",
-                    F.coalesce("got", F.lit(0)).cast("long").alias("taken")))
+                    F.coalesce("got", F.lit(0)).cast("long").alias("taken"), "first_slot",
+                    F.coalesce("n_slots", F.lit(0)).cast("long").alias("slots")))
+
+
+def passes(rows: DataFrame, by: DataFrame, parts: DataFrame) -> DataFrame:
+    """Per row and pass over its source: doc_id, source, h, size, slot (where
+    in the schedule the pass comes to it), at (the place inside that slot) and
+    words: all of them, or the leading ones of a document that the target cuts."""
+    got = parts.groupBy("s", "start", "pass", "h", "doc_id").agg(
+        F.sum(F.col("high") - F.col("low")).alias("words"), F.min(F.struct("slot", "at")).alias("first"))
+    size = rows.where("size > 0").select("s", "start", "size")
+    return (got.join(size, ["s", "start"]).join(bounded(by.select("s", "source"), by.count()), "s")
+            .select("doc_id", "source", "h", "size", "first.slot", "first.at", "words"))

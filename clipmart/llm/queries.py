@@ -50,7 +50,7 @@ def op6_mixing(spark, sf):
     from clipmart.llm import mixing
 
     return mixing.taken(*mixing.mix(table(spark, sf, "documents"))).select(
-        "doc_id", "size", "source_size", "target", "taken", "source")
+        "doc_id", "size", "source_size", "target", "taken", "source", "first_slot", "slots")
 
 
 @query

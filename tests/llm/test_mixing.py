@@ -70,3 +70,57 @@ def test_empty(spark, small):
     assert mixing.taken(*mixing.mix(small.limit(0))).collect() == []
     nothing = spark.createDataFrame([(1, None, "a"), (2, " ", None)], "doc_id long, text string, source string")
     assert [(r["taken"], r["target"]) for r in mixing.taken(*mixing.mix(nothing)).collect()] == [(0, 0.0)] * 2
+
+
+def by_definition(rows, by, golden):
+    """Slots one after the other, each taking the next block of its source,
+    from the rows' places and the sources' words: start -> (taken, first slot, slots)."""
+    of = {r["s"]: r for r in by}
+    total = sum(r["slots"] for r in by)
+    edges, ranks, plan = [], defaultdict(int), []
+    for s in sorted(of):
+        edges.append((of[s]["first"], of[s]["first"] + of[s]["slots"], s))
+    over = []
+    for slot in range(total):
+        x = min(mixing.GOLDEN * slot % 1.0 * total if golden is None else golden * slot % 1.0 * total, total - 0.5)
+        s = next(s for a, b, s in edges if a <= x < b)
+        if ranks[s] < of[s]["slots"]:
+            plan.append((slot, s, ranks[s]))
+        else:
+            over.append(slot)
+        ranks[s] += 1
+    short = [(s, r) for s in sorted(of) for r in range(min(ranks[s], of[s]["slots"]), of[s]["slots"])]
+    plan += [(slot, s, r) for slot, (s, r) in zip(over, short)]
+    out = defaultdict(lambda: [0, None, 0])
+    for slot, s, rank in sorted(plan):
+        one = of[s]
+        around, block = divmod(rank, one["blocks"])
+        left = one["words"] - around * one["source_size"] - block * mixing.BLOCK
+        low, high = block * mixing.BLOCK, block * mixing.BLOCK + min(mixing.BLOCK, left)
+        for r in rows:
+            part = min(high, r["start"] + r["size"]) - max(low, r["start"])
+            if r["s"] == s and part > 0:
+                got = out[s, r["start"]]
+                got[0] += part
+                got[1] = slot if got[1] is None else got[1]
+                got[2] += 1
+    return {k: tuple(v) for k, v in out.items()}
+
+
+def test_every_row_by_definition(small, monkeypatch):
+    monkeypatch.setattr(mixing, "BLOCK", 64)
+    few = small.where("doc_id < 60")
+    found = {}
+    for golden in (mixing.GOLDEN, 0.1234567):
+        monkeypatch.setattr(mixing, "GOLDEN", golden)
+        rows, by, parts = mixing.mix(few)
+        got = mixing.taken(rows, by, parts).collect()
+        want = by_definition(rows.collect(), by.collect(), golden)
+        assert sorted((r["taken"], r["first_slot"], r["slots"]) for r in got if r["taken"]) == sorted(want.values())
+        found[golden] = {(r["doc_id"], r["first_slot"]) for r in got}
+        words = defaultdict(int)
+        for p in mixing.passes(rows, by, parts).collect():
+            assert 0 < p["words"] <= p["size"]
+            words[p["doc_id"]] += p["words"]
+        assert words == {r["doc_id"]: r["taken"] for r in got if r["taken"]}
+    assert found[mixing.GOLDEN] != found[0.6180339887498949]  # the points decide where a document stands

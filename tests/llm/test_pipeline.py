@@ -85,3 +85,16 @@ def test_mixing_tells_rows_apart(spark):
     words = lambda t: len(t.split())
     assert {(r["doc_id"], r["text"]) for r in out} >= {(1, A), (1, B), (None, C)}
     assert sum(words(r["text"]) for r in out) == sum(want.values())
+
+
+def test_every_stretch_of_the_mix_is_near_the_shares(spark, monkeypatch):
+    """Rows are written in slot order: each quarter of them holds the sources as the whole does."""
+    monkeypatch.setattr(mixing, "BLOCK", 64)
+    given = [(i, f"{'word ' * (20 + i % 7)}{i}", "en", "abc"[i % 3], 0) for i in range(600)]
+    docs = spark.createDataFrame(given, "doc_id long, text string, lang string, source string, n_chars long")
+    order = [(r["source"], len(r["text"].split())) for r in p.mixed(spark, docs, SMALL).collect()]
+    share = lambda some: {s: sum(n for t, n in some if t == s) / sum(n for _, n in some) for s in "abc"}
+    whole, quarter = share(order), len(order) // 4
+    for k in range(4):
+        part = share(order[k * quarter:(k + 1) * quarter])
+        assert all(abs(part[s] - whole[s]) < 0.06 for s in "abc")
