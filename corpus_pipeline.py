@@ -46,23 +46,20 @@ def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The words that the schedule takes: a row per whole pass over a document,
-    and one with the leading words of a document that the target cuts."""
-    got = mixing.taken(*mixing.mix(docs)).select("doc_id", "source", "h", "size", "taken")
-    whole = F.floor(F.col("taken") / F.col("size"))
-    rest = F.col("taken") % F.col("size")
-    copies = F.concat(F.array_repeat(F.lit(None).cast("long"), whole.cast("int")),
-                      F.when(rest > 0, F.array(rest)).otherwise(F.array().cast("array<bigint>")))
+    """The words that the schedule takes, in its order: a row per whole pass
+    over a document, and one with the leading words of a document that the
+    target cuts.  So any stretch of the rows holds the sources near their shares."""
+    got = mixing.passes(*mixing.mix(docs)).select(
+        F.col("doc_id").alias("got_id"), F.col("source").alias("got_source"), F.col("h").alias("got_h"),
+        F.when(F.col("words") < F.col("size"), F.col("words")).alias("words"), "slot", "at")
     # id, source and hash tell apart what near-dedup leaves, also rows without an id or under one id
-    got = got.where("taken > 0").select(F.col("doc_id").alias("got_id"), F.col("source").alias("got_source"),
-                                        F.col("h").alias("got_h"), F.explode(copies).alias("words"))
     same = ((mixing.row_hash() == F.col("got_h")) & F.col("doc_id").eqNullSafe(F.col("got_id"))
             & F.col("source").eqNullSafe(F.col("got_source")))
     # split keeps every word and drops what stands between them
     lead = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), F.lit(1), F.col("words").cast("int")), " ")
     out = docs.join(got, same).withColumn("text", F.when(F.col("words").isNull(), F.col("text")).otherwise(lead))
-    return out.withColumn("n_chars", F.when(F.col("words").isNull(), F.col("n_chars"))
-                          .otherwise(F.length("text").cast("long"))).select(COLUMNS)
+    out = out.withColumn("n_chars", F.when(F.col("words").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long")))
+    return out.orderBy("slot", "at").select(COLUMNS)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
