@@ -162,15 +162,19 @@ def _meet(pairs: DataFrame, index: VectorIndex, k: int, query_type: T.DataType)
             return pd.DataFrame({c: [] for c in schema.names})
         v = v.sort_values(["out", "id"], kind="stable")
         ids, out, m = v["id"].to_numpy(), v["out"].to_numpy(), _matrix(v["vector"], 0)
-        got = []
-        for query_id, vec, away, most in zip(q["query_id"], q["embedding"], q["away"], q["most"]):
+        found, distance, compared = [], [], []
+        for vec, away, most in zip(q["embedding"], q["away"], q["most"]):
             lo, hi = np.searchsorted(out, [away - most - 1e-6, away + most + 1e-6], side="left")
             d = np.sqrt(((m[lo:hi] - np.asarray(vec, np.float64)) ** 2).sum(1))
             order = np.lexsort((ids[lo:hi], d))[:k]
-            got.append(pd.DataFrame({"query_id": query_id, "id": ids[lo:hi][order], "distance": d[order],
-                                     "compared": np.int64(hi - lo),
-                                     "cell": q["cell"].iloc[0], "vp": q["vp"].iloc[0]}))
-        return pd.concat(got, ignore_index=True)
+            found.append(ids[lo:hi][order])
+            distance.append(d[order])
+            compared.append(hi - lo)
+        each = [len(d) for d in distance]
+        return pd.DataFrame({"query_id": pd.Series(np.repeat(q["query_id"].to_numpy(), each), dtype=object),
+                             "id": pd.Series(np.concatenate(found), dtype=object), "distance": np.concatenate(distance),
+                             "compared": np.repeat(np.array(compared, np.int64), each),
+                             "cell": np.int32(q["cell"].iloc[0]), "vp": np.int32(q["vp"].iloc[0])})
 
     return left.groupBy("cell", "qp", "vp").cogroup(right.groupBy("cell", "qp", "vp")).applyInPandas(best, schema)
 

@@ -625,6 +625,17 @@ def q_reconcile(spark, sf):
     })
 
 
+@query("reconcile_rows")
+def q_reconcile_rows(spark, sf):
+    """Differing rows of the chunk table and a drifted copy, found through a hash tree."""
+    s = silver_chunks(spark, sf)
+    doc = F.regexp_extract("chunk_id", "^doc([0-9]+)_", 1).cast("long")
+    copy = s.withColumn("transcript_segment", F.when(doc % 101 == 7, F.upper("transcript_segment")).otherwise(F.col("transcript_segment")))
+    copy = copy.where(doc % 97 != 5).unionByName(s.where(doc % 89 == 3))
+    columns = ["chunk_id", "standalone_score", "transcript_segment"]
+    return reconcile.tree_diff(s, copy, columns)
+
+
 @query("reconcile_sample")
 def q_reconcile_sample(spark, sf):
     """Up to five differing keys per side of the copy that differs."""
@@ -858,6 +869,17 @@ def q_text_index(spark, sf):
     return index.terms.select("term", "df", F.round("idf", 6).alias("idf")).join(held, "term")
 
 
+@query("search_contains")
+def q_search_contains(spark, sf):
+    """Clips whose text contains a pattern, through the stored trigram index."""
+    import uuid
+
+    from clipmart.operators import substring
+    f = fact_chunk(spark, sf).drop("embedding")
+    index = substring.build(f, scratch_path(spark, "trigrams", uuid.uuid4().hex))
+    return search.clips(substring.search(index, f, "TIONan%the"), dim_asset(spark, sf), min_score=2, order=False)
+
+
 @query("search_keyword")
 def q_search_keyword(spark, sf):
     s = silver_chunks(spark, sf)
