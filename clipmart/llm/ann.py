@@ -19,10 +19,10 @@ all vectors in blocks: a cell holds at most about ``BLOCK`` vectors and
 all cells are the answer.
 
 Defined cases: vectors that are null, empty or zero or hold a null or
-non-finite component, and rows with a null id, take no part; a repeated id is one vector, of
-different ones the first in the order of arrays; a query meets only vectors of
-its own length; equal scores are ordered by id; with fewer than k candidates
-all are returned.  An empty table gives an empty result.
+non-finite component, and rows with a null id, take no part; rows that share an
+id, or all they hold, are candidates (and queries) like others, and a query leaves
+out its own row only; a query meets only vectors of its own length; equal scores are
+ordered by id; with fewer than k candidates all are returned.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -58,8 +58,8 @@ def threshold() -> int:
 class Index:
     """The sorted arrays of one block."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, longest: float):
-        self.ids, self.vectors, self.longest = ids, vectors, longest
+    def __init__(self, ids: np.ndarray, rows: np.ndarray, vectors: np.ndarray, longest: float):
+        self.ids, self.rows, self.vectors, self.longest = ids, rows, vectors, longest
         rest = np.sqrt(np.maximum(longest**2 - np.einsum("ij,ij->i", vectors, vectors), 0))
         rng = np.random.default_rng(SEED)
         self.lines = rng.standard_normal((vectors.shape[1] + 1, PROJECTIONS))
@@ -68,7 +68,7 @@ class Index:
         self.values = np.take_along_axis(values, self.order, axis=1)
 
     def search(self, queries: np.ndarray, own: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
-        """(ids, scores) of the k best per query, its own id left out."""
+        """(ids, scores) of the k best per query, its ``own`` row left out."""
         at = queries @ self.lines[:-1]
         size = np.einsum("ij,ij->i", queries, queries)
         rounds: list[tuple[float, np.ndarray, np.ndarray]] = []
@@ -98,7 +98,7 @@ class Index:
     def one(self, i: int, q: np.ndarray, own: int, size: float, k: int, window) -> tuple[np.ndarray, np.ndarray]:
         n, least = len(self.ids), threshold()
         count = np.zeros(n, np.int64)
-        waiting = self.ids != own
+        waiting = self.rows != own
         ids, scores = np.empty(0, np.int64), np.empty(0)
         low0 = high0 = None
         for r in range(10_000):
@@ -127,23 +127,24 @@ class Index:
 
 
 def usable(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
-    """(id, v, dim): a row per id, with components in double precision."""
+    """(id, v, dim): the rows that take part, with components in double precision."""
     given = only(vectors, id=vec_id, v=embedding).where("id IS NOT NULL AND v IS NOT NULL")
     given = given.select(F.col("id").cast("long").alias("id"), F.col("v").cast("array<double>").alias("v"))
     bad = lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))
     given = given.where(~F.exists("v", bad) & F.exists("v", lambda x: x != 0))
-    return given.groupBy("id").agg(F.min("v").alias("v")).withColumn("dim", F.size("v"))
+    return given.withColumn("dim", F.size("v"))
 
 
 def neighbours(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", k: int = K,
                every: int = QUERY_EVERY) -> DataFrame:
     """query_id, rank (from 1), vec_id and score of the k nearest per query."""
-    rows = staged(usable(vectors, vec_id, embedding), "ann-vectors")
+    # written with the rows, so that every reader sees the same numbers
+    rows = staged(usable(vectors, vec_id, embedding).withColumn("row", F.monotonically_increasing_id()), "ann-vectors")
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
     n, queries, longest = rows.agg(F.count("*"), F.count(F.when(F.col("id") % every == 0, 1)), F.max(norm)).head()
     blocks, parts = max(1, -(-n // BLOCK)), max(1, -(-queries // QUERIES))
     longest = float(longest or 0)
-    spread = lambda m, seed: F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(m))
+    spread = lambda m, seed: F.pmod(F.xxhash64(F.lit(seed), "id", "row"), F.lit(m))
     # a stated query set against all rows, in blocks
     data = (rows.withColumn("block", spread(blocks, 1))
             .withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))))
@@ -152,25 +153,26 @@ def neighbours(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "emb
     asked = asked.withColumn("part", F.col("part").cast("int")).withColumn("block", F.col("block").cast("long"))
     data = data.withColumn("part", F.col("part").cast("int"))
 
-    def matrix(t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-        ids = t.column("id").to_numpy()
+    def matrix(t: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        ids, row = t.column("id").to_numpy(), t.column("row").to_numpy()
         flat = t.column("v").combine_chunks().flatten().to_numpy(zero_copy_only=False)
-        by_id = np.argsort(ids, kind="stable")
-        return ids[by_id], flat.reshape(len(ids), -1)[by_id]
+        by_id = np.lexsort((row, ids))
+        return ids[by_id], row[by_id], flat.reshape(len(ids), -1)[by_id]
 
     def cell(left: pa.Table, right: pa.Table) -> pa.Table:
-        names = ["query_id", "vec_id", "score"]
+        names = ["row", "query_id", "vec_id", "score"]
         if not left.num_rows or not right.num_rows:
-            return pa.table([pa.array([], pa.int64()), pa.array([], pa.int64()), pa.array([], pa.float64())], names)
-        own, q = matrix(left)
+            return pa.table([pa.array([], pa.int64()), pa.array([], pa.int64()), pa.array([], pa.int64()), pa.array([], pa.float64())], names)
+        ids, own, q = matrix(left)
         found = Index(*matrix(right), longest).search(q, own, k)
-        return pa.table([pa.array(np.repeat(own, [len(i) for i, _ in found])),
+        each = [len(i) for i, _ in found]
+        return pa.table([pa.array(np.repeat(own, each)), pa.array(np.repeat(ids, each)),
                          pa.array(np.concatenate([i for i, _ in found])),
                          pa.array(np.concatenate([s for _, s in found]))], names)
 
     key = ["dim", "block", "part"]
-    pairs = (asked.select("id", "v", *key).groupBy(*key).cogroup(data.select("id", "v", *key).groupBy(*key))
-             .applyInArrow(cell, "query_id long, vec_id long, score double"))
-    best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    pairs = (asked.select("id", "row", "v", *key).groupBy(*key).cogroup(data.select("id", "row", "v", *key).groupBy(*key))
+             .applyInArrow(cell, "row long, query_id long, vec_id long, score double"))
+    best = Window.partitionBy("row").orderBy(F.col("score").desc(), "vec_id")
     return (pairs.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
             .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"))

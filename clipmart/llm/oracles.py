@@ -62,10 +62,9 @@ WITH urls AS (
 ), judged AS (
   SELECT *, host || path AS text, CASE{rule} END AS rule, CASE{verdict} END AS ruled FROM urls
 ), known AS (
-  SELECT DISTINCT text, ruled FROM judged WHERE ruled IS NOT NULL AND length(text) <= {u.TRAIN_CHARS}
+  SELECT DISTINCT text, ruled FROM judged WHERE ruled IS NOT NULL
 ), few AS MATERIALIZED (
   SELECT text, (ruled = 'allow')::INT AS ok, {spot("text || '|split'")} * {u.CALIBRATION} < 1 AS held FROM known
-  WHERE {spot('text')} <= least(1.0, {u.TRAIN_URLS}.0 / (SELECT count(*) FROM known))
 ), train AS (SELECT * FROM few WHERE NOT held),
 kept AS (
   SELECT s, sum(ok)::BIGINT AS c1, sum(1 - ok)::BIGINT AS c0 FROM ({substrings('train', 'ok')}) GROUP BY s

@@ -13,7 +13,9 @@ text's log-likelihood is a constant per character plus one weight for every
 substring of up to ``ORDER + 1`` characters, so both models are one table of
 substrings and weight differences, and scoring is one join and a sum per row
 (two joins where the models are too large to broadcast whole).  The models learn
-from three quarters of all labelled urls, the threshold from all others.
+from three quarters of all labelled urls, the threshold from all others.  A substring
+of three or more characters counts if it stands in those at least ``LEAST`` times: one
+seen once says no more than its shorter contexts do, and these are what is many.
 
 Defined cases: a null url, or one without ``://``, has empty host and path and
 is scored as an empty text (its end mark alone).  Without labelled urls of both kinds
@@ -38,9 +40,6 @@ RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "exa
 ORDER = 5  # characters of the longest context
 LAMBDA = 2.0
 LEAST = 2  # occurrences of a substring of three or more characters that the models keep
-#: Read by the oracle's SQL only: the models and the threshold take all labelled urls,
-#: however many and however long.
-TRAIN_URLS, TRAIN_CHARS = 100_000, 2048
 CALIBRATION = 4  # one labelled url in so many sets the threshold
 MODEL_ROWS = 1_000_000  # up to that many substrings (some 50 bytes each) are broadcast
 PIECE = 512  # characters of a text whose substrings are made at once

@@ -98,7 +98,6 @@ def labelled(spark, rare, common=300):
 
 def test_learns_from_all_labelled_urls(spark, monkeypatch):
     pages = labelled(spark, 12)
-    monkeypatch.setattr(urlfilter, "TRAIN_URLS", 20)  # of 312 urls, one blocked one would be left
     model, _, _, _ = urlfilter.fit(urlfilter.by_rule(urlfilter.parsed(pages)))
     assert model.where("s IN ('/track', '/page2', 'track1')").count() == 3
     out = urlfilter.filtered(pages).where("rule IS NULL").collect()
