@@ -37,6 +37,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -91,13 +92,15 @@ def places(word_hash: np.ndarray, lang: str, order: int) -> np.ndarray:
 
 
 def equal_rows(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """First places and numbers of equal rows."""
+    """The different rows and how often each is there."""
+    if rows.shape[1] <= 2:  # a row is one number: sorted without its place
+        code, n = np.unique(rows[:, 0].astype(np.int64) << 32 | rows[:, -1], return_counts=True)
+        return np.stack([code >> 32, code & 0xFFFFFFFF], 1)[:, :rows.shape[1]], n
     code = rows[:, 0].astype(np.int64)
     for c in range(1, rows.shape[1]):
-        code = np.unique(code, return_inverse=True)[1] if c > 1 else code
-        code = code << 32 | rows[:, c]
+        code = (np.unique(code, return_inverse=True)[1] if c > 1 else code) << 32 | rows[:, c]
     _, first, n = np.unique(code, return_index=True, return_counts=True)
-    return first, n
+    return rows[first], n
 
 
 class Counter:
@@ -141,20 +144,14 @@ class Counter:
         return self.cells > CELLS or len(self.ids) > WORDS
 
     def hand_on(self) -> Iterator[pa.RecordBatch]:
-        words = list(self.ids)
+        words = pa.array(list(self.ids), pa.binary())
         for (lang, order), parts in self.found.items():
-            rows = np.concatenate(parts)
-            if order == 1:
-                n = np.bincount(rows[:, 0])
-                rows, n = np.flatnonzero(n)[:, None], n[n > 0]
-            else:
-                first, n = equal_rows(rows)
-                rows = rows[first]
+            rows, n = equal_rows(np.concatenate(parts))
             for i in range(0, len(rows), 1 << 16):
-                text = [b" ".join(map(words.__getitem__, r)) for r in rows[i:i + (1 << 16)].tolist()]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(text), pa.string()), pa.array(text, pa.binary()).cast(pa.string()),
-                     pa.array(n[i:i + (1 << 16)], pa.int64())], COUNTED.names)
+                some = rows[i:i + (1 << 16)]
+                text = pc.binary_join_element_wise(*(words.take(pa.array(some[:, c])) for c in range(order)), pa.scalar(b" ", pa.binary()))
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(some), pa.string()), text.cast(pa.string()),
+                                                  pa.array(n[i:i + (1 << 16)], pa.int64())], COUNTED.names)
         self.start()
 
 
