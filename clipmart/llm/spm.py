@@ -163,12 +163,16 @@ class Model:
         row[right] = found = self.known.setdefault(right, {}) if self.fits(left, right) else False
         return found
 
-    def search(self, text: str) -> Iterator[list[int]]:
-        """The ids of a text, run by run as they are committed."""
+    def search(self, text: str, alike: list | None = None) -> Iterator[list[int]]:
+        """The ids of a text, run by run as they are committed.  ``alike`` holds
+        the nodes of another text for the positions up to which both are the
+        same, and then those of this one; none if ids had to be committed on the way."""
         ids, lengths, judged, longest = self.id, self.lengths, self.judged, self.longest
         root = self.known[""]
         # a node per position from ``base`` on: the node before, the piece between, what may follow, the position
-        base, nodes = 0, [[None, "", root, 0]]
+        base, nodes = 0, [] if alike is None else alike
+        if not nodes:
+            nodes.append([None, "", root, 0])
 
         def path(node: list) -> list[int]:
             out = []
@@ -177,7 +181,7 @@ class Model:
                 node = node[0]
             return out[::-1]
 
-        for end in range(1, len(text) + 1):
+        for end in range(len(nodes), len(text) + 1):
             for n in lengths[text[end - 3:end] if end > 2 else text[:end]]:
                 at = end - n
                 if at < base:
@@ -196,6 +200,8 @@ class Model:
                 yield path(nodes[-1])
                 yield [self.byte[b] for b in text[end - 1].encode("utf-8", "surrogatepass")] if self.byte else [self.unknown]
                 base, nodes = end, [[None, "", root, end]]
+                if alike:
+                    alike.clear()
             if end - base >= 2 * longest:
                 self.held = max(self.held, end - base)
                 alive = {node[3]: node for node in nodes[-longest:]}
@@ -208,13 +214,25 @@ class Model:
                     yield path(common)
                     common[0] = None  # what lies before is forgotten; the piece stays, as the next one must fit it
                     nodes, base = nodes[common[3] - base:], common[3]
+                    if alike:
+                        alike.clear()
         yield path(nodes[-1])
 
     def learn(self, units: set[str]) -> dict[str, bytes]:
         """Ids of stretches."""
         if sum(map(len, self.known.values())) > 2 * REMEMBERED:
             self.known = {"": {}}
-        return {u: array(self.kind, [i for run in self.search(u) for i in run]).tobytes() for u in units}
+        out, last, nodes = {}, "", []
+        for u in sorted(units):  # a stretch goes on from the positions that it shares with the one before
+            shared = 0
+            for a, b in zip(u, last):
+                if a != b:
+                    break
+                shared += 1
+            del nodes[shared + 1:]
+            out[u] = array(self.kind, [i for run in self.search(u, nodes) for i in run]).tobytes()
+            last = u if nodes else ""
+        return out
 
     def split(self, text: str) -> list[str]:
         """A text, its spaces marked, cut where every path has a boundary."""

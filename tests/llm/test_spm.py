@@ -50,7 +50,7 @@ def test_every_stretch_goes_through_the_search(small, monkeypatch):
     m = spm.Model(spm.model_path())
     searched = []
     search = m.search
-    monkeypatch.setattr(m, "search", lambda t: searched.append(t) or search(t))
+    monkeypatch.setattr(m, "search", lambda t, nodes: searched.append(t) or search(t, nodes))
     docs = [r["text"] for r in small.select("text").collect() if r["text"]]
     m.encode_all(docs)
     stretches = {u for t in docs for u in m.split(m.prefix + t.replace(" ", spm.SPACE))}
