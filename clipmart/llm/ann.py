@@ -2,8 +2,9 @@
 
 Vectors are projected on ``PROJECTIONS`` random lines and each line keeps its
 values as one sorted array.  A query opens a window around its own value on
-every line and widens all windows by the same factor (virtual rehashing: a
-wider window is a coarser hash of the same array).  A vector in the windows of
+every line and widens all windows by the same factor, the last time only as far
+as the k-th best asks for (virtual rehashing: a wider window is a coarser hash
+of the same array).  A vector in the windows of
 at least ``threshold()`` lines is verified: its exact inner product is
 computed.  A query stops once its windows are ``WIDTH`` times as wide as its
 k-th best distance; a vector at least that near then lies in each window with
@@ -66,6 +67,15 @@ class Index:
         values = (vectors @ self.lines[:-1] + rest[:, None] * self.lines[-1]).T
         self.order = np.argsort(values, axis=1, kind="stable").astype(np.int32)
         self.values = np.take_along_axis(values, self.order, axis=1)
+        # each vector's place on each line, narrow so that a whole window is counted by a few wide instructions
+        self.places = np.empty(self.order.shape, np.uint16 if len(ids) < 2**16 else np.uint32)
+        np.put_along_axis(self.places, self.order, np.arange(len(ids), dtype=self.places.dtype)[None, :], axis=1)
+
+    def collisions(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """On how many lines each vector stands in the window from place ``low``
+        up to ``high``.  Places before the window wrap round to large numbers."""
+        kind = self.places.dtype
+        return ((self.places - low.astype(kind)[:, None]) < (high - low).astype(kind)[:, None]).sum(0, dtype=np.int16)
 
     def search(self, queries: np.ndarray, own: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
         """(ids, scores) of the k best per query, its ``own`` row left out."""
@@ -85,7 +95,7 @@ class Index:
                 rounds.append((h, low, high))
             return rounds[r]
 
-        return [self.one(i, queries[i], own[i], size[i], k, window) for i in range(len(queries))]
+        return [self.one(i, queries[i], at[i], own[i], size[i], k, window) for i in range(len(queries))]
 
     def first_width(self, queries: np.ndarray, k: int) -> float:
         """Where windows start: half the width that some queries need, if their
@@ -95,31 +105,33 @@ class Index:
         d2 = self.longest**2 + np.einsum("ij,ij->i", some, some) - 2 * scores
         return max(0.5 * WIDTH * math.sqrt(max(float(np.median(d2)), 0)), 1e-9 * max(self.longest, 1e-300))
 
-    def one(self, i: int, q: np.ndarray, own: int, size: float, k: int, window) -> tuple[np.ndarray, np.ndarray]:
-        n, least = len(self.ids), threshold()
-        count = np.zeros(n, np.int64)
+    def one(self, i: int, q: np.ndarray, at: np.ndarray, own: int, size: float, k: int, window) -> tuple[np.ndarray, np.ndarray]:
+        """The k best of one query, whose places on the lines are ``at``."""
+        least = threshold()
         waiting = self.rows != own
         ids, scores = np.empty(0, np.int64), np.empty(0)
-        low0 = high0 = None
+        goal = math.inf  # the width that the k-th best asks for
         for r in range(10_000):
             h, low, high = window(r)
-            low, high = low[i], high[i]
-            if low0 is None:
-                new = [o[a:b] for o, a, b in zip(self.order, low, high)]
-            else:
-                new = [o[a:b] for o, a, b in zip(self.order, low, low0)] + [o[a:b] for o, a, b in zip(self.order, high0, high)]
-            count += np.bincount(np.concatenate(new), minlength=n)
-            low0, high0 = low, high
-            found = np.flatnonzero(waiting & (count >= least))
+            if h <= goal:
+                low, high = low[i], high[i]
+            else:  # no wider than needed
+                h = goal
+                low = np.array([v.searchsorted(x - h, "left") for v, x in zip(self.values, at)])
+                high = np.array([v.searchsorted(x + h, "right") for v, x in zip(self.values, at)])
+            found = np.flatnonzero(waiting & (self.collisions(low, high) >= least))
             if len(found):
                 waiting[found] = False
                 ids = np.concatenate([ids, self.ids[found]])
                 scores = np.concatenate([scores, np.einsum("ij,j->i", self.vectors[found], q)])
+                if len(ids) > k:  # ties with the k-th best stay until ids decide
+                    near = scores >= np.partition(scores, -k)[-k]
+                    ids, scores = ids[near], scores[near]
                 best = np.lexsort((ids, -scores))[:k]
                 ids, scores = ids[best], scores[best]
             if len(ids) >= k:
-                d2 = self.longest**2 + size - 2 * scores[k - 1]
-                if h >= WIDTH * math.sqrt(max(d2, 0)):
+                goal = WIDTH * math.sqrt(max(self.longest**2 + size - 2 * scores[k - 1], 0))
+                if h >= goal:
                     break
             if not waiting.any():
                 break
