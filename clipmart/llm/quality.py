@@ -1,17 +1,24 @@
 """Quality rules with an isolation forest over their statistics.
 
 ``statistics`` counts, for every whole text, what the rules look at.
-``base_failed`` applies two plain rules.  A forest of random splits, fitted on
-a bounded sample of the rows that pass them, gives every document an anomaly
-score from its mean path length; ``calibrate`` sets the score from which
-documents are rejected with all labelled rows.
+``base_failed`` applies two plain rules.  A forest of random splits gives every
+document that passes them an anomaly score from its mean path length;
+``calibrate`` sets the score from which documents are rejected with all
+labelled rows.
+
+Every tree is grown in a task of its own, from about ``SUBSAMPLE`` rows that its
+own hash draws from all rows that pass the base rules: each row may enter any
+tree, at every size of the table by the same rule.  Only the trees (at most
+``TREES`` x 511 nodes) come to the driver.
 
 Defined cases: a null or empty text, or one of white space, has no word, so
 all its counts are 0 and it fails the base rules; a text of any length is
 counted whole.  Labels that are null or other than 0 and 1 are left out; of
-several labels of one document the lowest counts.  With fewer than ``MIN_FIT``
-rows to fit on, or no row labelled bad, only the base rules decide.  Repeated
-rows get equal answers.  Extra columns of the inputs are not read.
+several labels of one document the lowest counts.  Where no row that passes the
+base rules is labelled good, or none bad, there is no threshold to learn and
+only the base rules decide; so too if no tree gets two rows.  Rows that
+agree in id and counts are drawn together and count as one in a tree, so a row
+repeated very often doesn't fill it; they get equal answers.  Extra columns of the inputs are not read.
 """
 
 from __future__ import annotations
@@ -29,8 +36,8 @@ from clipmart.llm.common import only, small_batches, staged
 
 MIN_WORDS, WINDOW, MAX_REPEAT_PERCENT = 20, 8, 30
 SYMBOLS = "#*$%&|<>"
-#: The forest: trees, rows a tree is grown from, rows the sample may have.
-TREES, SUBSAMPLE, FIT_ROWS, MIN_FIT = 200, 256, 8192, 64
+#: The forest: trees, rows that a tree is grown from on average.
+TREES, SUBSAMPLE = 200, 256
 #: Of the rows labelled good at most this share may be rejected; a share of them
 #: costs as much as this many times that share of the bad ones kept.
 GOOD_LOST, GOOD_COST = 0.015, 20
@@ -119,16 +126,16 @@ def features(counts: pd.DataFrame) -> np.ndarray:
 @dataclass
 class Forest:
     """Trees as heap-ordered arrays: feature (-1 at a leaf), split value and
-    path length at the node (depth plus what the rows left there would add)."""
+    path length at the node (depth plus what the rows left there would add) in
+    multiples of the usual path among the tree's rows."""
 
     feature: np.ndarray
     split: np.ndarray
     path: np.ndarray
-    usual: float
     threshold: float = math.inf
 
     def score(self, x: np.ndarray) -> np.ndarray:
-        """2 ** (-mean path / usual path), near 1 for rows set apart early."""
+        """2 ** -(mean path over usual path), near 1 for rows set apart early."""
         total = np.zeros(len(x))
         rows = np.arange(len(x))
         for f, s, p in zip(self.feature, self.split, self.path):
@@ -137,7 +144,7 @@ class Forest:
                 right = x[rows, np.maximum(f[node], 0)] >= s[node]
                 node = np.where(live, 2 * node + 1 + right, node)
             total += p[node]
-        return 2.0 ** (-total / max(len(self.feature), 1) / self.usual)
+        return 2.0 ** (-total / max(len(self.feature), 1))
 
 
 def usual_path(n: int) -> float:
@@ -145,53 +152,71 @@ def usual_path(n: int) -> float:
     return 0.0 if n < 2 else 1.0 if n == 2 else 2 * (math.log(n - 1) + 0.5772156649015329) - 2 * (n - 1) / n
 
 
-def grow(x: np.ndarray, seed: int = 42) -> Forest:
-    """Split random subsamples at random values of random features until rows
-    stand alone, down to the depth log2 of the subsample."""
-    rng = np.random.default_rng(seed)
-    size = min(SUBSAMPLE, len(x))
-    depth = max(1, math.ceil(math.log2(max(size, 2))))
-    nodes = 2 ** (depth + 1) - 1
-    feature = np.full((TREES, nodes), -1, np.int64)
-    split, path = np.zeros((TREES, nodes)), np.zeros((TREES, nodes))
+DEPTH = math.ceil(math.log2(SUBSAMPLE))
+NODES = 2 ** (DEPTH + 1) - 1
+
 
-    def fill(t: int, node: int, rows: np.ndarray, level: int) -> None:
+def grow(x: np.ndarray, tree: int = 0, seed: int = 42) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """One tree of two rows or more: split them at random values of random
+    features until they stand alone, down to ``DEPTH``."""
+    rng = np.random.default_rng([seed, tree])
+    feature, split, path = np.full(NODES, -1, np.int64), np.zeros(NODES), np.zeros(NODES)
+
+    def fill(node: int, rows: np.ndarray, level: int) -> None:
         low, high = rows.min(0), rows.max(0)
         open_ = np.flatnonzero(high > low)
-        if level == depth or len(rows) < 2 or not len(open_):
-            path[t, node] = level + usual_path(len(rows))
+        if level == DEPTH or len(rows) < 2 or not len(open_):
+            path[node] = (level + usual_path(len(rows))) / usual_path(len(x))
             return
         f = int(rng.choice(open_))
         # a value above the lowest, so that neither side is empty
         v = low[f] + (high[f] - low[f]) * (1 - rng.random())
-        feature[t, node], split[t, node] = f, v
+        feature[node], split[node] = f, v
         right = rows[:, f] >= v
-        fill(t, 2 * node + 1, rows[~right], level + 1)
-        fill(t, 2 * node + 2, rows[right], level + 1)
+        fill(2 * node + 1, rows[~right], level + 1)
+        fill(2 * node + 2, rows[right], level + 1)
+
+    fill(0, x, 0)
+    return feature, split, path
+
+
+def drawn(passed: DataFrame, total: int) -> DataFrame:
+    """(tree, counts) of the rows that each tree is grown from: a row enters a
+    tree if a hash of both falls under ``SUBSAMPLE`` of all ``total`` rows."""
+    bound = F.lit(2.0**64 * (min(1.0, SUBSAMPLE / max(total, 1)) - 0.5))
+    row = F.xxhash64("doc_id", *COUNTS, *MORE)
+    trees = F.filter(F.sequence(F.lit(0), F.lit(TREES - 1)),
+                     lambda t: F.xxhash64(F.col("row"), t).cast("double") <= bound)
+    return (passed.withColumn("row", row).withColumn("tree", F.explode(trees))
+            .select("tree", "row", *COUNTS, *MORE).distinct())
+
+
+def grown(rows: DataFrame) -> list[tuple]:
+    """The trees, each grown in a task from its drawn rows."""
+    def one(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values(["row", *COUNTS, *MORE])
+        tree = [grow(features(part), int(key[0]))] if len(part) > 1 else []
+        return pd.DataFrame([(key[0], *(a.tolist() for a in t)) for t in tree],
+                            columns=["tree", "feature", "split", "path"])
 
-    for t in range(TREES):
-        fill(t, 0, x[rng.choice(len(x), size, replace=False)], 0)
-    return Forest(feature, split, path, usual_path(size) or 1.0)
+    return sorted(tuple(r) for r in rows.groupBy("tree").applyInPandas(
+        one, "tree int, feature array<long>, split array<double>, path array<double>").collect())
 
 
 def fit(stats: DataFrame, labels: DataFrame, doc_id: str = "doc_id", quality: str = "quality") -> Forest | None:
-    """Forest from a sample of the rows that pass the base rules (about
-    ``FIT_ROWS``, chosen by hash of the id), threshold from all labelled rows.
-    None if there is too little to learn from."""
+    """Forest of the rows that pass the base rules, threshold from all labelled
+    ones.  None if there is nothing to learn from."""
     passed = stats.where(~base_failed()).select("doc_id", *COUNTS, *MORE)
     marks = only(labels, doc_id=doc_id, quality=quality).where("doc_id IS NOT NULL AND quality IN (0, 1)")
     marks = marks.groupBy("doc_id").agg(F.min("quality").alias("quality"))
     rows = staged(passed.join(marks, "doc_id").drop("doc_id"), "quality-labelled")
     n = {r["quality"]: r["n"] for r in rows.groupBy("quality").agg(F.count("*").alias("n")).collect()}
-    total = passed.count()
-    if total < MIN_FIT or not n.get(0) or not n.get(1):
+    if not n.get(0) or not n.get(1):
         return None
-    spot = F.xxhash64("doc_id").cast("double") / F.lit(2.0**64) + 0.5
-    sample = (passed.where(spot <= min(1.0, FIT_ROWS / total)).orderBy(F.xxhash64("doc_id"), *COUNTS, *MORE)
-              .limit(2 * FIT_ROWS).drop("doc_id").toPandas())
-    if len(sample) < MIN_FIT:
+    trees = grown(drawn(passed, passed.count()))
+    if not trees:
         return None
-    forest = grow(features(sample))
+    forest = Forest(*(np.array([t[i] for t in trees]) for i in (1, 2, 3)))
     forest.threshold = calibrate(rows, forest)
     return forest
 
