@@ -14,7 +14,7 @@ Scale notes
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clipmart import schemas
@@ -122,9 +122,9 @@ def fact(unioned: DataFrame, platform: DataFrame, ad_map: DataFrame) -> DataFram
                     F.current_timestamp().alias("load_ts"))
 
 
-def kpi_sums(fact_perf: DataFrame) -> DataFrame:
-    """A1: lifetime sums of the counters per ad x platform."""
-    return fact_perf.groupBy("ad_id", "platform_id").agg(
+def kpi_sums(fact_perf: DataFrame, keys=("ad_id", "platform_id")) -> DataFrame:
+    """A1: sums of the counters per ad x platform (lifetime, or finer by ``keys``)."""
+    return fact_perf.groupBy(*keys).agg(
         F.sum("impressions").alias("impressions"), F.sum("plays_3s").alias("plays_3s"),
         F.sum("plays_25").alias("plays_25"), F.sum("plays_50").alias("plays_50"),
         F.sum("sum_watch_time_sec").alias("watch_sec"), F.sum("play_count").alias("play_count"),
@@ -136,9 +136,9 @@ def _ratio(num: str, den: str) -> Column:
     return F.col(num).cast("double") / F.nullif(F.col(den), F.lit(0))
 
 
-def kpi(fact_perf: DataFrame, with_hold_50: bool = False) -> DataFrame:
+def kpi(fact_perf: DataFrame, with_hold_50: bool = False, keys=("ad_id", "platform_id")) -> DataFrame:
     """A2: ratio of sums, NULL on a zero denominator (never a division error)."""
-    s = kpi_sums(fact_perf)
+    s = kpi_sums(fact_perf, keys)
     cols = [
         _ratio("plays_3s", "impressions").alias("hook_rate"),
         _ratio("plays_25", "plays_3s").alias("hold_rate_25"),
@@ -149,7 +149,7 @@ def kpi(fact_perf: DataFrame, with_hold_50: bool = False) -> DataFrame:
     ]
     if with_hold_50:
         cols.append(_ratio("plays_50", "plays_3s").alias("hold_rate_50"))
-    return s.select("ad_id", "platform_id", *cols)
+    return s.select(*keys, *cols)
 
 
 def bridge_ad_chunk(edl: DataFrame, fact_chunk: DataFrame) -> DataFrame:
@@ -225,11 +225,16 @@ def alignment(fact_perf, platform, ad_map, asset, bridge) -> DataFrame:
         align_role(ad_platforms(fact_perf), bridge))
 
 
+def named_metric() -> Column:
+    """The KPI that ``metric_name`` names."""
+    return (F.when(F.col("metric_name") == "hook_rate", F.col("hook_rate"))
+            .when(F.col("metric_name") == "hold_rate_25", F.col("hold_rate_25"))
+            .when(F.col("metric_name") == "ctr_link", F.col("ctr_link")))
+
+
 def metric_chunk(al: DataFrame, k: DataFrame, fact_chunk: DataFrame) -> DataFrame:
     """Metric value by name + the owning chunk's features."""
-    value = (F.when(F.col("metric_name") == "hook_rate", F.col("hook_rate"))
-             .when(F.col("metric_name") == "hold_rate_25", F.col("hold_rate_25"))
-             .when(F.col("metric_name") == "ctr_link", F.col("ctr_link")))
+    value = named_metric()
     fc = fact_chunk.select("chunk_id", "chunk_theme", "sentiment", "standalone_score")
     j = al.where(F.col("coverage_confidence").isin(*USABLE_COVERAGE)) \
         .join(k, ["ad_id", "platform_id"]).join(fc, "chunk_id")
@@ -277,6 +282,19 @@ def exact_median(df: DataFrame, group: list[str], value: str, alias: str = "medi
     return m.select(*group, (F.col("_lo") + (F.col("_hi") - F.col("_lo")) * 0.5).alias(alias))
 
 
+def rank_descending(df: DataFrame, group: list[str], value: str, alias: str) -> DataFrame:
+    """Rank (ties share the lowest, NULLs last) by ``value`` descending in
+    each group, without sorting a group in one task: 1 plus the number of
+    larger values, from tie counts and distributed prefix sums."""
+    from clipmart.operators.stats import rows_before
+
+    ties = df.where(F.col(value).isNotNull()).groupBy(*group, value).agg(F.count(F.lit(1)).alias("_t"))
+    before = rows_before(ties, group, value, count="_t").select(*group, value, (F.col("before") + F.col("_t")).alias("_upto"))
+    n = df.groupBy(*group).agg(F.count(value).alias("_n"))
+    ranked = df.join(before, [*group, value], "left").join(n, group)
+    return ranked.select(*df.columns, (F.col("_n") - F.coalesce("_upto", F.lit(0)) + 1).cast("long").alias(alias))
+
+
 def correlation(mc: DataFrame, dims=("chunk_theme",), extended: bool = False) -> DataFrame:
     """A3/A4 + W3 + A6: distinct ads and exact median per (platform, metric,
     dim, value); rank by median within (platform, metric) across all dims.
@@ -292,10 +310,10 @@ def correlation(mc: DataFrame, dims=("chunk_theme",), extended: bool = False) ->
                  F.max("metric_value").alias("max_metric")]
     g = base.groupBy(*key).agg(*aggs).join(exact_median(base, key, "metric_value"), key)
     cols = key + ["n_ads", "median_metric"] + (["mean_metric", "min_metric", "max_metric"] if extended else [])
-    g = g.select(*cols)
-    w = Window.partitionBy("platform_id", "metric_name").orderBy(F.col("median_metric").desc_nulls_last())
-    return g.select("*",
-                    F.rank().over(w).cast("long").alias("rank_in_platform"),
+    # stored once: the tie counts, the totals and the result all read it
+    g = materialize(g.select(*cols))
+    return rank_descending(g, ["platform_id", "metric_name"], "median_metric", "rank_in_platform").select(
+                    "*",
                     regime(F.col("n_ads")).alias("evidence_regime"),
                     F.lit(HONESTY_NOTE).alias("honesty_note"))
 

@@ -67,17 +67,18 @@ def serving_view(fact: DataFrame, name: str | None = None) -> DataFrame:
     return v
 
 
-def nearest(fact: DataFrame, qvec: Sequence[float], k: int, metric: str = "l2") -> DataFrame:
+def nearest(fact: DataFrame, qvec: Sequence[float], k: int, metric: str = "l2", keep: Sequence[str] = ()) -> DataFrame:
     """Exact top-k against one query vector.  ``orderBy().limit(k)``
     plans as TakeOrderedAndProject: each partition keeps k rows, so only
-    k x partitions rows ever reach the final merge."""
+    k x partitions rows ever reach the final merge.  ``keep`` names further
+    columns of the fact to return."""
     v = fact.where(F.col("embedding").isNotNull())
     if metric == "l2":
         s = vx.l2_distance("embedding", list(qvec))
-        return v.select("chunk_id", s.alias("distance")) \
+        return v.select("chunk_id", *keep, s.alias("distance")) \
             .orderBy(F.col("distance").asc_nulls_last(), "chunk_id").limit(k)
     s = vx.cosine_similarity("embedding", list(qvec))
-    return v.select("chunk_id", s.alias("similarity")) \
+    return v.select("chunk_id", *keep, s.alias("similarity")) \
         .orderBy(F.col("similarity").desc_nulls_last(), "chunk_id").limit(k)
 
 

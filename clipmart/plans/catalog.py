@@ -119,7 +119,7 @@ def q_theme_vocabulary(spark, sf):
 
 # --- performance chain ---------------------------------------------------------------
 
-from clipmart.operators import perf  # noqa: E402
+from clipmart.operators import perf, sketches  # noqa: E402
 
 
 def perf_chain(spark, sf):
@@ -234,6 +234,26 @@ def q_chunk_correlation_ext(spark, sf):
     return m.select(*[F.round(c, 9).alias(c) if c.endswith("_metric") else F.col(c) for c in m.columns])
 
 
+def _sketch_rows(spark, sf):
+    c = perf_chain(spark, sf)
+    return sketches.daily_rows(c["fct_ad_metric_chunk"], c["fact_ad_performance"], EXT_DIMS) \
+        .withColumn("perf_month", F.trunc("perf_date", "month"))
+
+
+def _sketch_days(rows):
+    from clipmart.session import materialize
+    return materialize(sketches.by_day(rows)).withColumn("perf_month", F.trunc("perf_date", "month"))
+
+
+@query("perf_sketches")
+def q_perf_sketches(spark, sf):
+    """A3 by sketches: stored days, merged into months and held against all rows."""
+    from clipmart.session import materialize
+    rows = materialize(_sketch_rows(spark, sf))
+    e = sketches.within_bounds(sketches.merged(_sketch_days(rows), "perf_month"), rows, "perf_month")
+    return e.select(*[F.round(c, 9).alias(c) if c in ("min_metric", "max_metric") else F.col(c) for c in e.columns])
+
+
 @query("surfaced_insights")
 def q_surfaced(spark, sf):
     return perf.surfaced(perf_chain(spark, sf)["mart_chunk_perf_correlation"], "hook_rate", "chunk_theme")
@@ -774,18 +794,24 @@ def _query_vector(spark, sf, vec_id: int = 1):
     return [float(x) for x in row["embedding"]] if row and row["embedding"] else []
 
 
+def _vector_hits(spark, sf, metric: str, score: str):
+    """The ids of the k best first; only the envelopes of their assets are
+    then parsed for what a reader sees."""
+    from clipmart.session import materialize
+    found = materialize(search.nearest(fact_chunk(spark, sf), _query_vector(spark, sf), 10, metric, keep=("asset_id",)))
+    few = fx.bronze_asset_raw(spark, sf).join(F.broadcast(found.select("asset_id").distinct()), "asset_id", "left_semi")
+    shown = gold.fact_chunk(silver.clean(silver.explode_chunks(few, fx.ID_WIDTH)), None)
+    return search.hits(found.drop("asset_id"), shown, dim_asset(spark, sf)).withColumn(score, F.round(score, 6))
+
+
 @query("semantic_topk")
 def q_semantic_topk(spark, sf):
-    f = fact_chunk(spark, sf)
-    return search.hits(search.nearest(f, _query_vector(spark, sf), 10, "l2"), f, dim_asset(spark, sf)) \
-        .withColumn("distance", F.round("distance", 6))
+    return _vector_hits(spark, sf, "l2", "distance")
 
 
 @query("cosine_topk")
 def q_cosine_topk(spark, sf):
-    f = fact_chunk(spark, sf)
-    return search.hits(search.nearest(f, _query_vector(spark, sf), 10, "cosine"), f, dim_asset(spark, sf)) \
-        .withColumn("similarity", F.round("similarity", 6))
+    return _vector_hits(spark, sf, "cosine", "similarity")
 
 
 @query("semantic_join")
