@@ -1,6 +1,7 @@
 """The hash tree against the plain difference, the trigram index against a scan."""
 
 import random
+import time
 import uuid
 
 import pytest
@@ -60,3 +61,19 @@ def test_same_rows_as_a_scan(spark, texts, monkeypatch):
     found = substring.candidates(index, "today the Üml")
     assert 0 < found.count() < 0.5 * texts.count()  # texts that are read
     assert substring.candidates(index, "ab") is None and substring.candidates(index, "50\\%") is None
+
+
+def test_trigrams_of_long_lines_and_repeated_ids(spark, monkeypatch):
+    """A line's trigrams take time in proportion to its length, and texts under one id are found by their own."""
+    monkeypatch.setattr(substring, "PIECE_CHARS", 40)  # several pieces of a batch
+    long = " ".join(f"w{i}" for i in range(60_000))
+    texts = spark.createDataFrame([("long", long), ("twice", "same words"), ("twice", "same words"), ("twice", "other"), ("🙂", "a🙂b🙂c")],
+                                  "chunk_id string, transcript_segment string")
+    began = time.monotonic()
+    index = substring.build(texts, scratch_path(spark, f"grams-{uuid.uuid4().hex}"))
+    assert time.monotonic() - began < 60  # counting from the start of the line for each took minutes
+    n = lambda pattern: substring.search(index, texts, pattern).count()
+    assert (n("W59999"), n("w59998 w59999"), n("ame wor"), n("same%other"), n("🙂b🙂"), n("other")) == (1, 1, 2, 0, 1, 1)
+    want = {long[i:i + 3] for i in range(len(long) - 2)}
+    held = index.postings.join(index.rows.where("id = 'long'"), F.expr("array_contains(numbers, number)")).select("gram").collect()
+    assert {r["gram"] for r in held} == want and len(held) == len(want)
