@@ -109,6 +109,23 @@ def test_exact_join_meets_few_pairs(spark, monkeypatch):
     assert got() == want
 
 
+def test_join_ships_queries_once_a_block(spark):
+    """Vectors without structure: every query meets every cell, but a row of
+    it goes to a block of cells, not to each cell."""
+    rng = np.random.default_rng(5)
+    m = rng.normal(size=(2000, 32))
+    df = spark.createDataFrame([(f"v{i:05d}", v.tolist()) for i, v in enumerate(m)], "chunk_id string, embedding array<double>")
+    index = vectorindex.build(df, folder(spark, "vectors"), cells=40)
+    about = index.cells.collect()
+    assert len(about) > 30 and {b for _, b, _ in vectorindex._blocks(about)} == {0}
+    queries = spark.createDataFrame([(i, m[i].tolist()) for i in range(0, 100, 2)], "query_id int, embedding array<double>")
+    found = vectorindex.joined(index, queries, 5)
+    # k of each round and block, where it was k of each round and cell
+    assert found.count() <= 50 * 5 * 2
+    got = {(r["query_id"], r["rank"], r["id"], round(r["distance"], 9)) for r in vectorindex._ranked(found.select("query_id", "id", "distance"), 5).collect()}
+    assert got == {(i, r, *hit) for i in range(0, 100, 2) for r, hit in enumerate(plain(m, m[i], 5), 1)}
+
+
 def test_recall_and_folders_on_the_driver_vectors(spark):
     """Vectors without structure are the hardest case: recall 0.95 by reading part of the folders."""
     df = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").select(F.col("vec_id").cast("string").alias("chunk_id"), "embedding")
