@@ -88,15 +88,18 @@ def tree_levels(a: DataFrame, b: DataFrame, columns: list[str], max_levels: int
     to the next level, until few enough are left to be compared."""
     left, right = _hashed(a, columns), _hashed(b, columns)
     path: list[str] = []
-    counts = [left.count() + right.count()]
+    counts: list[int] = []
+    rows = F.coalesce("l.n", F.lit(0)) + F.coalesce("r.n", F.lit(0))
     for level in range(max_levels):
         node, on = f"_n{level}", [*path, f"_n{level}"]
         ours, theirs = _sums(left, path, level), _sums(right, path, level)
         values = [c for c in ours.columns if c not in on]
         both = ours.select(*on, F.struct(*values).alias("l")).join(theirs.select(*on, F.struct(*values).alias("r")), on, "full")
         # at most BRANCHES nodes below each differing one of the level before
-        differ = materialize(both.where(~F.col("l").eqNullSafe(F.col("r"))).select(
-            *on, (F.coalesce("l.n", F.lit(0)) + F.coalesce("r.n", F.lit(0))).alias("rows")))
+        nodes = materialize(both.select(*on, rows.alias("rows"), (~F.col("l").eqNullSafe(F.col("r"))).alias("differs")))
+        if not counts:  # the first level's nodes hold all rows
+            counts.append(nodes.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0])
+        differ = nodes.where("differs")
         left, right = (side.withColumn(node, _node(level)).join(bounded_broadcast(differ.select(*on)), on, "left_semi")
                        for side in (left, right))
         path = on

@@ -77,3 +77,18 @@ def test_trigrams_of_long_lines_and_repeated_ids(spark, monkeypatch):
     want = {long[i:i + 3] for i in range(len(long) - 2)}
     held = index.postings.join(index.rows.where("id = 'long'"), F.expr("array_contains(numbers, number)")).select("gram").collect()
     assert {r["gram"] for r in held} == want and len(held) == len(want)
+
+
+def test_tree_reads_each_side_a_few_times(spark):
+    """The number of rows comes from the sums of the first level, not from passes of its own."""
+    rows, seen = [(f"k{i}", i % 5) for i in range(200)], spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(len(b))
+            yield b
+
+    a, b = both(spark, rows, rows[1:])
+    left, right, counts = reconcile.tree_levels(a.mapInPandas(count, SCHEMA), b.mapInPandas(count, SCHEMA), ["k", "v"])
+    assert counts[0] == 399 and seen.value == 399
+    assert (left.count(), right.count()) == (counts[-1] + 1 >> 1, counts[-1] >> 1)
