@@ -4,6 +4,8 @@ no cartesian products in the skew-sensitive operators."""
 import os
 import tempfile
 
+import pytest
+
 from clipmart.operators import assemble, search
 from clipmart.plans import catalog as C
 
@@ -40,3 +42,23 @@ def test_no_cartesian_in_assembly_or_vectors(spark):
         p = plan(C.QUERIES[key](spark, SMALL))
         assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p, key
         assert "BatchEvalPython" not in p, key
+
+
+@pytest.mark.parametrize("key", ["reconcile_rows", "reconcile_tables", "store_failures", "ann_topk"])
+def test_envelopes_are_parsed_once(spark, key, monkeypatch):
+    """Several steps read the chunks; what they read is stored."""
+    from clipmart.operators import silver
+    from clipmart.plans import catalog
+
+    seen, explode = spark.sparkContext.accumulator(0), silver.explode_chunks
+
+    def counted(bronze, *args):
+        def run(batches):
+            for b in batches:
+                seen.add(b.num_rows)
+                yield b
+        return explode(bronze.mapInArrow(run, bronze.schema), *args)
+
+    monkeypatch.setattr(silver, "explode_chunks", counted)
+    catalog.QUERIES[key](spark, SMALL).collect()
+    assert seen.value == spark.read.parquet(f"{SMALL}/documents.parquet").count()
