@@ -3,19 +3,25 @@ top-k (exact and approximate), batch semantic join and BM25 text ranking."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from clipmart.functions import text as tx
 from clipmart.functions import vectors as vx
+from clipmart.session import materialize
 
 # Largest (query, term) table shipped to every task.
 MAX_QUERY_TERMS = 2_000_000
+# Scores that a task holds at once, and (document, term) entries summed up at once.
+SCORES, PRODUCTS = 400_000, 20_000
 
 CLIP_COLUMNS = ["chunk_id", "asset_id", "asset_name", "start_sec", "end_sec", "standalone_score",
                 "chunk_theme", "sentiment", "transcript_segment"]
@@ -181,43 +187,93 @@ def bm25(docs: DataFrame, queries: DataFrame, k: int, k1: float = 1.2, b: float
 
     Tokens are lower-cased letter/digit runs; no stemming, no stop words.
 
-    Plan: one corpus pass gives the document count and mean length.  Token
-    rows are hash-partitioned by document once; term frequencies, the
-    per-(doc, term) BM25 weight and the per-(query, doc) sums then all keep
-    that partitioning (the query-side tables are broadcast after a row
-    count: they are bounded by the query text, not the corpus), so the
-    30M-row (query, doc, term) fan-out is summed where it is produced and
-    never shuffled; frequent terms cannot skew a task.  The per-query
+    Plan: the corpus is read and cut into tokens once.  Token rows are
+    hash-partitioned by document; term frequencies and the list of every
+    document's terms keep that partitioning.  The query side is bounded by the
+    query text, not the corpus, and counted: each task sums up the (query,
+    document) scores of a block of documents as arrays (``scored``), so the
+    fan-out is never rows and never shuffled.  The per-query
     top-k is a ``row_number() <= k`` window (WindowGroupLimit: k rows per
     task and query cross the final shuffle).  Scores are sums whose order of
     addition varies from run to run; nine decimals are kept, so that copies of
     a document tie and come in order of their ids."""
-    toks = docs.select(F.col(doc_id).alias("doc_id"), tx.tokens(F.col(text)).alias("toks"))
+    # read twice: for the mean length and for the counts per term
+    toks = materialize(docs.select(F.col(doc_id).alias("doc_id"), tx.tokens(F.col(text)).alias("toks")))
     st = toks.agg(F.count(F.lit(1)).alias("n"), F.avg(F.size("toks")).alias("avgdl")).first()
     n_docs, avgdl = float(st["n"] or 0), float(st["avgdl"] or 0.0)
     qterms = queries.select("query_id", F.explode(F.array_distinct(tx.tokens("query_text"))).alias("term"))
-    # Query-side sizes are counted on the queries alone (cheap).  The df
-    # table has at most one row per query term, so the vocabulary bound
-    # covers it too.
-    n_pairs = qterms.count()
-    small = n_pairs <= MAX_QUERY_TERMS
+    # Query-side sizes are counted on the queries alone (cheap).
+    small = qterms.count() <= MAX_QUERY_TERMS
     vocab = qterms.select("term").distinct()
     vocab = F.broadcast(vocab) if small else vocab
-    # fixed partition count: the stage after this shuffle multiplies rows
-    # (query fan-out), so AQE must not coalesce it by its small input size
+    # fixed partition count: AQE must not coalesce the scoring by its small input size
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     tf = (toks.repartition(parts, "doc_id")
           .select("doc_id", F.size("toks").alias("dl"), F.explode("toks").alias("term"))
           .join(vocab, "term", "left_semi")
           .groupBy("doc_id", "dl", "term").agg(F.count(F.lit(1)).alias("tf")))
-    df = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    df = F.broadcast(df) if small else df
-    idf = F.log(F.lit(1.0) + (F.lit(n_docs) - F.col("df") + 0.5) / (F.col("df") + 0.5))
     norm = F.lit(k1) * (1 - b + b * F.col("dl") / F.nullif(F.lit(avgdl), F.lit(0.0)))
-    w = tf.join(df, "term").select("doc_id", "term",
-                                   (idf * F.col("tf") * (k1 + 1) / (F.col("tf") + norm)).alias("w"))
-    scored = w.join(F.broadcast(qterms) if small else qterms, "term") \
-        .groupBy("doc_id", "query_id").agg(F.round(F.sum("w"), 9).alias("score"))
+    impact = F.col("tf") * (k1 + 1) / (F.col("tf") + norm)
+    # read twice: for the terms' idf and for the scores
+    held = materialize(tf.groupBy("doc_id").agg(F.collect_list(F.struct("term", impact.alias("impact"))).alias("terms")))
+    df = held.select(F.explode("terms.term").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    idf = F.log(F.lit(1.0) + (F.lit(n_docs) - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    terms = qterms.join(df, "term").select("query_id", "term", idf.alias("idf"))
+    return ranked(scored(held, terms, k, small).select("doc_id", "query_id", "score"), k).withColumnRenamed("doc_id", doc_id)
+
+
+def scored(held: DataFrame, terms: DataFrame, k: int, small: bool = True) -> DataFrame:
+    """query_id, doc_id, score: per task, the k best documents of every query.
+
+    ``held`` has a row per document with its terms and their impact, ``terms``
+    the idf of every query's terms.  A small query side goes to every task,
+    which sums up the products of a block of documents at once; a large one is
+    joined, and then every pair that shares a term is returned."""
+    if not small:
+        return held.select("doc_id", F.explode("terms").alias("t")).select("doc_id", "t.term", "t.impact").join(terms, "term") \
+            .groupBy("doc_id", "query_id").agg(F.round(F.sum(F.col("idf") * F.col("impact")), 9).alias("score"))
+    rows = terms.collect()  # at most MAX_QUERY_TERMS
+    names = sorted({r["term"] for r in rows})
+    place = {t: i for i, t in enumerate(names)}
+    queries = list(dict.fromkeys(r["query_id"] for r in rows))
+    number = {q: i for i, q in enumerate(queries)}
+    rows.sort(key=lambda r: place[r["term"]])
+    of = np.array([place[r["term"]] for r in rows], np.int64)
+    asked, idf = np.array([number[r["query_id"]] for r in rows], np.int64), np.array([r["idf"] for r in rows])
+    starts = np.searchsorted(of, np.arange(len(names) + 1))
+    block = max(1, SCORES // max(1, len(queries)))
+    id_type, query_type = to_arrow_type(held.schema["doc_id"].dataType), to_arrow_type(terms.schema["query_id"].dataType)
+
+    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, numbers = pa.array(names, pa.string()), pa.array(queries, query_type)
+        for b in batches:
+            for a in range(0, b.num_rows, block):
+                part = b.slice(a, block)
+                part = part.take(pc.sort_indices(part.column("doc_id"), null_placement="at_start"))
+                lists = part.column("terms")
+                doc = np.repeat(np.arange(part.num_rows), pc.list_value_length(lists).to_numpy())
+                flat = lists.flatten()
+                term = pc.fill_null(pc.index_in(flat.field("term"), known), -1).to_numpy()
+                doc, impact, term = doc[term >= 0], flat.field("impact").to_numpy()[term >= 0], term[term >= 0]
+                sums = np.zeros((part.num_rows, len(queries)))
+                for c in range(0, len(doc), PRODUCTS):
+                    d, w, t = (x[c:c + PRODUCTS] for x in (doc, impact, term))
+                    n = starts[t + 1] - starts[t]
+                    at = np.arange(n.sum()) + np.repeat(starts[t] - (np.cumsum(n) - n), n)
+                    sums += np.bincount(np.repeat(d, n) * len(queries) + asked[at], np.repeat(w, n) * idf[at],
+                                        minlength=sums.size).reshape(sums.shape)
+                order = np.argsort(-np.round(sums, 9), axis=0, kind="stable")[:k]  # equal scores by id
+                i, q = order.T.ravel(), np.repeat(np.arange(len(queries)), len(order))
+                i, q = i[sums[i, q] > 0], q[sums[i, q] > 0]
+                yield pa.RecordBatch.from_arrays([numbers.take(pa.array(q)), part.column("doc_id").take(pa.array(i)).cast(id_type), pa.array(sums[i, q])],
+                                                 ["query_id", "doc_id", "score"])
+
+    schema = T.StructType([T.StructField("query_id", terms.schema["query_id"].dataType), T.StructField("doc_id", held.schema["doc_id"].dataType),
+                           T.StructField("score", T.DoubleType())])
+    return held.select("doc_id", "terms").mapInArrow(best, schema).withColumn("score", F.round("score", 9))
+
+
+def ranked(found: DataFrame, k: int) -> DataFrame:
+    """The k best documents of every query with their rank, equal scores by id."""
     win = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("doc_id"))
-    return scored.withColumn("rank", F.row_number().over(win).cast("long")).where(F.col("rank") <= k) \
-        .withColumnRenamed("doc_id", doc_id)
+    return found.withColumn("rank", F.row_number().over(win).cast("long")).where(F.col("rank") <= k)

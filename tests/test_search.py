@@ -58,3 +58,30 @@ def test_ann_recall_against_exact(spark):
         approx = search.ann(fc, q, 10)
         assert approx.count() == 10
         assert search.ann_recall(approx, search.nearest(fc, q, 10, "l2")) >= 0.8
+
+
+def test_scores_summed_in_blocks_equal_joined_ones(spark, monkeypatch):
+    """Also with small blocks, rows that share an id, and without one."""
+    docs = spark.createDataFrame([(f"d{i % 40}" if i % 9 else None, f"common w{i % 7} w{i % 7} r{i % 13}") for i in range(90)] + [("e", None)],
+                                 "chunk_id string, transcript_segment string")
+    queries = spark.createDataFrame([(1, "common w1 r2"), (1, "w3 common"), (None, "r5"), (2, "nothing"), (3, None)], "query_id int, query_text string")
+    got = lambda: sorted(map(str, search.bm25(docs, queries, 7).collect()))
+    arrays = got()
+    monkeypatch.setattr(search, "SCORES", 6)
+    monkeypatch.setattr(search, "PRODUCTS", 3)
+    blocks = got()
+    monkeypatch.setattr(search, "MAX_QUERY_TERMS", 0)
+    assert arrays == blocks == got() and len(arrays) > 14
+
+
+def test_texts_are_cut_into_tokens_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    docs = spark.createDataFrame([(f"d{i}", f"a b{i % 3}") for i in range(50)], "chunk_id string, transcript_segment string")
+    queries = spark.createDataFrame([(1, "a b1")], "query_id int, query_text string")
+    assert search.bm25(docs.mapInArrow(counted, docs.schema), queries, 3).count() == 3 and seen.value == 50
