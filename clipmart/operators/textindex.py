@@ -3,13 +3,13 @@ top-k that leaves out the blocks which can't hold a result.
 
 Layout under one folder, all Parquet:
 
-``documents``  doc_id and its terms with their impact: the BM25 factor
-               tf * (k1 + 1) / (tf + k1 * (1 - b + b * dl / avgdl)), without
-               the term's idf.
+``documents``  number, doc_id and its terms with their impact: the BM25
+               factor tf * (k1 + 1) / (tf + k1 * (1 - b + b * dl / avgdl)),
+               without the term's idf.
 ``postings``   one row per block of a term: the impact level (impacts are cut
                into LEVELS levels), the part of that level, the block's
-               highest impact, and its (doc_id, impact) entries.  Levels with
-               many documents are split into parts by hash, so a term that
+               highest impact, and its (number, impact) entries.  Levels with
+               many documents are split into parts by hash of runs of numbers, so a term that
                stands in a third of all documents has many bounded rows.
 ``terms``      term, document frequency, idf, highest impact, and the block
                that search starts with.
@@ -39,6 +39,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from clipmart.functions import text as tx
+from clipmart.operators import search as search_
 from clipmart.session import bounded_broadcast, materialize
 
 # Entries of a block, about; impact levels per unit (an impact is below k1 + 1).
@@ -59,7 +60,8 @@ def build(docs: DataFrame, path: str, doc_id: str = "chunk_id", text: str = "tra
           k1: float = 1.2, b: float = 0.75) -> TextIndex:
     """Index ``docs`` (one row per document) under ``path``."""
     spark = docs.sparkSession
-    toks = docs.select(F.col(doc_id).alias("doc_id"), tx.tokens(F.col(text)).alias("toks"))
+    # read twice: for the mean length and for the counts per term
+    toks = materialize(docs.select(F.col(doc_id).alias("doc_id"), tx.tokens(F.col(text)).alias("toks")))
     stats = toks.agg(F.count(F.lit(1)).alias("n"), F.avg(F.size("toks")).alias("avgdl")).first()
     n_docs, avgdl = float(stats["n"] or 0), float(stats["avgdl"] or 0.0)
     norm = F.lit(k1) * (1 - b + b * F.col("dl") / F.nullif(F.lit(avgdl), F.lit(0.0)))
@@ -69,21 +71,25 @@ def build(docs: DataFrame, path: str, doc_id: str = "chunk_id", text: str = "tra
           .select("doc_id", F.size("toks").alias("dl"), F.explode("toks").alias("term"))
           .groupBy("doc_id", "dl", "term").agg(F.count(F.lit(1)).alias("tf")))
     impact = F.col("tf") * (k1 + 1) / (F.col("tf") + norm)
+    # numbers are written with the documents, so that every reader sees the same
     tf.groupBy("doc_id").agg(F.collect_list(F.struct("term", impact.alias("impact"))).alias("terms")) \
-        .write.mode("overwrite").parquet(os.path.join(path, "documents"))
+        .select(F.monotonically_increasing_id().alias("number"), "doc_id", "terms") \
+        .write.mode("overwrite").parquet(os.path.join(path, "documents"), compression="zstd")
     documents = spark.read.parquet(os.path.join(path, "documents"))
 
-    entries = documents.select("doc_id", F.explode("terms").alias("t")).select(
-        "doc_id", "t.term", "t.impact", F.floor(F.col("t.impact") * LEVELS).cast("int").alias("level"))
+    entries = documents.select("number", F.explode("terms").alias("t")).select(
+        "number", "t.term", "t.impact", F.floor(F.col("t.impact") * LEVELS).cast("int").alias("level"))
     levels = materialize(entries.groupBy("term", "level").agg(F.count(F.lit(1)).alias("n"), F.max("impact").alias("top")))
     full = levels.where(F.col("n") > BLOCK).select("term", "level", F.ceil(F.col("n") / BLOCK).cast("int").alias("parts"))
+    # neighbours share a part, so that a task sends few rows of many entries; two lists of numbers are a third of structs
     (entries.join(bounded_broadcast(full), ["term", "level"], "left")
-     .withColumn("part", F.coalesce(F.pmod(F.xxhash64("doc_id"), F.col("parts")), F.lit(0)).cast("int"))
+     .withColumn("part", F.coalesce(F.pmod(F.xxhash64(F.shiftright("number", 8)), F.col("parts")), F.lit(0)).cast("int"))
      .groupBy("term", "level", "part")
      .agg(F.max("impact").alias("top"), F.count(F.lit(1)).alias("n"),
-          F.collect_list(F.struct("doc_id", "impact")).alias("entries"))
+          F.collect_list("number").alias("number"), F.collect_list("impact").alias("impact"))
+     .select("term", "level", "part", "top", "n", F.arrays_zip("number", "impact").alias("entries"))
      .sortWithinPartitions("term", "level")
-     .write.mode("overwrite").parquet(os.path.join(path, "postings")))
+     .write.mode("overwrite").parquet(os.path.join(path, "postings"), compression="zstd"))
     postings = spark.read.parquet(os.path.join(path, "postings"))
 
     df = F.sum("n")
@@ -101,7 +107,7 @@ def load(spark: SparkSession, path: str) -> TextIndex:
 
 def _scored(index: TextIndex, pairs: DataFrame, terms: DataFrame) -> DataFrame:
     """query_id, doc_id, score of (query, document) pairs over all terms they share."""
-    held = index.documents.join(pairs, "doc_id").select("query_id", "doc_id", F.explode("terms").alias("t")) \
+    held = index.documents.where(F.col("doc_id").isNotNull()).join(pairs, "number").select("query_id", "doc_id", F.explode("terms").alias("t")) \
         .select("query_id", "doc_id", "t.term", "t.impact")
     return held.join(terms.select("query_id", "term", "idf"), ["query_id", "term"]) \
         .groupBy("query_id", "doc_id").agg(F.sum(F.col("idf") * F.col("impact")).alias("score"))
@@ -121,9 +127,9 @@ def plan(index: TextIndex, queries: DataFrame, k: int) -> DataFrame:
     side = bounded_broadcast(terms)
     lead = index.postings.join(side.select("query_id", "term", "idf", "first"), "term").where(
         (F.col("level") == F.col("first.level")) & (F.col("part") == F.col("first.part")))
-    seen = lead.select("query_id", "idf", F.explode("entries").alias("e")).groupBy("query_id", F.col("e.doc_id").alias("doc_id")) \
+    seen = lead.select("query_id", "idf", F.explode("entries").alias("e")).groupBy("query_id", F.col("e.number").alias("number")) \
         .agg(F.sum(F.col("idf") * F.col("e.impact")).alias("score"))
-    tried = _best(seen, 4 * k).select("query_id", "doc_id")
+    tried = _best(seen, 4 * k, "number").select("query_id", "number")
     # fewer than k documents give no floor
     floor = _best(_scored(index, bounded_broadcast(tried), side), k).groupBy("query_id").agg(
         F.when(F.count(F.lit(1)) >= k, F.min("score") - SLACK).otherwise(0.0).alias("floor"))
@@ -139,11 +145,11 @@ def plan(index: TextIndex, queries: DataFrame, k: int) -> DataFrame:
 
 
 def candidates(index: TextIndex, planned: DataFrame) -> DataFrame:
-    """The (query_id, doc_id) pairs that may enter."""
+    """The (query_id, number) pairs that may enter."""
     open_ = bounded_broadcast(planned.where("least IS NOT NULL").select("query_id", "term", "least"))
     blocks = index.postings.join(open_, "term").where(F.col("top") >= F.col("least"))
     return blocks.select("query_id", "least", F.explode("entries").alias("e")) \
-        .where(F.col("e.impact") >= F.col("least")).select("query_id", F.col("e.doc_id").alias("doc_id")).distinct()
+        .where(F.col("e.impact") >= F.col("least")).select("query_id", F.col("e.number").alias("number")).distinct()
 
 
 def search(index: TextIndex, queries: DataFrame, k: int, doc_id: str = "chunk_id") -> DataFrame:
@@ -151,9 +157,11 @@ def search(index: TextIndex, queries: DataFrame, k: int, doc_id: str = "chunk_id
     behind), rank: the k best documents of every query (query_id, query_text),
     ties by id."""
     planned = materialize(plan(index, queries, k))
-    scored = _scored(index, candidates(index, planned), bounded_broadcast(planned)) \
-        .withColumn("score", F.round("score", 9))
-    return _best(scored, k).withColumnRenamed("doc_id", doc_id)
+    # a document that may enter for some query is scored for every one that it shares a term with
+    enter = candidates(index, planned).select("number").distinct()
+    held = index.documents.where(F.col("doc_id").isNotNull()).join(enter, "number", "left_semi").select("doc_id", "terms")
+    scored = search_.scored(held, planned.select("query_id", "term", "idf"), k, planned.count() <= search_.MAX_QUERY_TERMS)
+    return _best(scored, k).select("query_id", F.col("doc_id").alias(doc_id), "score", "rank")
 
 
 def work(index: TextIndex, queries: DataFrame, k: int) -> DataFrame:

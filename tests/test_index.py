@@ -57,6 +57,24 @@ def test_blocks_are_skipped(spark):
     assert total["read"] < 0.5 * total["postings"] and total["scored"] < 0.25 * total["postings"]
 
 
+def test_index_is_built_from_one_pass(spark):
+    """Postings hold numbers of documents, and the texts are read once."""
+    docs, queries = texts(spark)
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    index = textindex.build(docs.mapInArrow(counted, docs.schema), folder(spark, "text"))
+    assert seen.value == docs.count()
+    held = index.postings.select(F.explode("entries").alias("e"), "term").select("e.number", "e.impact", "term")
+    want = index.documents.select("number", F.explode("terms").alias("t")).select("number", "t.impact", "t.term")
+    assert held.exceptAll(want).count() == want.exceptAll(held).count() == 0 and held.count() > 1000
+    assert index.postings.schema["entries"].dataType.elementType["number"].dataType.simpleString() == "bigint"
+
+
 def test_empty_text_index(spark):
     docs, queries = texts(spark)
     index = textindex.build(docs.limit(0), folder(spark, "text"))
