@@ -4,7 +4,9 @@ per worker.
 The pre-tokenizer never puts white space behind other characters into one
 pre-token, nor a punctuation mark behind a letter or digit.  So a text may be
 cut there.  These cuts are found by plain string work, the segments between
-them recur, and their ids are remembered up to a bound.
+them recur, and their ids are remembered up to a bound.  ``together`` does this
+for many texts at once: Arrow finds their different segments, which are looked
+up, and puts the ids in place.
 """
 
 from __future__ import annotations
@@ -12,14 +14,16 @@ from __future__ import annotations
 import re
 import unicodedata
 from array import array
+from codecs import charmap_decode
 
 import numpy as np
+import pyarrow as pa
 
 from clipmart.llm.common import per_worker
 
 #: Segments of a generation (about 200 bytes each; a worker keeps two) and the
 #: characters of the longest that is kept.
-REMEMBERED, LONGEST = 250_000, 40
+REMEMBERED, LONGEST = 500_000, 40
 #: Unicode's White_Space, which the pre-tokenizer's \s means (fixed values).
 WHITE = "\t\n\v\f\r \x85\xa0  -     　"
 SEGMENT = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
@@ -54,7 +58,7 @@ class Encoder:
         # the byte alphabet of such files: printable Latin-1 stands for itself, the rest follows from 256 on
         own = [*range(33, 127), *range(161, 173), *range(174, 256)]
         rest = [b for b in range(256) if b not in own]
-        self.letters = [chr(b) if b in own else chr(256 + rest.index(b)) for b in range(256)]
+        self.letters = "".join(chr(b) if b in own else chr(256 + rest.index(b)) for b in range(256))
         self.size = self.tokenizer.get_vocab_size()
         self.kind = np.dtype("<u2") if self.size <= 2**16 else np.dtype("<u4")
         #: letters and digits among the first 2**16 characters; others count as neither
@@ -65,10 +69,7 @@ class Encoder:
 
     def word(self, text: str) -> list[int]:
         """Ids of one pre-token."""
-        if text.isascii() and text.replace(" ", "").isalpha():
-            spelt = text.replace(" ", self.letters[32])
-        else:
-            spelt = "".join(map(self.letters.__getitem__, text.encode("utf-8", "surrogatepass")))
+        spelt = charmap_decode(text.encode("utf-8", "surrogatepass"), "strict", self.letters)[0]
         return [t.id for t in self.model.tokenize(spelt)]
 
     def segment(self, text: str) -> bytes:
@@ -84,34 +85,72 @@ class Encoder:
 
     def marks_follow_words(self, text: str) -> bool:
         """Whether a letter or digit precedes every full stop and comma."""
+        raw = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
+        at = np.flatnonzero((raw == 46) | (raw == 44))
+        if not len(at) or at[0] == 0:
+            return not len(at)
+        before = raw[at - 1]
+        if not self.plain[before[before < 128]].all():
+            return False
+        at = at[before >= 128]
+        first = raw[at - 2]  # of two bytes, as a rule
+        if ((first >= 0xC2) & (first < 0xE0)).all():
+            return bool(self.plain[(first & 31).astype(int) << 6 | raw[at - 1] & 63].all())
         chars = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
         at = np.flatnonzero((chars == 46) | (chars == 44))
-        return not len(at) or (at[0] > 0 and bool(self.plain[np.minimum(chars[at - 1], 2**16 - 1)].all()))
+        return bool(self.plain[np.minimum(chars[at - 1], 2**16 - 1)].all())
 
-    def split(self, text: str) -> list[str]:
-        """A text, cut before runs of white space behind other characters and,
-        if all of them are such, before full stops and commas behind words."""
+    def cut(self, text: str) -> str | None:
+        """A text with a zero character at every place where ``split`` cuts
+        it; None if that takes a search."""
         if "  " in text or "\n\n" in text or " \n" in text or "\n " in text or "\0" in text or ODD_RUNS.search(text):
-            return SEGMENT.findall(text)
+            return None
         cut = text.replace(" ", "\0 ").replace("\n", "\0\n")
         if self.marks_follow_words(text):
             cut = cut.replace(".", "\0.").replace(",", "\0,")
-        return cut.split("\0")
+        return cut
+
+    def split(self, text: str) -> list[str]:
+        """A text, cut before runs of white space behind other characters and,
+        if all of them are such, before full stops and commas behind words."""
+        cut = self.cut(text)
+        return SEGMENT.findall(text) if cut is None else cut.split("\0")
+
+    def known(self, parts: list[str]) -> list[bytes]:
+        """The ids (``kind``, as bytes) of segments."""
+        got = list(map(self.segments.get, parts))
+        missing = [i for i, ids in enumerate(got) if ids is None]
+        if missing:
+            if len(self.segments) > REMEMBERED:
+                self.segments, self.older = {}, self.segments
+            older, segment, new = self.older, self.segment, {}
+            for i in missing:
+                p = parts[i]
+                if p not in new:
+                    new[p] = older[p] if p in older else segment(p)
+                got[i] = new[p]
+            self.segments.update((p, ids) for p, ids in new.items() if len(p) <= LONGEST)
+        return got
 
     def encode(self, text: str) -> tuple[list[str], list[bytes]]:
         """The segments of a text and their ids (``kind``, as bytes)."""
         parts = self.split(text)
-        try:
-            return parts, list(map(self.segments.__getitem__, parts))
-        except KeyError:
-            if len(self.segments) > REMEMBERED:
-                self.segments, self.older = {}, self.segments
-            older = self.older
-            new = {p: older[p] if p in older else self.segment(p) for p in set(parts).difference(self.segments)}
-            long = {p: new.pop(p) for p in [p for p in new if len(p) > LONGEST]}
-            self.segments.update(new)
-            known = self.segments
-            return parts, [known[p] if p in known else long[p] for p in parts] if long else list(map(known.__getitem__, parts))
+        return parts, self.known(parts)
+
+    def together(self, cuts: list[str], end: bytes = b"") -> pa.Array:
+        """The ids (``kind``, as bytes) and ``end`` of every text, from what
+        ``cut`` gives for it: each different segment is looked up once."""
+        raw = "\0".join([*cuts, ""]).encode("utf-8")
+        stops = np.flatnonzero(np.frombuffer(raw, np.uint8) == 0) + 1  # segments have the zero behind them
+        offsets = np.concatenate([[0], stops]).astype(np.int32)
+        segments = pa.StringArray.from_buffers(len(stops), pa.py_buffer(offsets), pa.py_buffer(raw)).dictionary_encode()
+        got = self.known(segments.dictionary.buffers()[2].to_pybytes().decode("utf-8").split("\0")[:-1])
+        last = np.cumsum(np.fromiter((c.count("\0") + 1 for c in cuts), np.int64, len(cuts)))
+        which = np.insert(segments.indices.to_numpy(), last, len(got))
+        each = pa.array([*got, end], pa.binary()).take(pa.array(which))
+        at = np.frombuffer(each.buffers()[1], np.int32, len(each) + 1, 4 * each.offset)
+        stop = at[np.concatenate([[0], last + np.arange(1, len(cuts) + 1)])]
+        return pa.Array.from_buffers(pa.binary(), len(cuts), [None, pa.py_buffer(stop), each.buffers()[2]])
 
     def ids(self, text: str) -> bytes:
         return b"".join(self.encode(text)[1]) if text else b""

@@ -35,6 +35,10 @@ from clipmart.llm.common import new_folder, only, read_file, small_batches, stag
 
 END = 0
 FILE_TOKENS = 1_000_000
+#: Characters of the texts that are encoded together; a longer one goes alone.
+TEXTS_CHARS = 4_000_000
+#: Files that a task reads, one after the other.
+TASK_FILES = 4
 HEAD = "<4sIQQQ"  # magic, version, documents, ids, data bytes
 MAGIC, VERSION = b"VIDS", 1
 RANKS = "ranks.u32"
@@ -61,13 +65,28 @@ def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
     bytes_ = np.frombuffer(data, np.uint8)
     if (int(end[-1]) if n else 0) != len(bytes_):
         raise ValueError("the data bytes don't match the control bytes")
-    out = np.zeros(n, np.uint32)
-    for k in range(4):
-        more = size > k
+    out = bytes_[at].astype(np.uint32)
+    more = np.arange(n)
+    for k in range(1, 4):
+        more = more[size[more] > k]
         out[more] |= bytes_[at[more] + k].astype(np.uint32) << np.uint32(8 * k)
     return out
 
 
+def some(b: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """(rows, their texts) of a batch, up to 1,000 rows or until they hold
+    ``TEXTS_CHARS`` characters."""
+    for i in range(0, b.num_rows, 1000):
+        part = b.slice(i, 1000)
+        texts, first, held = [t or "" for t in part.column(1).to_pylist()], 0, 0
+        for k, t in enumerate(texts):
+            if held and held + len(t) > TEXTS_CHARS:
+                yield part.slice(first, k - first), texts[first:k]
+                first, held = k, 0
+            held += len(t)
+        yield part.slice(first), texts[first:]
+
+
 def encoded(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", tokenizer: str | None = None) -> DataFrame:
     """(doc_id, ids): the ids of every row with the end id, as the bytes of
     unsigned 16- or 32-bit integers."""
@@ -79,10 +98,13 @@ def encoded(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", tokeniz
         e = bpe.worker_encoder(path)
         end = np.array([END], e.kind).tobytes()
         for b in batches:
-            for i in range(0, b.num_rows, 1000):
-                part = b.slice(i, 1000)
-                ids = [e.ids(t or "") + end for t in part.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.binary())], ["doc_id", "ids"])
+            for part, texts in some(b):
+                cuts = [e.cut(t) if len(t) <= TEXTS_CHARS else None for t in texts]
+                plain = e.together([c for c in cuts if c is not None], end)
+                if len(plain) < len(texts):
+                    rest = iter(plain.to_pylist())
+                    plain = pa.array([e.ids(t) + end if c is None else next(rest) for t, c in zip(texts, cuts)], pa.binary())
+                yield pa.RecordBatch.from_arrays([part.column(0), plain], ["doc_id", "ids"])
 
     return given.mapInArrow(run, "doc_id long, ids binary")
 
@@ -179,12 +201,12 @@ def read_files(files: DataFrame, root: str) -> DataFrame:
             for name, start in zip(b["file"], b["start"]):
                 rows = []
                 for k, ids in read_rows(root, name):
-                    rows.append((k, start, len(ids), zlib.crc32(ids.astype("<u4").tobytes())))
+                    rows.append((k, start, len(ids), zlib.crc32(ids)))
                     start += len(ids)
                 out = pd.DataFrame(rows, columns=["doc_id", "start", "n_tokens", "ids_crc32"])
                 yield out.astype({"doc_id": "Int64"})
 
-    n = max(1, min(files.count(), 10_000))
+    n = max(1, min(-(-files.count() // TASK_FILES), 10_000))
     return todo.repartition(n).mapInPandas(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 

@@ -62,3 +62,57 @@ def test_ranked_by_frequency(spark, edges):
 
 def test_empty(small):
     assert tokenfile.read_files(*tokenfile.written(small.limit(0))).collect() == []
+
+
+def texts(n, seed):
+    import random
+
+    rng = random.Random(seed)
+    parts = ["the", "tion", " ", "a", "\n", "é", "中", "🙂", "_", ".", ",", "0", "½", "\xa0", "!", "\0", "<|endoftext|>", " the"]
+    return ["".join(rng.choice(parts) for _ in range(rng.randrange(30))) for _ in range(n)]
+
+
+def test_texts_encoded_together():
+    e, end = bpe.Encoder(bpe.tokenizer_path()), b"\0\0"
+    for some in ([], [""], ["", "", " "], texts(3000, 5)):
+        cuts = [c for c in map(e.cut, some) if c is not None]
+        assert e.together(cuts, end).to_pylist() == [b"".join(e.known(c.split("\0"))) + end for c in cuts]
+    assert e.together([e.cut("the tion"), e.cut("")]).to_pylist() == [e.ids("the tion"), b""]
+
+
+def test_different_segments_looked_up_once():
+    e, seen = bpe.Encoder(bpe.tokenizer_path()), []
+    known, text = e.known, "the tion of the tion, the end.\nthe end."
+    e.known = lambda parts: seen.append(list(parts)) or known(parts)
+    got = e.together([e.cut(text)] * 500)
+    assert len(seen) == 1 and sorted(seen[0]) == sorted(set(e.split(text)))
+    assert got.to_pylist() == [e.ids(text)] * 500
+
+
+def test_marks_follow_words_by_bytes():
+    e = bpe.Encoder(bpe.tokenizer_path())
+    for before, plain in (("a", True), ("0", True), ("_", False), ("é", True), ("½", True), ("٠", True), ("\x80", False), ("中", True),
+                          ("🙂", False), (".", False), ("", False)):
+        for mark in ".,":
+            assert e.marks_follow_words(before + mark) is plain, before
+            assert e.marks_follow_words("é." + before + mark + " a") is (plain and before != ""), before
+    assert e.marks_follow_words("") and e.marks_follow_words("中 🙂")
+
+
+def test_long_texts_and_small_groups(spark, edges, monkeypatch):
+    """Texts encoded together, in groups and alone give the same ids."""
+    odd = spark.createDataFrame(list(enumerate(texts(300, 6))), "doc_id long, text string")
+    for docs in (edges, odd):
+        monkeypatch.setattr(tokenfile, "TEXTS_CHARS", 4_000_000)
+        want = sorted(map(str, tokenfile.encoded(docs).collect()))
+        for most in (0, 25, 200):
+            monkeypatch.setattr(tokenfile, "TEXTS_CHARS", most)
+            assert sorted(map(str, tokenfile.encoded(docs).collect())) == want
+
+
+def test_tasks_read_several_files(small, monkeypatch):
+    monkeypatch.setattr(tokenfile, "FILE_TOKENS", 700)
+    files, root = tokenfile.written(small)
+    rows = tokenfile.read_files(files, root)
+    assert rows.rdd.getNumPartitions() <= -(-files.count() // 4) < files.count()
+    assert rows.count() == small.count()
