@@ -41,6 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clipmart.llm.common import only, small_batches, staged
+from clipmart.session import bounded_broadcast
 
 RUN = re.compile("[A-Za-zÀ-ÿ]+")
 LOWER = {c: c + 32 for c in range(65, 91)}
@@ -177,19 +178,24 @@ def near(vocabulary: DataFrame) -> DataFrame:
     groups = group_count(vocabulary.count())
     keyed = vocabulary.select("word", "n", key(groups).alias("key"))
     room = F.greatest(F.lit(1), F.least(F.lit(PIECE), F.lit(PIECE_CODES) / F.col("key")[0]))
-    pieces = keyed.groupBy("key").agg(F.count("*").alias("words")).select(
-        "key", F.ceil(F.col("words") / room).cast("int").alias("pieces"))
-    # pieces by hash: about as large as room allows
-    piece = F.pmod(F.xxhash64("word"), F.col("pieces")).cast("int")
+    pieces = staged(keyed.groupBy("key").agg(F.count("*").alias("words")).select(
+        "key", F.ceil(F.col("words") / room).cast("int").alias("pieces")), "variant-keys")
+    # pieces by hash: about as large as room allows; few keys can have several
+    split = bounded_broadcast(pieces.where("pieces > 1"))
+    piece = F.pmod(F.xxhash64("word"), F.coalesce("pieces", F.lit(1))).cast("int")
     packed = F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("m"), "word")))
-    blocks = staged(keyed.join(pieces, "key").groupBy("key", piece.alias("piece")).agg(packed.alias("words")), "variant-blocks")
+    blocks = staged(keyed.join(split, "key", "left").groupBy("key", piece.alias("piece")).agg(packed.alias("words")), "variant-blocks")
     moved = F.array(*(F.zip_with("key", F.array(*map(F.lit, m)), lambda x, y: x + y) for m in moves(groups)))
-    met = (blocks.select(F.col("key").alias("own"), F.col("piece").alias("own_piece"), F.col("words").alias("right"),
-                         F.explode(moved).alias("key"))
-           .join(pieces, "key").withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    # merged, not broadcast, here and below: Spark sizes what explode makes as what went in, and lists as one element
+    met = (pieces.select(F.col("key").alias("own"), F.col("pieces").alias("own_pieces"), F.explode(moved).alias("key"))
+           .join(pieces.hint("merge"), "key").withColumn("own_piece", each("own_pieces")).withColumn("piece", each("pieces"))
            # of two pieces of one key the larger is the right side
            .where((F.col("own") != F.col("key")) | (F.col("own_piece") >= F.col("piece"))))
-    # merged, not broadcast: the products are the work, and shuffled rows spread it
+    # words come last: keys that no word has carry none
+    rights = blocks.select(F.col("key").alias("own"), F.col("piece").alias("own_piece"), F.col("words").alias("right"))
+    met = met.select("own", "own_piece", "key", "piece").join(rights.hint("merge"), ["own", "own_piece"])
+    # the products are the work, and shuffled rows spread it
     pairs = blocks.join(met.hint("merge"), ["key", "piece"]).select(
         F.col("words").alias("left"), "right",
         ((F.col("own") == F.col("key")) & (F.col("own_piece") == F.col("piece"))).alias("same"))
@@ -227,7 +233,7 @@ def rooted(forms: DataFrame) -> DataFrame:
     at = forms.select("word", F.col("form").alias("root"))
     while True:
         ahead = at.select(F.col("word").alias("root"), F.col("root").alias("next"))
-        stepped = staged(at.join(ahead, "root", "left").select(
+        stepped = staged(at.join(ahead.hint("merge"), "root", "left").select(
             "word", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("moved")), "variant-roots")
         at = stepped.select("word", "root")
         if stepped.where("moved").isEmpty():
@@ -239,9 +245,9 @@ def grouped(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least_c
     """word, n, n_near, form, form_n, root of every word."""
     vocabulary = staged(words(docs, doc_id, text, least_codes, least_n), "variant-words")
     fits = -F.col("best.m") >= ratio * F.col("n")
-    table = staged(vocabulary.join(near(vocabulary), "word", "left").select(
+    table = staged(vocabulary.join(near(vocabulary).hint("merge"), "word", "left").select(
         "word", "n", F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"),
         F.when(fits, F.col("best.form")).alias("form"), F.when(fits, -F.col("best.m")).alias("form_n")), "variant-forms")
     roots = rooted(table.where("form IS NOT NULL"))
-    return table.join(roots, "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"),
+    return table.join(roots.hint("merge"), "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"),
                                                     "n", "n_near", "form_n")

@@ -105,3 +105,19 @@ def test_every_pair_of_keys_comes_up_once():
             assert (gone or back) == bool(close) and gone + back <= 1 + (x == y).all()
 
 
+
+
+def test_what_explode_makes_is_not_broadcast(spark, small, monkeypatch):
+    """A vocabulary below Spark's bound for broadcasts makes pairs of blocks far above it."""
+    vocabulary = variants.staged(variants.words(small), "test-words")
+    plans = []
+    stage = variants.staged
+    monkeypatch.setattr(variants, "staged", lambda df, name: (plans.append((name, df._jdf.queryExecution().executedPlan().toString())),
+                                                              stage(df, name))[1])
+    plans.append(("near", variants.near(vocabulary)._jdf.queryExecution().executedPlan().toString()))
+    plans.append(("grouped", variants.grouped(small)._jdf.queryExecution().executedPlan().toString()))
+    assert {"near", "grouped", "variant-forms", "variant-roots"} <= {n for n, _ in plans}
+    for name, plan in plans:
+        # the keys with several pieces are few: a piece is full of words
+        assert name == "variant-blocks" or "Broadcast" not in plan, name
+    assert int(spark.conf.get("spark.sql.autoBroadcastJoinThreshold").rstrip("b")) > 0
