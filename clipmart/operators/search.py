@@ -3,7 +3,7 @@ top-k (exact and approximate), batch semantic join and BM25 text ranking."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -222,13 +222,15 @@ def bm25(docs: DataFrame, queries: DataFrame, k: int, k1: float = 1.2, b: float
     return ranked(scored(held, terms, k, small).select("doc_id", "query_id", "score"), k).withColumnRenamed("doc_id", doc_id)
 
 
-def scored(held: DataFrame, terms: DataFrame, k: int, small: bool = True) -> DataFrame:
+def scored(held: DataFrame, terms: DataFrame, k: int, small: bool = True,
+           keep: Callable[[pa.RecordBatch], pa.RecordBatch] | None = None) -> DataFrame:
     """query_id, doc_id, score: per task, the k best documents of every query.
 
     ``held`` has a row per document with its terms and their impact, ``terms``
     the idf of every query's terms.  A small query side goes to every task,
     which sums up the products of a block of documents at once; a large one is
-    joined, and then every pair that shares a term is returned."""
+    joined, and then every pair that shares a term is returned.  ``keep`` leaves
+    out rows of a batch of ``held``, if the query side is small."""
     if not small:
         return held.select("doc_id", F.explode("terms").alias("t")).select("doc_id", "t.term", "t.impact").join(terms, "term") \
             .groupBy("doc_id", "query_id").agg(F.round(F.sum(F.col("idf") * F.col("impact")), 9).alias("score"))
@@ -247,6 +249,7 @@ def scored(held: DataFrame, terms: DataFrame, k: int, small: bool = True) -> Dat
     def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, numbers = pa.array(names, pa.string()), pa.array(queries, query_type)
         for b in batches:
+            b = b if keep is None else keep(b)
             for a in range(0, b.num_rows, block):
                 part = b.slice(a, block)
                 part = part.take(pc.sort_indices(part.column("doc_id"), null_placement="at_start"))
@@ -270,7 +273,7 @@ def scored(held: DataFrame, terms: DataFrame, k: int, small: bool = True) -> Dat
 
     schema = T.StructType([T.StructField("query_id", terms.schema["query_id"].dataType), T.StructField("doc_id", held.schema["doc_id"].dataType),
                            T.StructField("score", T.DoubleType())])
-    return held.select("doc_id", "terms").mapInArrow(best, schema).withColumn("score", F.round("score", 9))
+    return (held if keep else held.select("doc_id", "terms")).mapInArrow(best, schema).withColumn("score", F.round("score", 9))
 
 
 def ranked(found: DataFrame, k: int) -> DataFrame:

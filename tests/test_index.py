@@ -3,8 +3,10 @@
 import random
 import re
 import uuid
+from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from clipmart.operators import search, textindex, vectorindex
@@ -75,6 +77,56 @@ def test_index_is_built_from_one_pass(spark):
     assert index.postings.schema["entries"].dataType.elementType["number"].dataType.simpleString() == "bigint"
 
 
+def test_postings_are_dealt_as_packed_blocks(spark, monkeypatch):
+    """Blocks are full or what is left over of a level, and never above BLOCK,
+    also where a term stands in most documents; parts and batches don't matter."""
+    docs, queries = texts(spark)
+    monkeypatch.setattr(textindex, "BLOCK", 4)
+    monkeypatch.setattr(textindex, "HELD", 300)
+    monkeypatch.setattr(textindex, "PART", 500)
+    index = textindex.build(docs.repartition(3), folder(spark, "text"))
+    blocks = index.postings.select("*", F.size("entries").alias("size"), F.array_max("entries.impact").alias("most"))
+    assert blocks.where("n != size OR n > 4 OR top != most OR level != floor(top * 16)").count() == 0
+    assert blocks.where("n < 4").groupBy("term", "level").count().where("count > 1").count() == 0
+    assert blocks.where("n = 4").count() > 50 and blocks.select("block").distinct().count() == blocks.count()
+    want = index.documents.select(F.explode("terms").alias("t"), "number").select("number", "t.impact", "t.term")
+    held = index.postings.select(F.explode("entries").alias("e"), "term").select("e.number", "e.impact", "term")
+    assert held.exceptAll(want).count() == want.exceptAll(held).count() == 0 and held.count() > 1000
+    assert rows(textindex.search(index, queries, 5), "query_id", "chunk_id", "rank", "score") == \
+        rows(search.bm25(docs, queries, 5), "query_id", "chunk_id", "rank", "score")
+
+
+def test_documents_stay_where_they_are(spark, monkeypatch):
+    """Documents aren't shuffled to meet the candidates, which are marked by a bit each."""
+    docs, queries = texts(spark)
+    index = textindex.build(docs.repartition(5), folder(spark, "text"))  # numbers of several runs
+    got = textindex.search(index, queries, 5)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan[plan.index("MapInArrow"):]
+    cols = ("query_id", "chunk_id", "rank", "score")
+    assert rows(got, *cols) == rows(search.bm25(docs, queries, 5), *cols)
+    some = index.documents.select("number").where("number % 3 = 1")
+    keep = textindex._marked(some)
+    numbers = [r["number"] for r in index.documents.select("number").collect()] + [1 << 50]
+    kept = keep(pa.RecordBatch.from_arrays([pa.array(numbers, pa.int64())], ["number"])).column(0).to_pylist()
+    assert kept == [x for x in numbers if x % 3 == 1 and x < 1 << 50] and 0 < len(kept) < len(numbers) / 2
+    monkeypatch.setattr(textindex, "MARKED", 0)
+    assert rows(textindex.search(index, queries, 5), *cols) == rows(got, *cols)
+
+
+def test_rows_that_share_an_id_are_one_document(spark):
+    """Rows of equal length under one id are counted together, as a plain sum does it; also rows without an id."""
+    docs = [("a", "c1 c1 c2"), ("a", "c1 c3 c3"), ("a", "c1"), ("b", "c1 c2"), ("c", ""), ("c", "c4"), (None, "c5 c6"), (None, "c6 c6"), ("d", None)]
+    index = textindex.build(spark.createDataFrame(docs, "chunk_id string, transcript_segment string"), folder(spark, "text"))
+    mean = sum(len((t or "").split()) for _, t in docs) / len(docs)
+    tf = Counter((i, len(t.split()), w) for i, t in docs if t for w in t.split())
+    want = Counter((i, w, round(n * 2.2 / (n + 1.2 * (0.25 + 0.75 * dl / mean)), 9)) for (i, dl, w), n in tf.items())
+    held = index.documents.select("doc_id", F.explode("terms").alias("t")).collect()
+    assert Counter((r["doc_id"], r["t"]["term"], round(r["t"]["impact"], 9)) for r in held) == want
+    assert sorted(map(str, (r["doc_id"] for r in index.documents.collect()))) == ["None", "a", "b", "c"]
+    assert {r["term"]: r["df"] for r in index.terms.collect()} == Counter(w for _, w, _ in want.elements())
+
+
 def test_empty_text_index(spark):
     docs, queries = texts(spark)
     index = textindex.build(docs.limit(0), folder(spark, "text"))
